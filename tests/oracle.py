@@ -1,0 +1,56 @@
+"""Compare a registered Spark query with its DuckDB oracle: rows, column names, order-insensitive values."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 6)
+    if isinstance(v, (bytes, bytearray, memoryview)):
+        return bytes(v)
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
+def rows_of(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [tuple(_norm(r[i]) for i in order) for r in records]
+
+
+def compare(spark_df, con, sql):
+    s_cols = spark_df.columns
+    s_rows = rows_of(s_cols, [tuple(r) for r in spark_df.collect()])
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    d_rows = rows_of(d_cols, rel.fetchall())
+    problems = []
+    if sorted(s_cols) != sorted(d_cols):
+        problems.append(f"columns differ: spark={sorted(s_cols)} duckdb={sorted(d_cols)}")
+    if len(s_rows) != len(d_rows):
+        problems.append(f"row count differs: spark={len(s_rows)} duckdb={len(d_rows)}")
+    cs, cd = Counter(s_rows), Counter(d_rows)
+    if cs != cd:
+        only_s = list((cs - cd).elements())[:3]
+        only_d = list((cd - cs).elements())[:3]
+        problems.append(f"values differ: spark-only={only_s} duckdb-only={only_d}")
+    return len(s_rows), problems
