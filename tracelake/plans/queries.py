@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tracelake.functions.logline import TRACE_PATTERN
 from tracelake.operators.logparse import log_rejects, parse_log_lines, with_event_time
+from tracelake.operators.payload import as_topic_messages, decode, decode_verdicts, encode, encode_each
 from tracelake.plans import derive
+from tracelake.schemas import LOG_FIELDS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +87,87 @@ FROM parsed""",
 )
 def q_log_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(parse_log_lines(_lines(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Payload encode / decode
+# ---------------------------------------------------------------------------------------------------------------
+
+# Messages of the registered queries are cut by a unique sequence number so both engines agree on them.
+CHUNK_ROWS = 1000
+TOPIC_PARTITIONS = 4
+
+SQL_LOG_COLS = "timestamp, level, component, message"
+
+
+def _parsed_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_log_lines(_lines(spark, sf_dir), keep=["event_id"])
+
+
+def _log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(
+        _parsed_with_id(spark, sf_dir),
+        LOG_FIELDS,
+        chunk_by=F.floor(F.col("event_id") / CHUNK_ROWS),
+        order_by=["event_id"],
+    )
+
+
+@register(
+    "payload_encode",
+    f"""WITH {SQL_LINES}, {SQL_PARSED}
+SELECT CAST(event_id // {CHUNK_ROWS} AS BIGINT) AS chunk, count(*) AS n_rows,
+       CAST(to_json(list({{'timestamp': timestamp, 'level': level, 'component': component, 'message': message}}
+                          ORDER BY event_id)) AS VARCHAR) AS value
+FROM parsed GROUP BY 1""",
+)
+def q_payload_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _log_messages(spark, sf_dir)
+
+
+@register("payload_decode", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = as_topic_messages(_log_messages(spark, sf_dir), "logs", TOPIC_PARTITIONS)
+    return decode(topic).select(*LOG_FIELDS)
+
+
+def _single_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = encode_each(_parsed_with_id(spark, sf_dir), LOG_FIELDS, keep=["event_id"])
+    return msgs.withColumnRenamed("event_id", "chunk")
+
+
+@register("payload_decode_single", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_payload_decode_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = as_topic_messages(_single_messages(spark, sf_dir), "logs", TOPIC_PARTITIONS)
+    return decode(topic).select(*LOG_FIELDS)
+
+
+def corrupted_messages(messages: DataFrame) -> DataFrame:
+    """Damage every 17th message three ways: trailing text, a renamed field, a NULL value (tombstone)."""
+    c = F.col("chunk") % 17
+    value = (
+        F.when(c == 0, F.concat(F.col("value"), F.lit(" zz")))
+        .when(c == 1, F.replace(F.col("value"), F.lit('"level":'), F.lit('"LEVEL":')))
+        .when(c == 2, F.lit(None).cast("string"))
+        .otherwise(F.col("value"))
+    )
+    return messages.withColumn("value", value)
+
+
+@register(
+    "payload_quarantine",
+    f"""WITH {SQL_LINES}, {SQL_PARSED}
+SELECT CAST(event_id % {TOPIC_PARTITIONS} AS INTEGER) AS partition,
+       CAST(event_id // {TOPIC_PARTITIONS} AS BIGINT) AS offset,
+       CAST(CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE 0 END AS INTEGER) AS pos,
+       CASE WHEN event_id % 17 IN (0, 1) THEN 'bad' ELSE 'ok' END AS verdict,
+       CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE timestamp END AS timestamp,
+       CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE level END AS level,
+       CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE component END AS component,
+       CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE message END AS message,
+       CASE event_id % 17 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'bad_row' END AS reason
+FROM parsed WHERE event_id % 17 <> 2""",
+)
+def q_payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = as_topic_messages(corrupted_messages(_single_messages(spark, sf_dir)), "logs", TOPIC_PARTITIONS)
+    return decode_verdicts(topic).drop("topic")
