@@ -13,8 +13,19 @@ from pyspark.sql import functions as F
 from tracelake.functions.logline import TRACE_PATTERN
 from tracelake.operators.logparse import log_rejects, parse_log_lines, with_event_time
 from tracelake.operators.payload import as_topic_messages, decode, decode_verdicts, encode, encode_each
+from tracelake.operators.quality import audit_changes, validate
+from tracelake.operators.sinks import write_csv, write_topic_table
+from tracelake.operators.tableops import assign_ids, delete, page, top, update, upsert
+from tracelake.operators.views import active_users, trimmed_users, users_count, users_with_roles
 from tracelake.plans import derive
-from tracelake.schemas import LOG_FIELDS
+from tracelake.plans.jobs import TopicSink, logs_to_topic, table_to_topic
+from tracelake.schemas import LOG_FIELDS, USER_ROW
+from tracelake.session import scratch_path
+from tracelake.sources.csvfiles import read_csv
+from tracelake.sources.logfiles import read_log_files
+from tracelake.sources.topic import read_topic, read_topic_stream
+from tracelake.streaming.ingest import IngestTarget, run_ingest_once
+from tracelake.functions.text import unicode_trim
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -171,3 +182,239 @@ FROM parsed WHERE event_id % 17 <> 2""",
 def q_payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = as_topic_messages(corrupted_messages(_single_messages(spark, sf_dir)), "logs", TOPIC_PARTITIONS)
     return decode_verdicts(topic).drop("topic")
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Trace files and topics end to end
+# ---------------------------------------------------------------------------------------------------------------
+
+
+def _write_trace_files(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "trace-files")
+    _lines(spark, sf_dir).select("value").write.text(path)
+    return path
+
+
+@register("log_file_parse", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_log_file_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace lines written as text files, then read back through the file source and parsed."""
+    return parse_log_lines(read_log_files(spark, _write_trace_files(spark, sf_dir))).select(*LOG_FIELDS)
+
+
+@register("logs_round_trip", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_logs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace files -> positional JSON-array messages in a topic table -> strict decode."""
+    files = _write_trace_files(spark, sf_dir)
+    topic_path = scratch_path(spark, "logs-topic")
+    logs_to_topic(spark, files, TopicSink(topic="logs", path=topic_path, partitions=TOPIC_PARTITIONS), chunk_rows=CHUNK_ROWS)
+    return decode(read_topic(spark, path=topic_path)).select(*LOG_FIELDS)
+
+
+@register("topic_to_table", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_topic_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream the topic into the landing table twice with one checkpoint: the second run adds nothing."""
+    base = scratch_path(spark, "topic-to-table")
+    topic_path, table_path, checkpoint = f"{base}/topic", f"{base}/table", f"{base}/checkpoint"
+    write_topic_table(as_topic_messages(_log_messages(spark, sf_dir), "logs", TOPIC_PARTITIONS), topic_path)
+    target = IngestTarget(table=table_path, ingest="run", is_path=True)
+    for _ in range(2):
+        run_ingest_once(read_topic_stream(spark, path=topic_path), target, checkpoint)
+    return spark.read.parquet(table_path).select(*LOG_FIELDS)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Users and roles
+# ---------------------------------------------------------------------------------------------------------------
+
+SQL_USERS = "users AS (SELECT c_custkey AS id, c_name AS name FROM customer)"
+SQL_ROLES = "roles AS (SELECT o_custkey AS user_id, o_orderpriority AS role FROM orders)"
+AUDIT_TIME = "2024-05-20 12:00:00"
+
+
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.users(derive.table(spark, sf_dir, "customer"))
+
+
+def _roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.roles(derive.table(spark, sf_dir, "orders"))
+
+
+@register("users_scan", f"WITH {SQL_USERS} SELECT id, trim(name) AS name FROM users ORDER BY id")
+def q_users_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trimmed_users(_users(spark, sf_dir)).orderBy("id")
+
+
+@register("users_count", f"WITH {SQL_USERS} SELECT count(*) AS n_users FROM users")
+def q_users_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return users_count(_users(spark, sf_dir))
+
+
+@register("users_active", f"WITH {SQL_USERS} SELECT id, name FROM users WHERE name IS NOT NULL AND length(name) > 0")
+def q_users_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return active_users(_users(spark, sf_dir))
+
+
+@register(
+    "users_with_roles",
+    f"""WITH {SQL_USERS}, {SQL_ROLES}
+SELECT u.id, u.name, r.role FROM users u LEFT JOIN (SELECT * FROM roles WHERE role = '1-URGENT') r ON r.user_id = u.id""",
+)
+def q_users_with_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urgent = _roles(spark, sf_dir).where(F.col("role") == "1-URGENT")
+    return users_with_roles(_users(spark, sf_dir), urgent)
+
+
+@register("users_page", f"WITH {SQL_USERS} SELECT id, name FROM users ORDER BY id LIMIT 10 OFFSET 10")
+def q_users_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page(_users(spark, sf_dir), ["id"], 10, 10)
+
+
+@register("users_top", f"WITH {SQL_USERS} SELECT id, name FROM users ORDER BY id LIMIT 10")
+def q_users_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top(_users(spark, sf_dir), ["id"], 10)
+
+
+def _updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # UPDATE users SET name = ' ' || upper(name) || ' ' WHERE name LIKE '%5', with the name normaliser (trim).
+    return update(
+        _users(spark, sf_dir),
+        {"name": F.concat(F.lit(" "), F.upper("name"), F.lit(" "))},
+        F.col("name").like("%5"),
+        normalise={"name": unicode_trim},
+    )
+
+
+@register(
+    "users_update",
+    f"WITH {SQL_USERS} SELECT id, CASE WHEN name LIKE '%5' THEN trim(concat(' ', upper(name), ' ')) ELSE name END AS name FROM users",
+)
+def q_users_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _updated(spark, sf_dir)
+
+
+@register("users_delete", f"WITH {SQL_USERS} SELECT id, name FROM users WHERE NOT coalesce(name LIKE '%3', false)")
+def q_users_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delete(_users(spark, sf_dir), F.col("name").like("%3"))
+
+
+NEW_ID_BASE = 1_000_000_000
+
+
+def _user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes derived from orders: urgent orders rename their customer, pending orders add a new user."""
+    o = derive.table(spark, sf_dir, "orders")
+    renames = o.where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_custkey").alias("id"), F.concat(F.lit("urgent-"), F.col("o_orderkey").cast("string")).alias("name"),
+        "o_orderdate", "o_orderkey",
+    )
+    new = o.where(F.col("o_orderstatus") == "P").select(
+        (F.col("o_custkey") + NEW_ID_BASE).alias("id"), F.concat(F.lit("new-"), F.col("o_orderkey").cast("string")).alias("name"),
+        "o_orderdate", "o_orderkey",
+    )
+    return renames.unionByName(new)
+
+
+@register(
+    "users_upsert",
+    f"""WITH {SQL_USERS},
+changes AS (
+  SELECT o_custkey AS id, concat('urgent-', o_orderkey) AS name, o_orderdate, o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT o_custkey + {NEW_ID_BASE} AS id, concat('new-', o_orderkey) AS name, o_orderdate, o_orderkey FROM orders WHERE o_orderstatus = 'P'),
+latest AS (
+  SELECT id, name FROM (
+    SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM changes)
+  WHERE rn = 1)
+SELECT id, name FROM latest
+UNION ALL
+SELECT id, name FROM users WHERE id NOT IN (SELECT id FROM latest)""",
+)
+def q_users_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert(_users(spark, sf_dir), _user_changes(spark, sf_dir), "id", order_by=["o_orderdate", "o_orderkey"])
+
+
+@register(
+    "users_audit",
+    f"""WITH {SQL_USERS},
+updated AS (SELECT id, CASE WHEN name LIKE '%5' THEN trim(concat(' ', upper(name), ' ')) ELSE name END AS name FROM users)
+SELECT o.id, o.name AS old_name, n.name AS new_name, TIMESTAMP '{AUDIT_TIME}' AS changed_at
+FROM users o JOIN updated n ON o.id = n.id WHERE o.name IS DISTINCT FROM n.name""",
+)
+def q_users_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_changes(
+        _users(spark, sf_dir), _updated(spark, sf_dir),
+        changed_at=F.lit(AUDIT_TIME).cast("timestamp_ntz"), only_changed=True,
+    )
+
+
+def _users_to_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users plus candidate rows derived from pending orders: empty, NULL, too long names, negative and repeated ids."""
+    o = derive.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    p = F.col("o_orderpriority")
+    cand = o.select(
+        F.when(p == "4-NOT SPECIFIED", -F.col("o_orderkey")).otherwise(F.col("o_custkey")).alias("id"),
+        F.when(p == "2-HIGH", F.lit(""))
+        .when(p == "3-MEDIUM", F.lit(None).cast("string"))
+        .when(p == "5-LOW", F.repeat(F.lit("x"), 300))
+        .otherwise(F.concat(F.lit("dup-"), F.col("o_orderkey").cast("string")))
+        .alias("name"),
+    )
+    return _users(spark, sf_dir).unionByName(cand)
+
+
+@register(
+    "users_validate",
+    f"""WITH {SQL_USERS},
+input AS (
+  SELECT id, name FROM users
+  UNION ALL
+  SELECT CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN -o_orderkey ELSE o_custkey END AS id,
+         CASE o_orderpriority WHEN '2-HIGH' THEN '' WHEN '3-MEDIUM' THEN NULL WHEN '5-LOW' THEN repeat('x', 300)
+              ELSE concat('dup-', o_orderkey) END AS name
+  FROM orders WHERE o_orderstatus = 'P'),
+counts AS (SELECT id, count(*) AS n FROM input GROUP BY id)
+SELECT i.id, i.name,
+       CAST(CASE WHEN i.name IS NULL OR length(i.name) = 0 THEN 10001
+                 WHEN length(i.name) > 255 THEN 10002
+                 WHEN i.id IS NULL OR i.id < 0 THEN 10003
+                 WHEN c.n > 1 THEN 10004 ELSE 0 END AS INTEGER) AS error_code
+FROM input i LEFT JOIN counts c ON i.id = c.id""",
+)
+def q_users_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate(_users_to_check(spark, sf_dir), mode="flag")
+
+
+@register(
+    "users_assign_ids",
+    f"""WITH {SQL_USERS}
+SELECT id FROM users
+UNION ALL
+SELECT (SELECT max(id) FROM users) + row_number() OVER () AS id FROM orders WHERE o_orderpriority = '1-URGENT'""",
+)
+def q_users_assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = derive.table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    new = o.select(F.lit(None).cast("bigint").alias("id"), F.concat(F.lit("new-"), F.col("o_orderkey").cast("string")).alias("name"))
+    return assign_ids(_users(spark, sf_dir).unionByName(new)).select("id")
+
+
+@register(
+    "users_round_trip",
+    f"WITH {SQL_USERS} SELECT id, name FROM users",
+)
+def q_users_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated users -> JSON-array messages in a topic table -> strict decode with the users schema."""
+    topic_path = scratch_path(spark, "users-topic")
+    table_to_topic(_users(spark, sf_dir), TopicSink(topic="users", path=topic_path), chunk_rows=CHUNK_ROWS)
+    return decode(read_topic(spark, path=topic_path), USER_ROW).select("id", "name")
+
+
+@register(
+    "csv_round_trip",
+    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+)
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export a table to CSV and import it again with its schema."""
+    customer = derive.table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer-csv")
+    write_csv(customer, path)
+    return read_csv(spark, path, customer.schema)
