@@ -110,3 +110,10 @@ def create_table_as(spark: SparkSession, name: str, df: DataFrame, *, location:
 def add_columns(spark: SparkSession, name: str, columns: T.StructType) -> None:
     """``ALTER TABLE ... ADD COLUMNS`` (K8)."""
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(columns)})")
+
+
+def ensure_users_table(spark: SparkSession, name: str = "users", *, location: str | None = None) -> str:
+    """``USERS(id bigint, name string)``; constraints are checked by ``quality.validate`` before writes."""
+    from tracelake.schemas import USER_ROW
+
+    return ensure_table(spark, name, USER_ROW, location=location)

@@ -16,8 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (regex, JSON) at least one task per core.
+
+    A scan yields one task per file split; a small table in a single row group is one task, and the per-line
+    regex then runs on one core. When the scan has fewer partitions than the default parallelism the rows are
+    spread round-robin; a large input already has more splits than cores and passes through unchanged (no shuffle).
+    """
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; leave the plan as it is
+        return df
+    return df.repartition(target) if current < target else df
+
+
 def trace_lines(events: DataFrame) -> DataFrame:
     """Render one trace line (column ``value``) per event, plus ``event_id`` for ordering."""
+    events = spread(events)
     e = F.col
     line = F.when(e("event_id") % 10 == 3, F.concat(F.lit("  at frame "), e("event_id").cast("string"))).otherwise(
         F.concat(
