@@ -1,0 +1,72 @@
+"""CSV round trip, catalog lookups, views, JDBC option wiring (no database is started)."""
+
+import pytest
+from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+
+from tracelake.functions.text import parse_unsigned
+from tracelake.operators.joins import left_join
+from tracelake.operators.sinks import ALREADY_EXISTS, CREATED, add_columns, create_table_as, ensure_users_table, write_csv
+from tracelake.operators.views import active_users, create_sql_view, drop_view, trimmed_users, users_with_roles
+from tracelake.schemas import spark_type
+from tracelake.sources.catalog import columns_of, current_schema, table_exists
+from tracelake.sources.csvfiles import read_csv
+from tracelake.sources.jdbc import jdbc_read_options
+
+
+def test_csv_round_trip_quotes_and_newlines(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "quoted", name'), (2, "line\nbreak"), (3, None)], "id long, name string")
+    write_csv(df, str(tmp_path / "out"))
+    back = read_csv(spark, str(tmp_path / "out"), df.schema, multiline=True)
+    assert sorted(back.collect(), key=lambda r: r.id) == sorted(df.collect(), key=lambda r: r.id)
+
+
+def test_catalog_lookup_and_columns(spark, tmp_path):
+    assert ensure_users_table(spark, "tl_users_t1") == CREATED
+    assert ensure_users_table(spark, "tl_users_t1") == ALREADY_EXISTS
+    assert table_exists(spark, "tl_users_t1") and not table_exists(spark, "tl_nope")
+    add_columns(spark, "tl_users_t1", StructType().add("score", spark_type("DECIMAL(10,2)")))
+    meta = [tuple(r) for r in columns_of(spark, "tl_users_t1").collect()]
+    assert meta[0][:2] == ("id", "BIGINT") and meta[2][:4] == ("score", "DECIMAL(10,2)", 10, 2)
+    assert current_schema(spark) == "default"
+
+
+def test_ctas(spark):
+    df = spark.range(5).select(F.col("id"), F.lit("n").alias("name"))
+    create_table_as(spark, "tl_ctas_t1", df.where("id > 2"))
+    assert spark.table("tl_ctas_t1").count() == 2
+
+
+def test_views(spark):
+    users = spark.createDataFrame([(1, " a "), (2, None), (3, "c")], "id long, name string")
+    roles = spark.createDataFrame([(1, "admin"), (1, "dev"), (9, "x")], "user_id long, role string")
+    assert sorted((tuple(r) for r in users_with_roles(users, roles).collect()), key=lambda t: (t[0], t[2] or "")) == [
+        (1, " a ", "admin"), (1, " a ", "dev"), (2, None, None), (3, "c", None)
+    ]
+    assert [r.id for r in active_users(users).collect()] == [1, 3]
+    assert trimmed_users(users).first().name == "a"
+    users.createOrReplaceTempView("tl_users_v")
+    v = create_sql_view(spark, "tl_named", "SELECT id, trim(name) AS name FROM tl_users_v WHERE name IS NOT NULL")
+    assert v.count() == 2
+    drop_view(spark, "tl_named")
+    assert not table_exists(spark, "tl_named")
+
+
+def test_left_join_plan_is_inner_plus_anti(spark):
+    a = spark.range(100).withColumnRenamed("id", "k")
+    b = spark.range(50).select(F.lit(7).cast("long").alias("rk"), F.col("id").alias("v"))
+    plan = left_join(a, b, "k", "rk")._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Inner" in plan and "LeftOuter" not in plan
+    assert left_join(a, b, "k", "rk").count() == 99 + 50
+
+
+def test_parse_unsigned(spark):
+    df = spark.createDataFrame([(" 5 ",), ("-1",), ("5.0",), ("",), ("+5",)], "v string")
+    assert [r[0] for r in df.select(parse_unsigned("v")).collect()] == [5, None, None, None, 5]
+
+
+def test_jdbc_options():
+    o = jdbc_read_options("jdbc:x://h/db", "USERS", partition_column="ID", lower_bound=0, upper_bound=1000, num_partitions=8)
+    assert o["partitionColumn"] == "ID" and o["numPartitions"] == "8" and o["fetchsize"] == "100"
+    with pytest.raises(ValueError):
+        jdbc_read_options("jdbc:x://h/db", "USERS", partition_column="ID")
