@@ -152,28 +152,31 @@ def _checked(
     value_col: str,
     lineage: Sequence[str],
 ) -> DataFrame:
-    """Per non-NULL message: lineage, raw value, ``elements`` (array<variant>), ``ok`` and ``reason``."""
+    """Per message: lineage, ``_null`` (tombstone), ``_els`` (array<variant>), ``_ok`` and ``_reason``.
+
+    Tombstones are not filtered here: a filter on the value would be pushed below the projection that computes
+    it and evaluate that expression twice; the generator in the callers emits nothing for them instead. Each
+    stage is a separate projection whose outputs are used more than once, so nothing is parsed twice.
+    """
     v = F.col(value_col).cast("string")
-    utf8 = F.is_valid_utf8(v)
     # Two wrappers: Spark's JSON reader stops after the first complete value, so "X] zz" passes the array
     # wrapper alone and "X} zz" the object wrapper alone; "X,X" passes neither (array size 2, object key error).
     as_array = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
     as_object = F.try_parse_json(F.concat(F.lit('{"p":'), v, F.lit("}")))
-    stage1 = messages.where(F.col(value_col).isNotNull()).select(
+    stage1 = messages.select(
         *lineage,
-        F.col(value_col).alias("_raw"),
-        utf8.alias("_utf8"),
+        F.col(value_col).isNull().alias("_null"),
+        F.coalesce(F.is_valid_utf8(v), F.lit(False)).alias("_utf8"),
         as_array.alias("_a"),
         as_object.isNotNull().alias("_b"),
     )
-    well_formed = F.col("_utf8") & F.col("_b") & F.col("_a").isNotNull() & (
-        F.size(F.try_variant_get(F.col("_a"), "$", "array<variant>")) == 1
+    well_formed = F.col("_utf8") & F.col("_b") & F.col("_a").isNotNull() & F.coalesce(
+        F.size(F.try_variant_get(F.col("_a"), "$", "array<variant>")) == 1, F.lit(False)
     )
+    stage2 = stage1.select(*lineage, "_null", "_utf8", "_a", well_formed.alias("_wf"))
     x = F.try_variant_get(F.col("_a"), "$[0]", "variant")
-    elements = F.when(
-        well_formed, F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x))
-    )
-    stage2 = stage1.select(*lineage, "_raw", "_utf8", well_formed.alias("_wf"), elements.alias("_els"))
+    elements = F.when(F.col("_wf"), F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)))
+    stage3 = stage2.select(*lineage, "_null", "_utf8", "_wf", elements.alias("_els"))
 
     def element_ok(e: Column) -> Column:
         ok = F.lit(True)
@@ -186,13 +189,13 @@ def _checked(
         return ok
 
     rows_ok = F.coalesce(F.forall("_els", lambda e: F.coalesce(element_ok(e), F.lit(False))), F.lit(False))
-    ok = F.col("_wf") & rows_ok
+    stage4 = stage3.select(*lineage, "_null", "_utf8", "_wf", "_els", rows_ok.alias("_rows_ok"))
     reason = (
         F.when(~F.col("_utf8"), F.lit(REASON_UTF8))
         .when(~F.col("_wf"), F.lit(REASON_JSON))
-        .when(~rows_ok, F.lit(REASON_ROW))
+        .when(~F.col("_rows_ok"), F.lit(REASON_ROW))
     )
-    return stage2.select(*lineage, "_raw", "_els", ok.alias("_ok"), reason.alias("_reason"))
+    return stage4.select(*lineage, "_null", "_els", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason"))
 
 
 def _row_struct(e: Column, schema: T.StructType) -> Column:
@@ -240,7 +243,9 @@ def decode_verdicts(
             F.col("_reason").alias("reason"),
         )
     )
-    exploded = checked.select(*lineage, F.inline(F.when(F.col("_ok"), good).otherwise(bad).cast(out_type)))
+    none = F.array().cast(out_type)
+    out = F.when(F.col("_null"), none).when(F.col("_ok"), good.cast(out_type)).otherwise(bad.cast(out_type))
+    exploded = checked.select(*lineage, F.inline(out))
     return exploded.select(*lineage, "pos", "verdict", *[F.col("row")[f.name].alias(f.name) for f in schema.fields], "reason")
 
 
@@ -262,7 +267,7 @@ def decode(
     where = F.concat_ws(
         "/", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in lineage]
     ) if lineage else F.lit("?")
-    els = F.when(F.col("_ok"), F.col("_els")).otherwise(
+    els = F.when(F.col("_null"), F.array().cast("array<variant>")).when(F.col("_ok"), F.col("_els")).otherwise(
         F.raise_error(F.concat(F.lit("bad message at "), where, F.lit(": "), F.col("_reason"))).cast("array<variant>")
     )
     exploded = checked.select(*lineage, F.posexplode(els).alias("pos", "_e"))
