@@ -125,3 +125,24 @@ def test_positional_order_kept_inside_message(spark):
 def test_encode_each_single_objects(spark):
     df = spark.createDataFrame([("t", "i", "c", "m")], ", ".join(f"{f} string" for f in LOG_FIELDS))
     assert encode_each(df).first().value == E
+
+
+def test_positional_messages_across_arrow_batches_and_groups(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(0, 200, numPartitions=2).select(
+            F.col("id").cast("string").alias("timestamp"), F.lit("i").alias("level"), F.lit("c").alias("component"),
+            F.lit("m").alias("message"), F.floor(F.col("id") / 23).cast("string").alias("file_path"),
+        )
+        msgs = encode(df, LOG_FIELDS, chunk_rows=5, group_by=["file_path"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = []
+    for m in msgs:
+        ids = [int(x["timestamp"]) for x in json.loads(m.value)]
+        assert 1 <= len(ids) <= 5 and len(ids) == m.n_rows
+        assert ids == list(range(ids[0], ids[0] + len(ids)))  # consecutive, in scan order
+        assert {str(i // 23) for i in ids} == {m.file_path}  # never mixes groups
+        seen += ids
+    assert sorted(seen) == list(range(200))
+    assert len({m.chunk for m in msgs}) == len(msgs)

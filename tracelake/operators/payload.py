@@ -40,33 +40,23 @@ def encode(
 
     Two ways to cut messages, both with bounded groups (no message holds a whole data set):
 
-    * positional (default): rows are numbered inside their scan partition and cut every ``chunk_rows`` rows;
-      row order inside a message is scan order. Every row of a message comes from one input partition, so the
-      partial (map-side) aggregation already builds whole messages and the shuffle moves one record per message.
-    * keyed: ``chunk_by`` is a column that names the message (e.g. ``floor(seq / 1000)`` over a unique sequence
-      number) and ``order_by`` orders rows inside it. Deterministic across runs and engines; the caller keeps the
-      groups bounded.
+    * positional (default): consecutive rows of a scan partition, at most ``chunk_rows`` per message, in scan
+      order, never mixing ``group_by`` values (e.g. files). Streamed per partition, no shuffle (see
+      :func:`_pack_positional`).
+    * keyed: ``chunk_by`` names the message (e.g. ``floor(seq / 1000)`` over a unique sequence number) and
+      ``order_by`` orders rows inside it. Deterministic across runs and engines; the caller keeps groups bounded.
+      One shuffle on the message key; ``collect_list`` is partially aggregated map-side.
     """
     if not 1 <= chunk_rows <= MAX_CHUNK_ROWS:
         raise ValueError(f"chunk_rows must be in 1..{MAX_CHUNK_ROWS}")
     fields = list(fields or [c for c in rows.columns if c not in set(order_by) | set(group_by)])
     row = F.struct(*[F.col(f) for f in fields])
     if chunk_by is None:
-        mid = F.monotonically_increasing_id()
-        staged = rows.select(
-            *group_by,
-            (F.shiftright(mid, _POS_BITS) * F.lit(1 << _POS_BITS) + F.floor((mid.bitwiseAND(F.lit(_POS_MASK))) / chunk_rows))
-            .cast("bigint")
-            .alias("chunk"),
-            F.struct(mid.alias("o0"), row.alias("row")).alias("_e"),
-        )
-    else:
-        if not order_by:
-            raise ValueError("keyed chunks need order_by columns")
-        order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
-        staged = rows.select(
-            *group_by, chunk_by.cast("bigint").alias("chunk"), F.struct(*order, row.alias("row")).alias("_e")
-        )
+        return _pack_positional(rows.select(*group_by, F.to_json(row).alias("_json")), chunk_rows, list(group_by))
+    if not order_by:
+        raise ValueError("keyed chunks need order_by columns")
+    order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
+    staged = rows.select(*group_by, chunk_by.cast("bigint").alias("chunk"), F.struct(*order, row.alias("row")).alias("_e"))
     packed = staged.groupBy(*group_by, "chunk").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list("_e")).alias("_es")
     )
@@ -78,6 +68,88 @@ def encode(
     )
 
 
+def _pack_positional(row_json: DataFrame, chunk_rows: int, group_by: list[str]) -> DataFrame:
+    """Concatenate runs of per-row JSON objects into ``[o1,o2,...]`` messages, one streaming pass per partition.
+
+    Rows are serialized to JSON in the JVM (``to_json``); Python only sees Arrow batches and joins them with
+    Arrow's C++ ``binary_join`` over list offsets - no per-row Python, no shuffle, no sort. At most ``chunk_rows``
+    rows are carried between batches, so memory per task is bounded. A message never spans two ``group_by``
+    values; chunk ids are ``partition_id * 2^33 + message number in the partition``. The bytes equal Spark's
+    ``to_json`` of the row array (compact, ``,``-separated).
+    """
+    out_fields = [row_json.schema[g] for g in group_by] + [
+        T.StructField("chunk", T.LongType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("value", T.StringType()),
+    ]
+    out_schema = T.StructType(out_fields)
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        base = TaskContext.get().partitionId() << _POS_BITS
+        seq = 0
+        carry: pa.Table | None = None
+
+        def emit(tbl: pa.Table, final: bool):
+            nonlocal seq
+            n = tbl.num_rows
+            if n == 0:
+                return None, tbl
+            # run starts: a new group value, or every chunk_rows rows inside a run
+            if group_by:
+                codes = [
+                    np.asarray(pc.dictionary_encode(tbl.column(g).combine_chunks()).indices.fill_null(-1))
+                    for g in group_by
+                ]
+                change = np.zeros(n, dtype=bool)
+                change[0] = True
+                for c in codes:
+                    change[1:] |= c[1:] != c[:-1]
+                run_id = np.cumsum(change) - 1
+                run_start = np.flatnonzero(change)[run_id]
+            else:
+                run_start = np.zeros(n, dtype=np.int64)
+            pos_in_run = np.arange(n) - run_start
+            starts = np.flatnonzero((pos_in_run % chunk_rows) == 0)
+            ends = np.append(starts[1:], n)
+            if not final:  # keep the last (possibly incomplete) message for the next batch
+                keep_from = starts[-1]
+                starts, ends = starts[:-1], ends[:-1]
+                rest = tbl.slice(keep_from)
+            else:
+                rest = None
+            if len(starts) == 0:
+                return None, rest
+            values = tbl.column("_json").combine_chunks()
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]), pa.int32()), values.slice(0, ends[-1]))
+            body = pc.binary_join(lists, ",")
+            value = pc.binary_join_element_wise(pa.scalar("["), body, pa.scalar("]"), "")
+            cols = [tbl.column(g).combine_chunks().take(pa.array(starts)) for g in group_by]
+            chunk = pa.array(base + seq + np.arange(len(starts)), pa.int64())
+            seq += len(starts)
+            n_rows = pa.array(ends - starts, pa.int64())
+            out = pa.RecordBatch.from_arrays(cols + [chunk, n_rows, value], names=[*group_by, "chunk", "n_rows", "value"])
+            return out, rest
+
+        for batch in batches:
+            tbl = pa.Table.from_batches([batch])
+            if carry is not None and carry.num_rows:
+                tbl = pa.concat_tables([carry, tbl])
+            out, carry = emit(tbl, final=False)
+            if out is not None:
+                yield out
+        if carry is not None and carry.num_rows:
+            out, _ = emit(carry, final=True)
+            if out is not None:
+                yield out
+
+    return row_json.mapInArrow(pack, out_schema)
+
+
 def encode_each(rows: DataFrame, fields: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """One message per row: the row as a bare JSON object (``keep`` columns ride along)."""
     fields = list(fields or [c for c in rows.columns if c not in set(keep)])
