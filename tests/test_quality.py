@@ -54,3 +54,23 @@ def test_op_log_row_even_for_zero(spark):
 def test_normalise_unicode_trim(spark):
     df = spark.createDataFrame([("\u00a0 x \u2003",)], "name string")
     assert normalise(df, "name").first().name == "x"
+
+
+def test_fetch_users_normalises_and_fails_on_bad_id(spark):
+    from tracelake.operators.quality import fetch_users
+
+    t = spark.createDataFrame([(" 1 ", " User1 "), ("2", None)], "ID string, NAME string")
+    assert [tuple(r) for r in fetch_users(t).collect()] == [(1, "User1"), (2, "")]
+    with pytest.raises(Exception, match="bad ID: -3"):
+        fetch_users(spark.createDataFrame([("-3", "x")], "ID string, NAME string")).collect()
+
+
+def test_delete_with_log_writes_statement_row_even_for_zero(spark, tmp_path):
+    from tracelake.plans.jobs import delete_with_log
+
+    users = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    assert delete_with_log(spark, users, "id = 1", str(tmp_path / "v2"), str(tmp_path / "oplog")) == 1
+    assert delete_with_log(spark, users, "id = 9", str(tmp_path / "v3"), str(tmp_path / "oplog")) == 0
+    log = sorted(r.n_rows for r in spark.read.parquet(str(tmp_path / "oplog")).collect())
+    assert log == [0, 1]
+    assert spark.read.parquet(str(tmp_path / "v2")).count() == 1

@@ -83,3 +83,18 @@ def test_catalog_table_target(spark, tmp_path):
     assert spark.table(name).count() == 6
     view = log_view(spark, name, "log_entries_v")
     assert view.columns == list(LOG_FIELDS)
+
+
+def test_logs_to_topic_counts_and_messages(spark, tmp_path):
+    from tracelake.plans.jobs import TopicSink, logs_to_topic
+    from tracelake.operators.payload import decode
+    from tracelake.sources.topic import read_topic
+    from test_logparse import SEVEN
+
+    f = tmp_path / "indexserver.trc"
+    f.write_text(SEVEN + "\n  at frame 1\n")
+    topic = str(tmp_path / "topic")
+    counts = logs_to_topic(spark, str(f), TopicSink(topic="logs", path=topic), chunk_rows=3)
+    assert counts == {"rows": 7, "messages": 3}
+    back = decode(read_topic(spark, path=topic)).orderBy("offset", "pos")
+    assert [r.level for r in back.collect()] == ["i", "i", "w", "e", "e", "e", "i"]

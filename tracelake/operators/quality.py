@@ -116,3 +116,15 @@ def op_log_entry(spark: SparkSession, op: str, n_rows: int | None, happened_at=N
 def normalise(df: DataFrame, column: str, fn: Callable[[Column], Column] = unicode_trim) -> DataFrame:
     """Apply a normaliser (default: Unicode trim) to one column."""
     return df.withColumn(column, fn(F.col(column)))
+
+
+def fetch_users(table: DataFrame, id_col: str = "ID", name_col: str = "NAME") -> DataFrame:
+    """Users as read from the source table: ``id`` must be an unsigned integer (the read fails otherwise),
+    ``name`` is decoded leniently (invalid UTF-8 replaced), trimmed, and NULL becomes ''.
+    """
+    raw_id = F.col(id_col).cast("string")
+    parsed = F.trim(raw_id).try_cast("bigint")
+    bad = parsed.isNull() | (parsed < 0)
+    id_ok = F.when(bad, F.raise_error(F.concat(F.lit("bad ID: "), F.coalesce(raw_id, F.lit("NULL"))))).otherwise(parsed)
+    name = unicode_trim(F.coalesce(F.make_valid_utf8(F.col(name_col).cast("string")), F.lit("")))
+    return table.select(id_ok.cast("bigint").alias("id"), name.alias("name"))

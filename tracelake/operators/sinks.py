@@ -43,13 +43,20 @@ def ensure_table(
     return CREATED
 
 
-def append(df: DataFrame, target: str, *, is_path: bool = False) -> None:
-    """Append rows. A catalog v1 table takes ``insertInto`` (by position, so the frame is ordered like the table)."""
+def append(df: DataFrame, target: str, *, is_path: bool = False, v2: bool = False) -> None:
+    """Append rows as one commit.
+
+    ``v2`` tables (Iceberg and other catalogs with a v2 connector) use ``writeTo(...).append()``; catalog v1 tables
+    take ``insertInto`` (by position, so the frame is ordered like the table); ``is_path`` appends Parquet files.
+    """
     if df.isEmpty():  # empty-batch guard: do not touch the table
         return
     if is_path:
         df.write.mode("append").parquet(target)
         return
+    if v2:
+        df.writeTo(target).append()
+        return
     cols = df.sparkSession.table(target).columns
     df.select(*cols).write.insertInto(target)
 

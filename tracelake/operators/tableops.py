@@ -87,8 +87,8 @@ def upsert(
 ) -> DataFrame:
     """``UPSERT ... WITH PRIMARY KEY``: changed keys take the change row, new keys are inserted, others stay.
 
-    ``order_by`` picks the winning change when a key appears more than once (required in that case, otherwise
-    the result would depend on arrival order). Columns of ``current`` define the output; ``order_by`` columns that
+    ``order_by`` picks the winning change when a key appears more than once. Without it every change row is
+    kept (a repeated key stays repeated) and the anti join uses the distinct change keys. Columns of ``current`` define the output; ``order_by`` columns that
     are not table columns are dropped.
     """
     key = [key] if isinstance(key, str) else list(key)
@@ -98,7 +98,8 @@ def upsert(
     changes = changes.select(*[F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in cols])
     if normalise:
         changes = changes.select(*[normalise[c](F.col(c)).alias(c) if c in normalise else F.col(c) for c in cols])
-    kept = current.join(changes.select(*key), on=key, how="left_anti")
+    change_keys = changes.select(*key) if order_by else changes.select(*key).distinct()
+    kept = current.join(change_keys, on=key, how="left_anti")
     return kept.unionByName(changes.select(*cols))
 
 

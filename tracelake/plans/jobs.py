@@ -100,3 +100,29 @@ def topic_to_table_full(spark: SparkSession, topic_path: str | None, target: Ing
     rows = _landing_rows(decode(messages))
     overwrite_partition(rows, target.table, {"ingest": ingest, "batch_id": 0}, is_path=target.is_path)
     return ingest
+
+
+def delete_with_log(
+    spark: SparkSession,
+    current: DataFrame,
+    where,
+    next_path: str,
+    op_log_path: str,
+    *,
+    op: str = "DELETE USERS",
+) -> int:
+    """``DELETE FROM t WHERE cond`` plus its statement-level log row.
+
+    Writes the next version of the table to ``next_path`` (never over the path being read), counting deleted rows
+    in the same pass, then appends ``(op, happened_at, n_rows)`` to ``op_log_path`` - also when 0 rows went.
+    """
+    from pyspark.sql import Observation
+
+    from tracelake.operators.quality import op_log_entry
+    from tracelake.operators.tableops import delete
+
+    obs = Observation("delete")
+    delete(current, where, observation=obs).write.mode("errorifexists").parquet(next_path)
+    n = int(obs.get.get("deleted") or 0)
+    op_log_entry(spark, op, n).write.mode("append").parquet(op_log_path)
+    return n

@@ -46,13 +46,20 @@ def read_topic_stream(
     topic: str | None = None,
     options: Mapping[str, str] | None = None,
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Incremental read; progress lives in the query checkpoint, so each message is processed once."""
+    """Incremental read; progress lives in the query checkpoint, so each message is processed once.
+
+    ``max_files_per_trigger`` / ``max_offsets_per_trigger`` bound a micro-batch, so a large backlog is worked off
+    in several committed batches (also under ``availableNow``) instead of one huge one.
+    """
     if path is not None:
         reader = spark.readStream.schema(TOPIC)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.parquet(path)
     opts = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(_kafka_options(brokers, topic, options))
     return spark.readStream.format("kafka").options(**opts).load()
