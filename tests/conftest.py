@@ -14,6 +14,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tracelake.session import local_session
 
-    s = local_session(4, shuffle_partitions=4, app="tracelake-tests")
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="tracelake-warehouse-")
+    s = local_session(4, shuffle_partitions=4, app="tracelake-tests", conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

@@ -31,6 +31,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
+def ntz_text(ts) -> "F.Column":
+    """``yyyy-MM-dd HH:mm:ss.SSS`` of a ``timestamp_ntz`` from its fields (milliseconds truncated).
+
+    ``date_format`` would cast to a session-time-zone timestamp first, which shifts wall-clock times that fall
+    into a daylight-saving gap; the field functions on ``timestamp_ntz`` involve no time zone.
+    """
+    sec = F.date_part(F.lit("SECOND"), ts)  # decimal(8,6): seconds with microseconds
+    return F.format_string(
+        "%04d-%02d-%02d %02d:%02d:%02d.%03d",
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+        F.floor(sec).cast("int"), (F.floor(sec * 1000) % 1000).cast("int"),
+    )
+
+
 def trace_lines(events: DataFrame) -> DataFrame:
     """Render one trace line (column ``value``) per event, plus ``event_id`` for ordering."""
     events = spread(events)
@@ -42,7 +56,7 @@ def trace_lines(events: DataFrame) -> DataFrame:
             F.lit("]{-1}["),
             (e("event_id") % 5).cast("string"),
             F.lit("/-1] "),
-            F.date_format(e("ts"), "yyyy-MM-dd HH:mm:ss.SSS"),
+            ntz_text(e("ts")),
             F.lit(" "),
             F.substring(e("event_type"), 1, 1),
             F.lit(" "),

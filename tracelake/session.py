@@ -9,11 +9,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None, app: str = "tracelake") -> SparkSession:
+def local_session(
+    cpus: int | str = "*",
+    shuffle_partitions: int | None = None,
+    app: str = "tracelake",
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
     """Session for tests and the local benchmark. On a cluster use the session the platform gives you."""
     parts = shuffle_partitions or (os.cpu_count() if cpus == "*" else int(cpus))
+    builder = SparkSession.builder
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
