@@ -70,3 +70,21 @@ def test_jdbc_options():
     assert o["partitionColumn"] == "ID" and o["numPartitions"] == "8" and o["fetchsize"] == "100"
     with pytest.raises(ValueError):
         jdbc_read_options("jdbc:x://h/db", "USERS", partition_column="ID")
+
+
+def test_left_join_with_hot_key_equals_plain_left_join(spark):
+    users = spark.range(0, 300).select(F.col("id"), F.col("id").cast("string").alias("name"))
+    hot = spark.range(0, 3000).select(F.lit(7).cast("long").alias("user_id"), F.col("id").cast("string").alias("role"))
+    cold = spark.range(0, 6000).select((F.col("id") % 150).alias("user_id"), F.lit("r").alias("role"))
+    roles = hot.unionByName(cold)
+    ours = users_with_roles(users, roles)
+    plain = users.join(roles, users.id == roles.user_id, "left").select("id", "name", "role")
+    assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
+    assert ours.count() == 9000 + 150
+
+
+def test_first_char_default(spark):
+    from tracelake.functions.logline import first_char
+
+    df = spark.createDataFrame([("abc",), ("",), (None,), ("\U0001F600x",)], "s string")
+    assert [r[0] for r in df.select(first_char("s")).collect()] == ["a", "?", "?", "\U0001F600"]

@@ -16,7 +16,7 @@ E = '{"timestamp":"t","level":"i","component":"c","message":"%s"}'
 
 def _topic(spark, path, values, start=0):
     df = spark.createDataFrame([(start + i, v) for i, v in enumerate(values)], "chunk long, value string")
-    write_topic_table(as_topic_messages(df, "logs", 2), path)
+    write_topic_table(as_topic_messages(df.coalesce(1), "logs", 2), path)  # one file per append
 
 
 def _count(spark, path):
@@ -98,3 +98,14 @@ def test_logs_to_topic_counts_and_messages(spark, tmp_path):
     assert counts == {"rows": 7, "messages": 3}
     back = decode(read_topic(spark, path=topic)).orderBy("offset", "pos")
     assert [r.level for r in back.collect()] == ["i", "i", "w", "e", "e", "e", "i"]
+
+
+def test_multiple_micro_batches_each_own_partition(spark, tmp_path):
+    topic, table, chk = str(tmp_path / "topic"), str(tmp_path / "table"), str(tmp_path / "chk")
+    for k in range(3):  # three files -> three batches with maxFilesPerTrigger=1
+        _topic(spark, topic, [E % f"{k}-{i}" for i in range(4)], start=10 * k)
+    target = IngestTarget(table=table, ingest="mb", is_path=True)
+    run_ingest_once(read_topic_stream(spark, path=topic, max_files_per_trigger=1), target, chk)
+    df = spark.read.parquet(table)
+    assert df.count() == 12
+    assert sorted(r.batch_id for r in df.select("batch_id").distinct().collect()) == [0, 1, 2]

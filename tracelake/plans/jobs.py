@@ -19,7 +19,7 @@ from tracelake.operators.sinks import overwrite_partition, publish, write_topic_
 from tracelake.schemas import LOG_FIELDS
 from tracelake.sources.logfiles import read_log_files
 from tracelake.sources.topic import read_topic, read_topic_stream
-from tracelake.streaming.ingest import IngestTarget, _landing_rows, ensure_log_tables, run_ingest_once
+from tracelake.streaming.ingest import IngestTarget, landing_rows, ensure_log_tables, run_ingest_once
 
 
 @dataclass
@@ -97,7 +97,7 @@ def topic_to_table_full(spark: SparkSession, topic_path: str | None, target: Ing
     ensure_log_tables(spark, target)
     messages = read_topic(spark, path=topic_path, **kafka)
     ingest = f"{target.ingest}-full-{uuid.uuid4().hex[:8]}"
-    rows = _landing_rows(decode(messages))
+    rows = landing_rows(decode(messages))
     overwrite_partition(rows, target.table, {"ingest": ingest, "batch_id": 0}, is_path=target.is_path)
     return ingest
 

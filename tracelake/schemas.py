@@ -60,20 +60,32 @@ TOPIC = T.StructType(
     ]
 )
 
-# Rows the strict decoder could not accept.
-QUARANTINE = T.StructType(
-    [
-        T.StructField("topic", T.StringType(), True),
-        T.StructField("partition", T.IntegerType(), True),
-        T.StructField("offset", T.LongType(), True),
-        T.StructField("value", T.BinaryType(), True),
-        T.StructField("reason", T.StringType(), False),
+# Landing table: the four log columns, where each row came from, then the replay-safe partition columns.
+LOG_TABLE = T.StructType(
+    list(LOG_ENTRY.fields)
+    + [
+        T.StructField("src_topic", T.StringType()),
+        T.StructField("src_partition", T.IntegerType()),
+        T.StructField("src_offset", T.LongType()),
+        T.StructField("src_pos", T.IntegerType()),
+        T.StructField("ingest", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
-
-# Landing table: the four log columns plus the replay-safe partition columns.
 LOG_TABLE_PARTITIONS = ("ingest", "batch_id")
 
+# Messages the strict decoder rejected (quarantine mode).
+QUARANTINE_TABLE = T.StructType(
+    [
+        T.StructField("src_topic", T.StringType()),
+        T.StructField("src_partition", T.IntegerType()),
+        T.StructField("src_offset", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("ingest", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 # SQL type names of the handbook mapped to Spark types (TIME needs spark.sql.timeType.enabled).
 SQL_TYPE_MAP = {
     "TINYINT": T.ShortType(),

@@ -12,39 +12,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tracelake.operators.payload import decode, decode_verdicts, split_verdicts
 from tracelake.operators.sinks import ensure_table, overwrite_partition
-from tracelake.schemas import LOG_ENTRY
+from tracelake.schemas import LOG_ENTRY, LOG_TABLE, LOG_TABLE_PARTITIONS, QUARANTINE_TABLE
 
 LINEAGE = ("topic", "partition", "offset")
-# Landing-table columns: the four log fields, where each row came from, then the partition columns.
-LOG_TABLE = T.StructType(
-    list(LOG_ENTRY.fields)
-    + [
-        T.StructField("src_topic", T.StringType()),
-        T.StructField("src_partition", T.IntegerType()),
-        T.StructField("src_offset", T.LongType()),
-        T.StructField("src_pos", T.IntegerType()),
-        T.StructField("ingest", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-QUARANTINE_TABLE = T.StructType(
-    [
-        T.StructField("src_topic", T.StringType()),
-        T.StructField("src_partition", T.IntegerType()),
-        T.StructField("src_offset", T.LongType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("ingest", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-
-
-def _landing_rows(rows: DataFrame) -> DataFrame:
+
+
+def landing_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         *LOG_ENTRY.fieldNames(),
         F.col("topic").alias("src_topic"),
@@ -67,9 +44,9 @@ class IngestTarget:
 def ensure_log_tables(spark: SparkSession, target: IngestTarget) -> None:
     if target.is_path:
         return
-    ensure_table(spark, target.table, LOG_TABLE, partition_by=("ingest", "batch_id"))
+    ensure_table(spark, target.table, LOG_TABLE, partition_by=LOG_TABLE_PARTITIONS)
     if target.quarantine:
-        ensure_table(spark, target.quarantine, QUARANTINE_TABLE, partition_by=("ingest", "batch_id"))
+        ensure_table(spark, target.quarantine, QUARANTINE_TABLE, partition_by=LOG_TABLE_PARTITIONS)
 
 
 def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error: str = "fail") -> None:
@@ -78,14 +55,14 @@ def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error:
         return
     spec = {"ingest": target.ingest, "batch_id": int(batch_id)}
     if on_error == "fail":
-        overwrite_partition(_landing_rows(decode(batch, lineage=LINEAGE)), target.table, spec, is_path=target.is_path)
+        overwrite_partition(landing_rows(decode(batch, lineage=LINEAGE)), target.table, spec, is_path=target.is_path)
         return
     if on_error != "quarantine":
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     verdicts = decode_verdicts(batch, lineage=LINEAGE).persist()
     try:
         good, bad = split_verdicts(verdicts)
-        overwrite_partition(_landing_rows(good), target.table, spec, is_path=target.is_path)
+        overwrite_partition(landing_rows(good), target.table, spec, is_path=target.is_path)
         if target.quarantine:
             bad_rows = bad.select(
                 F.col("topic").alias("src_topic"),
