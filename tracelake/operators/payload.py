@@ -190,8 +190,8 @@ REASON_JSON = "malformed_json"
 REASON_ROW = "bad_row"
 
 
-def _field_ok(e: Column, field: T.StructField) -> Column:
-    got = F.try_variant_get(e, f"$.{field.name}", "variant")
+def _field_ok(got: Column, field: T.StructField) -> Column:
+    """``got`` is the field's value as a variant (NULL when the key is missing)."""
     kinds = _KINDS.get(type(field.dataType))
     if kinds is not None:
         kind = F.schema_of_variant(got)
@@ -199,12 +199,12 @@ def _field_ok(e: Column, field: T.StructField) -> Column:
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             ok = ok | kind.startswith("DECIMAL")
         if isinstance(field.dataType, (T.IntegerType, T.ShortType)):
-            ok = ok & F.try_variant_get(e, f"$.{field.name}", field.dataType.simpleString()).isNotNull()
+            ok = ok & F.try_variant_get(got, "$", field.dataType.simpleString()).isNotNull()
     else:
-        ok = F.try_variant_get(e, f"$.{field.name}", field.dataType.simpleString()).isNotNull()
+        ok = F.try_variant_get(got, "$", field.dataType.simpleString()).isNotNull()
     if field.nullable:
         ok = got.isNull() | (F.schema_of_variant(got) == "VOID") | ok
-    return ok
+    return F.coalesce(ok, F.lit(False))
 
 
 def default_constraints(schema: T.StructType) -> dict[str, Callable[[Column], Column]]:
@@ -217,6 +217,10 @@ def default_constraints(schema: T.StructType) -> dict[str, Callable[[Column], Co
     return out
 
 
+def _variant_struct(schema: T.StructType) -> str:
+    return "struct<" + ",".join(f"`{f.name}`:variant" for f in schema.fields) + ">"
+
+
 def _checked(
     messages: DataFrame,
     schema: T.StructType,
@@ -224,15 +228,16 @@ def _checked(
     value_col: str,
     lineage: Sequence[str],
 ) -> DataFrame:
-    """Per message: lineage, ``_null`` (tombstone), ``_els`` (array<variant>), ``_ok`` and ``_reason``.
+    """Per message: lineage, ``_null`` (tombstone), ``_fs`` (array of per-element field variants), ``_ok``, ``_reason``.
 
     Tombstones are not filtered here: a filter on the value would be pushed below the projection that computes
     it and evaluate that expression twice; the generator in the callers emits nothing for them instead. Each
-    stage is a separate projection whose outputs are used more than once, so nothing is parsed twice.
+    stage is a separate projection whose outputs are used more than once, so nothing is parsed twice, and each
+    element is cut into its fields by one variant-to-struct cast (unknown keys ignored, missing keys NULL).
     """
     v = F.col(value_col).cast("string")
     # Two wrappers: Spark's JSON reader stops after the first complete value, so "X] zz" passes the array
-    # wrapper alone and "X} zz" the object wrapper alone; "X,X" passes neither (array size 2, object key error).
+    # wrapper alone and "X} zz" the object wrapper alone; "X,X" passes neither (two elements, object key error).
     as_array = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
     as_object = F.try_parse_json(F.concat(F.lit('{"p":'), v, F.lit("}")))
     stage1 = messages.select(
@@ -242,36 +247,36 @@ def _checked(
         as_array.alias("_a"),
         as_object.isNotNull().alias("_b"),
     )
-    well_formed = F.col("_utf8") & F.col("_b") & F.col("_a").isNotNull() & F.coalesce(
-        F.size(F.try_variant_get(F.col("_a"), "$", "array<variant>")) == 1, F.lit(False)
-    )
-    stage2 = stage1.select(*lineage, "_null", "_utf8", "_a", well_formed.alias("_wf"))
-    x = F.try_variant_get(F.col("_a"), "$[0]", "variant")
-    elements = F.when(F.col("_wf"), F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)))
-    stage3 = stage2.select(*lineage, "_null", "_utf8", "_wf", elements.alias("_els"))
-
-    def element_ok(e: Column) -> Column:
-        ok = F.lit(True)
+    x0 = F.try_variant_get(F.col("_a"), "$[0]", "variant")
+    single = F.try_variant_get(F.col("_a"), "$[1]", "variant").isNull()  # JSON null is not SQL NULL
+    stage2 = stage1.select(*lineage, "_null", "_utf8", "_b", x0.alias("_x"), single.alias("_single"))
+    well_formed = F.col("_utf8") & F.col("_b") & F.col("_x").isNotNull() & F.col("_single")
+    elements = F.when(well_formed, F.coalesce(F.try_variant_get("_x", "$", "array<variant>"), F.array("_x")))
+    fields = F.transform(elements, lambda e: F.try_variant_get(e, "$", _variant_struct(schema)))
+    stage3 = stage2.select(*lineage, "_null", "_utf8", well_formed.alias("_wf"), fields.alias("_fs"))
+
+    def element_ok(fs: Column) -> Column:
+        ok = fs.isNotNull()
         for f in schema.fields:
-            ok = ok & _field_ok(e, f)
+            got = fs[f.name]
+            ok = ok & _field_ok(got, f)
             if f.name in constraints:
-                ok = ok & F.coalesce(
-                    constraints[f.name](F.try_variant_get(e, f"$.{f.name}", f.dataType.simpleString())), F.lit(f.nullable)
-                )
+                typed = F.try_variant_get(got, "$", f.dataType.simpleString())
+                ok = ok & F.coalesce(constraints[f.name](typed), F.lit(f.nullable))
         return ok
 
-    rows_ok = F.coalesce(F.forall("_els", lambda e: F.coalesce(element_ok(e), F.lit(False))), F.lit(False))
-    stage4 = stage3.select(*lineage, "_null", "_utf8", "_wf", "_els", rows_ok.alias("_rows_ok"))
+    rows_ok = F.coalesce(F.forall("_fs", lambda fs: F.coalesce(element_ok(fs), F.lit(False))), F.lit(False))
+    stage4 = stage3.select(*lineage, "_null", "_utf8", "_wf", "_fs", rows_ok.alias("_rows_ok"))
     reason = (
         F.when(~F.col("_utf8"), F.lit(REASON_UTF8))
         .when(~F.col("_wf"), F.lit(REASON_JSON))
         .when(~F.col("_rows_ok"), F.lit(REASON_ROW))
     )
-    return stage4.select(*lineage, "_null", "_els", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason"))
+    return stage4.select(*lineage, "_null", "_fs", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason"))
 
 
-def _row_struct(e: Column, schema: T.StructType) -> Column:
-    return F.struct(*[F.variant_get(e, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields])
+def _row_struct(fs: Column, schema: T.StructType) -> Column:
+    return F.struct(*[F.variant_get(fs[f.name], "$", f.dataType.simpleString()).alias(f.name) for f in schema.fields])
 
 
 def decode_verdicts(
@@ -303,9 +308,9 @@ def decode_verdicts(
         )
     )
     good = F.transform(
-        "_els",
-        lambda e, i: F.struct(
-            i.alias("pos"), F.lit("ok").alias("verdict"), _row_struct(e, schema).alias("row"),
+        "_fs",
+        lambda fs, i: F.struct(
+            i.alias("pos"), F.lit("ok").alias("verdict"), _row_struct(fs, schema).alias("row"),
             F.lit(None).cast("string").alias("reason"),
         ),
     )
@@ -339,13 +344,12 @@ def decode(
     where = F.concat_ws(
         "/", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in lineage]
     ) if lineage else F.lit("?")
-    els = F.when(F.col("_null"), F.array().cast("array<variant>")).when(F.col("_ok"), F.col("_els")).otherwise(
-        F.raise_error(F.concat(F.lit("bad message at "), where, F.lit(": "), F.col("_reason"))).cast("array<variant>")
-    )
-    exploded = checked.select(*lineage, F.posexplode(els).alias("pos", "_e"))
-    return exploded.select(*lineage, F.col("pos").cast("int").alias("pos"), *[
-        F.variant_get("_e", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields
-    ])
+    row_type = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
+    rows = F.transform("_fs", lambda fs: _row_struct(fs, schema))
+    failed = F.raise_error(F.concat(F.lit("bad message at "), where, F.lit(": "), F.col("_reason"))).cast(row_type)
+    els = F.when(F.col("_null"), F.array().cast(row_type)).when(F.col("_ok"), rows.cast(row_type)).otherwise(failed)
+    exploded = checked.select(*lineage, F.posexplode(els).alias("pos", "_r"))
+    return exploded.select(*lineage, F.col("pos").cast("int").alias("pos"), *[F.col("_r")[f.name].alias(f.name) for f in schema.fields])
 
 
 def split_verdicts(verdicts: DataFrame, schema: T.StructType = LOG_ENTRY) -> tuple[DataFrame, DataFrame]:
