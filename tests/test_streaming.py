@@ -109,3 +109,13 @@ def test_multiple_micro_batches_each_own_partition(spark, tmp_path):
     df = spark.read.parquet(table)
     assert df.count() == 12
     assert sorted(r.batch_id for r in df.select("batch_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_table_to_topic_empty_table_sends_empty_array(spark, tmp_path):
+    from tracelake.plans.jobs import TopicSink, table_to_topic
+    from tracelake.sources.topic import read_topic
+
+    topic = str(tmp_path / "users")
+    empty = spark.createDataFrame([], "id long, name string")
+    assert table_to_topic(empty, TopicSink(topic="users", path=topic)) == {"rows": 0}
+    assert [bytes(r.value) for r in read_topic(spark, path=topic).collect()] == [b"[]"]

@@ -66,13 +66,20 @@ def logs_to_topic(spark: SparkSession, paths: str | Sequence[str], sink: TopicSi
 
 
 def table_to_topic(users: DataFrame, sink: TopicSink, *, chunk_rows: int = 1000) -> dict:
-    """Validate the users rows (fail on the first violation), then send them as ``[{"id":..,"name":..},...]``."""
+    """Validate the users rows (fail on the first violation), then send them as ``[{"id":..,"name":..},...]``.
+
+    Unlike the log producer, an empty table still sends one message, ``[]``.
+    """
     sink.check()
     checked = validate(users, mode="fail").select("id", "name")
     checked, obs = _counter(checked, "read", rows=F.count(F.lit(1)))
     messages = encode(checked, ["id", "name"], chunk_rows=chunk_rows)
     sink.send(messages.select("chunk", "value"))
-    return {"rows": obs.get.get("rows", 0)}
+    rows = obs.get.get("rows", 0)
+    if rows == 0:
+        spark = users.sparkSession
+        sink.send(spark.createDataFrame([(0, "[]")], "chunk long, value string"))
+    return {"rows": rows}
 
 
 def topic_to_table(
