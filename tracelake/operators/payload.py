@@ -251,9 +251,15 @@ def _checked(
     single = F.try_variant_get(F.col("_a"), "$[1]", "variant").isNull()  # JSON null is not SQL NULL
     stage2 = stage1.select(*lineage, "_null", "_utf8", "_b", x0.alias("_x"), single.alias("_single"))
     well_formed = F.col("_utf8") & F.col("_b") & F.col("_x").isNotNull() & F.col("_single")
-    elements = F.when(well_formed, F.coalesce(F.try_variant_get("_x", "$", "array<variant>"), F.array("_x")))
-    fields = F.transform(elements, lambda e: F.try_variant_get(e, "$", _variant_struct(schema)))
-    stage3 = stage2.select(*lineage, "_null", "_utf8", well_formed.alias("_wf"), fields.alias("_fs"))
+    # One native cast per message: an array of objects becomes array<struct<field: variant>>, a lone object a
+    # one-element array. Any element that is not an object makes the array cast NULL, and the struct cast of the
+    # array itself is NULL too, so such a message ends up with a NULL element and fails the row check.
+    vstruct = _variant_struct(schema)
+    fields = F.when(
+        well_formed,
+        F.coalesce(F.try_variant_get("_x", "$", f"array<{vstruct}>"), F.array(F.try_variant_get("_x", "$", vstruct))),
+    )
+    stage3 = stage2.select(*lineage, "_null", "_utf8", "_x", well_formed.alias("_wf"), fields.alias("_fs"))
 
     def element_ok(fs: Column) -> Column:
         ok = fs.isNotNull()
@@ -266,17 +272,21 @@ def _checked(
         return ok
 
     rows_ok = F.coalesce(F.forall("_fs", lambda fs: F.coalesce(element_ok(fs), F.lit(False))), F.lit(False))
-    stage4 = stage3.select(*lineage, "_null", "_utf8", "_wf", "_fs", rows_ok.alias("_rows_ok"))
+    stage4 = stage3.select(*lineage, "_null", "_utf8", "_x", "_wf", "_fs", rows_ok.alias("_rows_ok"))
     reason = (
         F.when(~F.col("_utf8"), F.lit(REASON_UTF8))
         .when(~F.col("_wf"), F.lit(REASON_JSON))
         .when(~F.col("_rows_ok"), F.lit(REASON_ROW))
     )
-    return stage4.select(*lineage, "_null", "_fs", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason"))
+    return stage4.select(
+        *lineage, "_null", "_x", "_fs", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason")
+    )
 
 
-def _row_struct(fs: Column, schema: T.StructType) -> Column:
-    return F.struct(*[F.variant_get(fs[f.name], "$", f.dataType.simpleString()).alias(f.name) for f in schema.fields])
+def _typed_rows(schema: T.StructType) -> Column:
+    """The validated elements as ``array<struct<typed fields>>`` (one native cast; types were checked before)."""
+    typed = "struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields) + ">"
+    return F.coalesce(F.try_variant_get("_x", "$", f"array<{typed}>"), F.array(F.try_variant_get("_x", "$", typed)))
 
 
 def decode_verdicts(
@@ -296,34 +306,21 @@ def decode_verdicts(
     constraints = default_constraints(schema) if constraints is None else constraints
     lineage = [c for c in lineage if c in messages.columns]
     checked = _checked(messages, schema, constraints, value_col, lineage)
-    null_row = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    out_type = T.ArrayType(
-        T.StructType(
-            [
-                T.StructField("pos", T.IntegerType()),
-                T.StructField("verdict", T.StringType()),
-                T.StructField("row", T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])),
-                T.StructField("reason", T.StringType()),
-            ]
-        )
-    )
-    good = F.transform(
-        "_fs",
-        lambda fs, i: F.struct(
-            i.alias("pos"), F.lit("ok").alias("verdict"), _row_struct(fs, schema).alias("row"),
-            F.lit(None).cast("string").alias("reason"),
-        ),
+    row_type = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
+    null_row = F.array(F.lit(None).cast(row_type.elementType))
+    rows = (
+        F.when(F.col("_null"), F.array().cast(row_type))
+        .when(F.col("_ok"), _typed_rows(schema).cast(row_type))
+        .otherwise(null_row)
     )
-    bad = F.array(
-        F.struct(
-            F.lit(None).cast("int").alias("pos"), F.lit("bad").alias("verdict"), null_row.alias("row"),
-            F.col("_reason").alias("reason"),
-        )
+    exploded = checked.select(*lineage, "_ok", "_reason", F.posexplode(rows).alias("_pos", "_r"))
+    return exploded.select(
+        *lineage,
+        F.when(F.col("_ok"), F.col("_pos").cast("int")).alias("pos"),
+        F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("bad")).alias("verdict"),
+        *[F.col("_r")[f.name].alias(f.name) for f in schema.fields],
+        F.col("_reason").alias("reason"),
     )
-    none = F.array().cast(out_type)
-    out = F.when(F.col("_null"), none).when(F.col("_ok"), good.cast(out_type)).otherwise(bad.cast(out_type))
-    exploded = checked.select(*lineage, F.inline(out))
-    return exploded.select(*lineage, "pos", "verdict", *[F.col("row")[f.name].alias(f.name) for f in schema.fields], "reason")
 
 
 def decode(
@@ -345,7 +342,7 @@ def decode(
         "/", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in lineage]
     ) if lineage else F.lit("?")
     row_type = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
-    rows = F.transform("_fs", lambda fs: _row_struct(fs, schema))
+    rows = _typed_rows(schema)
     failed = F.raise_error(F.concat(F.lit("bad message at "), where, F.lit(": "), F.col("_reason"))).cast(row_type)
     els = F.when(F.col("_null"), F.array().cast(row_type)).when(F.col("_ok"), rows.cast(row_type)).otherwise(failed)
     exploded = checked.select(*lineage, F.posexplode(els).alias("pos", "_r"))
