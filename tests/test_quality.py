@@ -74,3 +74,11 @@ def test_delete_with_log_writes_statement_row_even_for_zero(spark, tmp_path):
     log = sorted(r.n_rows for r in spark.read.parquet(str(tmp_path / "oplog")).collect())
     assert log == [0, 1]
     assert spark.read.parquet(str(tmp_path / "v2")).count() == 1
+
+
+def test_role_rules(spark):
+    from tracelake.operators.quality import ROLE_MISSING, ROLE_TOO_LONG, ROLE_USER_MISSING, role_rules
+
+    roles = spark.createDataFrame([(1, "admin"), (None, "x"), (2, None), (3, "r" * 51)], "user_id long, role string")
+    got = [r.error_code for r in validate(roles, role_rules(), unique_key=None).collect()]
+    assert got == [0, ROLE_USER_MISSING, ROLE_MISSING, ROLE_TOO_LONG]

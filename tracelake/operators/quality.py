@@ -128,3 +128,18 @@ def fetch_users(table: DataFrame, id_col: str = "ID", name_col: str = "NAME") ->
     id_ok = F.when(bad, F.raise_error(F.concat(F.lit("bad ID: "), F.coalesce(raw_id, F.lit("NULL"))))).otherwise(parsed)
     name = unicode_trim(F.coalesce(F.make_valid_utf8(F.col(name_col).cast("string")), F.lit("")))
     return table.select(id_ok.cast("bigint").alias("id"), name.alias("name"))
+
+
+# Codes of the user_roles constraints (ours).
+ROLE_MISSING = 10011
+ROLE_TOO_LONG = 10012
+ROLE_USER_MISSING = 10013
+
+
+def role_rules(user_id: str = "user_id", role: str = "role", max_len: int = 50) -> list[Rule]:
+    """``user_roles``: both columns required, role at most ``max_len`` characters."""
+    return [
+        Rule(ROLE_USER_MISSING, "USER_ID must not be NULL", lambda: F.col(user_id).isNull()),
+        Rule(ROLE_MISSING, "ROLE must not be NULL", lambda: F.col(role).isNull()),
+        Rule(ROLE_TOO_LONG, f"ROLE longer than {max_len} characters", lambda: F.char_length(role) > max_len),
+    ]
