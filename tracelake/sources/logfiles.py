@@ -7,18 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ENCODING_POLICIES = ("strict", "lossy", "none")
 
-def read_log_files(spark: SparkSession, paths: str | Sequence[str], lineage: bool = True) -> DataFrame:
+
+def read_log_files(
+    spark: SparkSession, paths: str | Sequence[str], lineage: bool = True, encoding: str = "strict"
+) -> DataFrame:
     """One row per line (column ``value``) of text files, directories or globs.
 
     Lines end at ``\\n`` only (a lone ``\\r`` stays inside the line); one trailing ``\\r`` is removed, so ``\\r\\n``
     files read like ``\\n`` files. A missing path raises Spark's ``PATH_NOT_FOUND`` unchanged. With ``lineage``
     the file path and the start of the split are kept (``file_path``, ``file_block_start``) for per-file grouping.
+
+    ``encoding``: ``strict`` fails the job on a line that is not valid UTF-8 (the error names the file), ``lossy``
+    replaces invalid sequences with U+FFFD, ``none`` passes the bytes through unchecked.
     """
+    if encoding not in ENCODING_POLICIES:
+        raise ValueError(f"encoding must be one of {ENCODING_POLICIES}")
     if isinstance(paths, str):
         paths = [paths]
     raw = spark.read.option("lineSep", "\n").text(list(paths))
-    value = F.regexp_replace(F.col("value"), r"\r\z", "").alias("value")
+    text = F.col("value")
+    if encoding == "strict":
+        error = F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("_metadata.file_path")))
+        text = F.when(F.is_valid_utf8(text), text).otherwise(error.cast("string"))
+    elif encoding == "lossy":
+        text = F.make_valid_utf8(text)
+    value = F.regexp_replace(text, r"\r\z", "").alias("value")
     if not lineage:
         return raw.select(value)
     return raw.select(
@@ -29,5 +44,5 @@ def read_log_files(spark: SparkSession, paths: str | Sequence[str], lineage: boo
 
 
 def utf8_rejects(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Lines that are not valid UTF-8 (the strict encoding policy fails on these)."""
+    """Lines that are not valid UTF-8 (read with ``encoding="none"``; the strict policy fails on these)."""
     return lines.where(~F.is_valid_utf8(F.col(line_col)))
