@@ -49,14 +49,16 @@ def _counter(df: DataFrame, name: str, **aggs) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *exprs), obs
 
 
-def logs_to_topic(spark: SparkSession, paths: str | Sequence[str], sink: TopicSink, *, chunk_rows: int = 1000) -> dict:
+def logs_to_topic(
+    spark: SparkSession, paths: str | Sequence[str], sink: TopicSink, *, chunk_rows: int = 1000, encoding: str = "strict"
+) -> dict:
     """Parse trace files and send the rows as JSON-array messages of at most ``chunk_rows`` rows.
 
     Messages never mix files and keep line order. Zero parsed rows send zero messages.
     Returns run counters ``{"rows": parsed rows, "messages": messages sent}`` from one pass.
     """
     sink.check()
-    lines = read_log_files(spark, paths)
+    lines = read_log_files(spark, paths, encoding=encoding)
     rows = parse_log_lines(lines, keep=["file_path"])
     rows, row_obs = _counter(rows, "parsed", rows=F.count(F.lit(1)))
     messages = encode(rows, LOG_FIELDS, chunk_rows=chunk_rows, group_by=["file_path"]).drop("file_path")
