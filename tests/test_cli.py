@@ -1,5 +1,7 @@
 """Command line: settings checked first, jobs end to end on topic tables, exit status 1 on errors."""
 
+import json
+
 import pytest
 
 from tracelake.cli import main, run
@@ -34,6 +36,6 @@ def test_three_jobs_chain(spark, tmp_path):
     users_topic = str(tmp_path / "users")
     assert run(["table-to-topic", "--table", "cli_users", "--topic-path", users_topic]) == {"rows": 2}
     values = [bytes(m.value).decode() for m in spark.read.parquet(users_topic).collect()]
-    rows = sorted(r for v in values for r in __import__("json").loads(v), key=lambda r: r["id"])
+    rows = sorted((r for v in values for r in json.loads(v)), key=lambda r: r["id"])
     assert rows == [{"id": 1, "name": "User1"}, {"id": 2, "name": "User2"}]
     assert all(v.startswith('[{"id":') and " " not in v for v in values)
