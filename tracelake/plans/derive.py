@@ -32,17 +32,15 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def ntz_text(ts) -> "F.Column":
-    """``yyyy-MM-dd HH:mm:ss.SSS`` of a ``timestamp_ntz`` from its fields (milliseconds truncated).
+    """``yyyy-MM-dd HH:mm:ss.SSS`` of a ``timestamp_ntz`` (milliseconds truncated), without any time zone.
 
     ``date_format`` would cast to a session-time-zone timestamp first, which shifts wall-clock times that fall
-    into a daylight-saving gap; the field functions on ``timestamp_ntz`` involve no time zone.
+    into a daylight-saving gap. The string form of a ``timestamp_ntz`` involves no zone; it drops trailing zeros of
+    the fraction (and the dot when the fraction is zero), so it is padded back to three digits and cut.
     """
-    sec = F.date_part(F.lit("SECOND"), ts)  # decimal(8,6): seconds with microseconds
-    return F.format_string(
-        "%04d-%02d-%02d %02d:%02d:%02d.%03d",
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
-        F.floor(sec).cast("int"), (F.floor(sec * 1000) % 1000).cast("int"),
-    )
+    s = ts.cast("string")
+    with_dot = F.when(F.length(s) == 19, F.concat(s, F.lit("."))).otherwise(s)
+    return F.substring(F.rpad(with_dot, 23, "0"), 1, 23)
 
 
 def trace_lines(events: DataFrame) -> DataFrame:
