@@ -119,3 +119,35 @@ def test_table_to_topic_empty_table_sends_empty_array(spark, tmp_path):
     empty = spark.createDataFrame([], "id long, name string")
     assert table_to_topic(empty, TopicSink(topic="users", path=topic)) == {"rows": 0}
     assert [bytes(r.value) for r in read_topic(spark, path=topic).collect()] == [b"[]"]
+
+
+def test_full_reread_lands_one_new_ingest_partition(spark, tmp_path):
+    from tracelake.plans.jobs import topic_to_table_full
+
+    topic, table = str(tmp_path / "topic"), str(tmp_path / "table")
+    _topic(spark, topic, [E % i for i in range(5)])
+    target = IngestTarget(table=table, ingest="full", is_path=True)
+    first = topic_to_table_full(spark, topic, target)
+    second = topic_to_table_full(spark, topic, target)
+    df = spark.read.parquet(table)
+    assert first != second and df.count() == 10
+    assert sorted(r.c for r in df.groupBy("ingest").count().withColumnRenamed("count", "c").collect()) == [5, 5]
+
+
+def test_append_guard_and_targets(spark, tmp_path):
+    from tracelake.operators.sinks import append, ensure_table
+
+    rows = spark.createDataFrame([("t", "i", "c", "m")], ", ".join(f"{f} string" for f in LOG_FIELDS))
+    path = str(tmp_path / "t")
+    append(rows.limit(0), path, is_path=True)
+    import os
+
+    assert not os.path.exists(path)  # empty batch: target untouched
+    append(rows, path, is_path=True)
+    append(rows, path, is_path=True)
+    assert spark.read.parquet(path).count() == 2
+    from tracelake.schemas import LOG_ENTRY
+
+    ensure_table(spark, "tl_append_t", LOG_ENTRY)
+    append(rows.select("message", "level", "timestamp", "component"), "tl_append_t")  # reordered by name
+    assert [tuple(r) for r in spark.table("tl_append_t").collect()] == [("t", "i", "c", "m")]
