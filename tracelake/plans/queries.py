@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tracelake.functions.logline import TRACE_PATTERN
 from tracelake.operators.logparse import log_rejects, parse_log_lines, with_event_time
 from tracelake.operators.payload import as_topic_messages, decode, decode_verdicts, encode, encode_each
-from tracelake.operators.quality import audit_changes, validate
+from tracelake.operators.quality import audit_changes, fetch_users, role_rules, validate
 from tracelake.operators.sinks import write_csv, write_topic_table
 from tracelake.operators.tableops import assign_ids, delete, page, top, update, upsert
 from tracelake.operators.views import active_users, trimmed_users, users_count, users_with_roles
@@ -418,3 +418,23 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "customer-csv")
     write_csv(customer, path)
     return read_csv(spark, path, customer.schema)
+
+
+@register(
+    "roles_validate",
+    f"""WITH {SQL_ROLES}
+SELECT user_id, role,
+       CAST(CASE WHEN user_id IS NULL THEN 10013 WHEN role IS NULL THEN 10011 WHEN length(role) > 50 THEN 10012
+                 ELSE 0 END AS INTEGER) AS error_code
+FROM roles""",
+)
+def q_roles_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_roles`` constraints (both columns required, role at most 50 characters) over every order."""
+    return validate(_roles(spark, sf_dir), role_rules(), unique_key=None)
+
+
+@register("users_fetch", "SELECT c_custkey AS id, coalesce(trim(c_name), '') AS name FROM customer")
+def q_users_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as the table source delivers them: strict unsigned id, name trimmed, NULL name as ''."""
+    customer = derive.table(spark, sf_dir, "customer")
+    return fetch_users(customer, "c_custkey", "c_name")
