@@ -2,8 +2,6 @@
 
 import json
 
-import pytest
-
 from tracelake.cli import main, run
 
 from test_logparse import SEVEN

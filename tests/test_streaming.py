@@ -3,9 +3,8 @@
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
-from tracelake.operators.payload import as_topic_messages, encode_each
+from tracelake.operators.payload import as_topic_messages
 from tracelake.operators.sinks import write_topic_table
 from tracelake.schemas import LOG_FIELDS
 from tracelake.sources.topic import read_topic_stream

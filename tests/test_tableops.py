@@ -8,7 +8,6 @@ from tracelake.functions.text import unicode_trim
 from tracelake.operators.tableops import (
     assign_ids, count_rows, delete, exists, insert, latest_per_key, page, top, update, upsert,
 )
-from tracelake.schemas import USER_ROW
 
 
 @pytest.fixture()
