@@ -146,3 +146,29 @@ def test_positional_messages_across_arrow_batches_and_groups(spark):
         seen += ids
     assert sorted(seen) == list(range(200))
     assert len({m.chunk for m in msgs}) == len(msgs)
+
+
+def test_positional_messages_bounded_by_bytes(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    try:
+        df = spark.range(0, 300, numPartitions=3).select(
+            F.col("id").cast("string").alias("timestamp"), F.lit("i").alias("level"), F.lit("c").alias("component"),
+            F.repeat(F.lit("é"), (F.col("id") * 7) % 120).alias("message"),
+            F.floor(F.col("id") / 40).cast("string").alias("file_path"),
+        )
+        msgs = encode(df, LOG_FIELDS, chunk_rows=50, max_bytes=600, group_by=["file_path"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = []
+    for m in msgs:
+        body = json.loads(m.value)
+        assert len(m.value.encode()) <= 600 or m.n_rows == 1
+        assert 1 <= m.n_rows <= 50 and m.n_rows == len(body)
+        ids = [int(x["timestamp"]) for x in body]
+        assert ids == list(range(ids[0], ids[0] + len(ids)))
+        assert {str(i // 40) for i in ids} == {m.file_path}
+        seen += ids
+    assert sorted(seen) == list(range(300))
+    # greedy: a message is only cut early when the next row would not fit (or the group/row limit is hit)
+    by_start = {json.loads(m.value)[0]["timestamp"]: m for m in msgs}
+    assert len(by_start) == len(msgs)

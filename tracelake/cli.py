@@ -22,6 +22,7 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--topic", default=os.environ.get("KAFKA_TOPIC"))
         sp.add_argument("--topic-path", help="topic table (Parquet with the Kafka columns) instead of Kafka")
         sp.add_argument("--topic-partitions", type=int, default=1)
+        sp.add_argument("--max-bytes", type=int, default=1_000_000, help="message size bound (bytes)")
 
     a = sub.add_parser("logs-to-topic", help="parse trace files and send the rows as JSON-array messages")
     a.add_argument("--log-file", action="append", required=True, help="file, directory or glob; repeatable")
@@ -79,7 +80,8 @@ def run(argv: Sequence[str] | None = None) -> dict:
     if args.command == "logs-to-topic":
         from tracelake.plans.jobs import logs_to_topic
 
-        return logs_to_topic(spark, args.log_file, _sink(args), chunk_rows=args.chunk_rows, encoding=args.encoding)
+        return logs_to_topic(spark, args.log_file, _sink(args), chunk_rows=args.chunk_rows, max_bytes=args.max_bytes,
+                             encoding=args.encoding)
 
     if args.command == "table-to-topic":
         from tracelake.operators.quality import fetch_users
@@ -94,7 +96,7 @@ def run(argv: Sequence[str] | None = None) -> dict:
                             num_partitions=args.num_partitions)
         cols = {c.lower(): c for c in src.columns}
         users = fetch_users(src, cols.get("id", "id"), cols.get("name", "name"))
-        return table_to_topic(users, _sink(args), chunk_rows=args.chunk_rows)
+        return table_to_topic(users, _sink(args), chunk_rows=args.chunk_rows, max_bytes=args.max_bytes)
 
     from tracelake.plans.jobs import topic_to_table
     from tracelake.streaming.ingest import IngestTarget

@@ -32,12 +32,16 @@ def encode(
     fields: Sequence[str] | None = None,
     *,
     chunk_rows: int = 1000,
+    max_bytes: int | None = None,
     chunk_by: Column | None = None,
     order_by: Sequence[str] = (),
     group_by: Sequence[str] = (),
 ) -> DataFrame:
     """Pack rows into JSON-array messages; returns ``(*group_by, chunk, n_rows, value)`` with ``value`` a string.
 
+    ``max_bytes`` (positional mode) also bounds the UTF-8 size of a message - brokers reject messages above their
+    limit (about 1 MB by default); a single row larger than the limit becomes a message of its own.
+
     Two ways to cut messages, both with bounded groups (no message holds a whole data set):
 
     * positional (default): consecutive rows of a scan partition, at most ``chunk_rows`` per message, in scan
@@ -52,7 +56,9 @@ def encode(
     fields = list(fields or [c for c in rows.columns if c not in set(order_by) | set(group_by)])
     row = F.struct(*[F.col(f) for f in fields])
     if chunk_by is None:
-        return _pack_positional(rows.select(*group_by, F.to_json(row).alias("_json")), chunk_rows, list(group_by))
+        return _pack_positional(rows.select(*group_by, F.to_json(row).alias("_json")), chunk_rows, list(group_by), max_bytes)
+    if max_bytes is not None:
+        raise ValueError("max_bytes applies to positional messages; bound keyed groups through chunk_by")
     if not order_by:
         raise ValueError("keyed chunks need order_by columns")
     order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
@@ -68,7 +74,7 @@ def encode(
     )
 
 
-def _pack_positional(row_json: DataFrame, chunk_rows: int, group_by: list[str]) -> DataFrame:
+def _pack_positional(row_json: DataFrame, chunk_rows: int, group_by: list[str], max_bytes: int | None = None) -> DataFrame:
     """Concatenate runs of per-row JSON objects into ``[o1,o2,...]`` messages, one streaming pass per partition.
 
     Rows are serialized to JSON in the JVM (``to_json``); Python only sees Arrow batches and joins them with
@@ -113,8 +119,21 @@ def _pack_positional(row_json: DataFrame, chunk_rows: int, group_by: list[str])
                 run_start = np.flatnonzero(change)[run_id]
             else:
                 run_start = np.zeros(n, dtype=np.int64)
-            pos_in_run = np.arange(n) - run_start
-            starts = np.flatnonzero((pos_in_run % chunk_rows) == 0)
+            if max_bytes is None:
+                pos_in_run = np.arange(n) - run_start
+                starts = np.flatnonzero((pos_in_run % chunk_rows) == 0)
+            else:
+                # greedy cut on the cumulative size "[" + rows joined by "," + "]"; one loop step per message
+                size = np.asarray(pc.binary_length(tbl.column("_json").combine_chunks()).cast(pa.int64())) + 1
+                cum = np.concatenate(([0], np.cumsum(size)))
+                run_end = np.append(np.flatnonzero(np.diff(run_start) != 0) + 1, n)
+                run_end_of = run_end[np.searchsorted(run_end, np.arange(n), side="right")]
+                cuts, i = [], 0
+                while i < n:
+                    cuts.append(i)
+                    limit = int(np.searchsorted(cum, cum[i] + max_bytes - 1, side="right")) - 1
+                    i = min(i + chunk_rows, int(run_end_of[i]), max(limit, i + 1))
+                starts = np.asarray(cuts, dtype=np.int64)
             ends = np.append(starts[1:], n)
             if not final:  # keep the last (possibly incomplete) message for the next batch
                 keep_from = starts[-1]

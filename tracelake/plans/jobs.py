@@ -22,6 +22,10 @@ from tracelake.sources.topic import read_topic, read_topic_stream
 from tracelake.streaming.ingest import IngestTarget, landing_rows, ensure_log_tables, run_ingest_once
 
 
+# Message size bound: below the default broker limit of about 1 MB.
+MAX_MESSAGE_BYTES = 1_000_000
+
+
 @dataclass
 class TopicSink:
     """Either a Kafka topic (``brokers`` + ``topic``) or a topic table at ``path``."""
@@ -50,7 +54,13 @@ def _counter(df: DataFrame, name: str, **aggs) -> tuple[DataFrame, Observation]:
 
 
 def logs_to_topic(
-    spark: SparkSession, paths: str | Sequence[str], sink: TopicSink, *, chunk_rows: int = 1000, encoding: str = "strict"
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    sink: TopicSink,
+    *,
+    chunk_rows: int = 1000,
+    max_bytes: int | None = MAX_MESSAGE_BYTES,
+    encoding: str = "strict",
 ) -> dict:
     """Parse trace files and send the rows as JSON-array messages of at most ``chunk_rows`` rows.
 
@@ -61,13 +71,15 @@ def logs_to_topic(
     lines = read_log_files(spark, paths, encoding=encoding)
     rows = parse_log_lines(lines, keep=["file_path"])
     rows, row_obs = _counter(rows, "parsed", rows=F.count(F.lit(1)))
-    messages = encode(rows, LOG_FIELDS, chunk_rows=chunk_rows, group_by=["file_path"]).drop("file_path")
+    messages = encode(rows, LOG_FIELDS, chunk_rows=chunk_rows, max_bytes=max_bytes, group_by=["file_path"]).drop("file_path")
     messages, msg_obs = _counter(messages, "sent", messages=F.count(F.lit(1)))
     sink.send(messages.select("chunk", "value"))
     return {"rows": row_obs.get.get("rows", 0), "messages": msg_obs.get.get("messages", 0)}
 
 
-def table_to_topic(users: DataFrame, sink: TopicSink, *, chunk_rows: int = 1000) -> dict:
+def table_to_topic(
+    users: DataFrame, sink: TopicSink, *, chunk_rows: int = 1000, max_bytes: int | None = MAX_MESSAGE_BYTES
+) -> dict:
     """Validate the users rows (fail on the first violation), then send them as ``[{"id":..,"name":..},...]``.
 
     Unlike the log producer, an empty table still sends one message, ``[]``.
@@ -75,7 +87,7 @@ def table_to_topic(users: DataFrame, sink: TopicSink, *, chunk_rows: int = 1000)
     sink.check()
     checked = validate(users, mode="fail").select("id", "name")
     checked, obs = _counter(checked, "read", rows=F.count(F.lit(1)))
-    messages = encode(checked, ["id", "name"], chunk_rows=chunk_rows)
+    messages = encode(checked, ["id", "name"], chunk_rows=chunk_rows, max_bytes=max_bytes)
     sink.send(messages.select("chunk", "value"))
     rows = obs.get.get("rows", 0)
     if rows == 0:
