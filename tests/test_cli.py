@@ -23,7 +23,7 @@ def test_three_jobs_chain(spark, tmp_path):
     f = tmp_path / "indexserver.trc"
     f.write_text(SEVEN)
     topic = str(tmp_path / "topic")
-    assert run(["logs-to-topic", "--log-file", str(f), "--topic-path", topic, "--topic", "logs"]) == {"rows": 7, "messages": 1}
+    assert run(["logs-to-topic", "--log-file", str(f), "--topic-path", topic, "--topic", "logs"]) == {"lines": 7, "rows": 7, "rejected": 0, "messages": 1}
     out = run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"),
                "--checkpoint", str(tmp_path / "chk")])
     assert out == {"ingest": "chk"}

@@ -94,7 +94,7 @@ def test_logs_to_topic_counts_and_messages(spark, tmp_path):
     f.write_text(SEVEN + "\n  at frame 1\n")
     topic = str(tmp_path / "topic")
     counts = logs_to_topic(spark, str(f), TopicSink(topic="logs", path=topic), chunk_rows=3)
-    assert counts == {"rows": 7, "messages": 3}
+    assert counts == {"lines": 8, "rows": 7, "rejected": 1, "messages": 3}
     back = decode(read_topic(spark, path=topic)).orderBy("offset", "pos")
     assert [r.level for r in back.collect()] == ["i", "i", "w", "e", "e", "e", "i"]
 

@@ -65,16 +65,19 @@ def logs_to_topic(
     """Parse trace files and send the rows as JSON-array messages of at most ``chunk_rows`` rows.
 
     Messages never mix files and keep line order. Zero parsed rows send zero messages.
-    Returns run counters ``{"rows": parsed rows, "messages": messages sent}`` from one pass.
+    Returns run counters ``{"lines", "rows", "rejected", "messages"}`` observed during the one pass.
     """
     sink.check()
     lines = read_log_files(spark, paths, encoding=encoding)
+    lines, line_obs = _counter(lines, "read", lines=F.count(F.lit(1)))
     rows = parse_log_lines(lines, keep=["file_path"])
     rows, row_obs = _counter(rows, "parsed", rows=F.count(F.lit(1)))
     messages = encode(rows, LOG_FIELDS, chunk_rows=chunk_rows, max_bytes=max_bytes, group_by=["file_path"]).drop("file_path")
     messages, msg_obs = _counter(messages, "sent", messages=F.count(F.lit(1)))
     sink.send(messages.select("chunk", "value"))
-    return {"rows": row_obs.get.get("rows", 0), "messages": msg_obs.get.get("messages", 0)}
+    n_lines = line_obs.get.get("lines", 0)
+    n_rows = row_obs.get.get("rows", 0)
+    return {"lines": n_lines, "rows": n_rows, "rejected": n_lines - n_rows, "messages": msg_obs.get.get("messages", 0)}
 
 
 def table_to_topic(
