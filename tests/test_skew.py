@@ -1,0 +1,43 @@
+"""A key holding a third of all rows: the adaptive skew join splits it in our left-join form, not in a plain one."""
+
+from pyspark.sql import functions as F
+
+from tracelake.operators.views import users_with_roles
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",  # force sort-merge joins, as at 100 TB
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",  # thresholds scaled to the test size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+def _final_plan(df):
+    df._jdf.collectAsList().size()  # run on the frame's own QueryExecution so the adaptive plan is final
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_split_by_adaptive_skew_join(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        users = spark.range(0, 20000, numPartitions=4).select("id", F.concat(F.lit("u"), F.col("id").cast("string")).alias("name"))
+        # incompressible roles, so shuffle block sizes reflect row counts
+        hot = spark.range(0, 300000, numPartitions=8).select(
+            F.lit(7).cast("long").alias("user_id"), F.sha2(F.col("id").cast("string"), 256).alias("role"))
+        cold = spark.range(0, 600000, numPartitions=8).select(
+            (F.col("id") % 19000).alias("user_id"), F.sha2(F.concat(F.lit("c"), F.col("id").cast("string")), 256).alias("role"))
+        roles = hot.unionByName(cold)
+        ours = _final_plan(users_with_roles(users, roles))
+        plain = _final_plan(users.join(roles, users.id == roles.user_id, "left").select("id", "name", "role"))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in ours and "Inner" in ours
+    assert "SortMergeJoin(skew=true)" not in plain  # left outer: the hot right side cannot be split
