@@ -20,7 +20,7 @@ def test_missing_log_file_exits_1(spark, tmp_path, capsys):
 
 
 def test_three_jobs_chain(spark, tmp_path):
-    f = tmp_path / "indexserver.trc"
+    f = tmp_path / "sample.trc"
     f.write_text(SEVEN)
     topic = str(tmp_path / "topic")
     assert run(["logs-to-topic", "--log-file", str(f), "--topic-path", topic, "--topic", "logs"]) == {"lines": 7, "rows": 7, "rejected": 0, "messages": 1}

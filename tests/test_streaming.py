@@ -90,7 +90,7 @@ def test_logs_to_topic_counts_and_messages(spark, tmp_path):
     from tracelake.sources.topic import read_topic
     from test_logparse import SEVEN
 
-    f = tmp_path / "indexserver.trc"
+    f = tmp_path / "sample.trc"
     f.write_text(SEVEN + "\n  at frame 1\n")
     topic = str(tmp_path / "topic")
     counts = logs_to_topic(spark, str(f), TopicSink(topic="logs", path=topic), chunk_rows=3)
