@@ -150,3 +150,24 @@ def test_append_guard_and_targets(spark, tmp_path):
     ensure_table(spark, "tl_append_t", LOG_ENTRY)
     append(rows.select("message", "level", "timestamp", "component"), "tl_append_t")  # reordered by name
     assert [tuple(r) for r in spark.table("tl_append_t").collect()] == [("t", "i", "c", "m")]
+
+
+def test_topic_table_offsets_grow_across_appends(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    _topic(spark, topic, [E % i for i in range(4)])
+    _topic(spark, topic, [E % i for i in range(4)])
+    rows = spark.read.parquet(topic).select("partition", "offset").collect()
+    assert len({(r.partition, r.offset) for r in rows}) == 8
+
+
+def test_incremental_batch_load_skips_loaded_messages(spark, tmp_path):
+    from tracelake.plans.jobs import topic_to_table_incremental
+
+    topic, table = str(tmp_path / "topic"), str(tmp_path / "table")
+    target = IngestTarget(table=table, ingest="inc", is_path=True)
+    _topic(spark, topic, [E % i for i in range(6)])
+    assert topic_to_table_incremental(spark, topic, target) == 6
+    assert topic_to_table_incremental(spark, topic, target) == 0
+    _topic(spark, topic, ["[" + E % "a" + "," + E % "b" + "]", E % "c"])
+    assert topic_to_table_incremental(spark, topic, target) == 3
+    assert spark.read.parquet(table).count() == 9

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracelake.schemas import TOPIC
+
 ALREADY_EXISTS = "AlreadyExists"
 CREATED = "Created"
 
@@ -97,7 +99,25 @@ def publish(messages: DataFrame, topic: str, brokers: str, options: Mapping[str,
 
 
 def write_topic_table(topic_messages: DataFrame, path: str) -> None:
-    """Append Kafka-shaped rows to a topic table (Parquet directory read by the file-stream source)."""
+    """Append Kafka-shaped rows to a topic table (Parquet directory read by the file-stream source).
+
+    Like a Kafka partition log, offsets keep growing across appends: the new rows' offsets are shifted past the
+    largest offset already stored for their partition (one small aggregate over the ``partition, offset`` columns;
+    its size is the number of topic partitions).
+    """
+    session = topic_messages.sparkSession
+    try:
+        existing = session.read.schema(TOPIC).parquet(path)
+        has_rows = not existing.isEmpty()
+    except Exception:  # first append: the path does not exist yet
+        has_rows = False
+    if has_rows:
+        tops = existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("_base"))
+        shifted = topic_messages.join(F.broadcast(tops), ["topic", "partition"], "left")
+        topic_messages = shifted.select(
+            *[(F.col("offset") + F.coalesce(F.col("_base"), F.lit(0))).alias("offset") if c == "offset" else F.col(c)
+              for c in topic_messages.columns]
+        )
     topic_messages.write.mode("append").parquet(path)
 
 
