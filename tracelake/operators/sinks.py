@@ -105,13 +105,11 @@ def write_topic_table(topic_messages: DataFrame, path: str) -> None:
     largest offset already stored for their partition (one small aggregate over the ``partition, offset`` columns;
     its size is the number of topic partitions).
     """
+    from tracelake.session import path_exists
+
     session = topic_messages.sparkSession
-    try:
-        existing = session.read.schema(TOPIC).parquet(path)
-        has_rows = not existing.isEmpty()
-    except Exception:  # first append: the path does not exist yet
-        has_rows = False
-    if has_rows:
+    existing = session.read.schema(TOPIC).parquet(path) if path_exists(session, path) else None
+    if existing is not None and not existing.isEmpty():
         tops = existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("_base"))
         shifted = topic_messages.join(F.broadcast(tops), ["topic", "partition"], "left")
         topic_messages = shifted.select(

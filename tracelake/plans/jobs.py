@@ -161,7 +161,9 @@ def topic_to_table_incremental(spark: SparkSession, topic_path: str | None, targ
     """
     ensure_log_tables(spark, target)
     messages = read_topic(spark, path=topic_path, **kafka)
-    try:
+    from tracelake.session import path_exists
+
+    if not target.is_path or path_exists(spark, target.table):
         table = spark.read.parquet(target.table) if target.is_path else spark.table(target.table)
         loaded = table.groupBy(F.col("src_topic").alias("topic"), F.col("src_partition").alias("partition")).agg(
             F.max("src_offset").alias("_done")
@@ -169,9 +171,6 @@ def topic_to_table_incremental(spark: SparkSession, topic_path: str | None, targ
         messages = messages.join(F.broadcast(loaded), ["topic", "partition"], "left").where(
             F.col("_done").isNull() | (F.col("offset") > F.col("_done"))
         ).drop("_done")
-    except Exception as e:  # no table data yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
     rows = landing_rows(decode(messages))
     rows, obs = _counter(rows, "landed", rows=F.count(F.lit(1)))
     ingest = f"{target.ingest}-batch-{uuid.uuid4().hex[:8]}"

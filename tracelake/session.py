@@ -63,3 +63,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique location below the checkpoint root (never reused, never cleared)."""
     return f"{checkpoint_root(spark)}/tracelake/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist (any Hadoop-compatible file system)? Falls back to a read attempt without the JVM view."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception:
+            return False
