@@ -172,3 +172,13 @@ def test_positional_messages_bounded_by_bytes(spark):
     # greedy: a message is only cut early when the next row would not fit (or the group/row limit is hit)
     by_start = {json.loads(m.value)[0]["timestamp"]: m for m in msgs}
     assert len(by_start) == len(msgs)
+
+
+def test_ordered_positional_messages(spark):
+    users = spark.range(0, 5000, numPartitions=5).select(
+        ((F.col("id") * 7919) % 5000).alias("id"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("name")
+    )
+    msgs = sorted(encode(users, ["id", "name"], chunk_rows=300, order_by=["id"]).collect(), key=lambda m: m.chunk)
+    ids = [x["id"] for m in msgs for x in json.loads(m.value)]
+    assert ids == list(range(5000))  # message ids follow id order, rows inside each message too
+    assert max(m.n_rows for m in msgs) <= 300

@@ -46,7 +46,8 @@ def encode(
 
     * positional (default): consecutive rows of a scan partition, at most ``chunk_rows`` per message, in scan
       order, never mixing ``group_by`` values (e.g. files). Streamed per partition, no shuffle (see
-      :func:`_pack_positional`).
+      :func:`_pack_positional`). With ``order_by`` the rows are first range-partitioned and sorted on those
+      columns (one range shuffle), so messages hold consecutive order ranges and message ids follow the order.
     * keyed: ``chunk_by`` names the message (e.g. ``floor(seq / 1000)`` over a unique sequence number) and
       ``order_by`` orders rows inside it. Deterministic across runs and engines; the caller keeps groups bounded.
       One shuffle on the message key; ``collect_list`` is partially aggregated map-side.
@@ -56,11 +57,17 @@ def encode(
     fields = list(fields or [c for c in rows.columns if c not in set(order_by) | set(group_by)])
     row = F.struct(*[F.col(f) for f in fields])
     if chunk_by is None:
+        if order_by:
+            # Ordered messages without a single task: range-partition on the order columns (sampled bounds also
+            # split a hot value across partitions), sort inside each partition, then pack positionally. Message ids
+            # grow with the order because range partition i holds the i-th key range.
+            parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows = rows.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
         return _pack_positional(rows.select(*group_by, F.to_json(row).alias("_json")), chunk_rows, list(group_by), max_bytes)
-    if max_bytes is not None:
-        raise ValueError("max_bytes applies to positional messages; bound keyed groups through chunk_by")
     if not order_by:
         raise ValueError("keyed chunks need order_by columns")
+    if max_bytes is not None:
+        raise ValueError("max_bytes applies to positional messages; bound keyed groups through chunk_by")
     order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
     staged = rows.select(*group_by, chunk_by.cast("bigint").alias("chunk"), F.struct(*order, row.alias("row")).alias("_e"))
     packed = staged.groupBy(*group_by, "chunk").agg(
