@@ -82,3 +82,17 @@ def test_role_rules(spark):
     roles = spark.createDataFrame([(1, "admin"), (None, "x"), (2, None), (3, "r" * 51)], "user_id long, role string")
     got = [r.error_code for r in validate(roles, role_rules(), unique_key=None).collect()]
     assert got == [0, ROLE_USER_MISSING, ROLE_MISSING, ROLE_TOO_LONG]
+
+
+def test_update_with_audit_one_pass(spark):
+    from tracelake.operators.quality import update_with_audit
+
+    df = spark.createDataFrame([(1, "a"), (2, "B"), (3, None)], "id long, name string")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    nxt, audit = update_with_audit(df, {"name": F.upper("name")}, "id <= 2", changed_at=at)
+    assert sorted(tuple(r) for r in nxt.where("id <= 2").collect()) == [(1, "A"), (2, "B")]
+    assert sorted((r.id, r.old_name, r.new_name) for r in audit.collect()) == [(1, "a", "A"), (2, "B", "B")]
+    _, changed = update_with_audit(df, {"name": F.upper("name")}, "id <= 2", changed_at=at, only_changed=True)
+    assert [(r.id, r.old_name, r.new_name) for r in changed.collect()] == [(1, "a", "A")]
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan

@@ -142,3 +142,46 @@ def role_rules(user_id: str = "user_id", role: str = "role", max_len: int = 50)
         Rule(ROLE_MISSING, "ROLE must not be NULL", lambda: F.col(role).isNull()),
         Rule(ROLE_TOO_LONG, f"ROLE longer than {max_len} characters", lambda: F.char_length(role) > max_len),
     ]
+
+
+def update_with_audit(
+    df: DataFrame,
+    assignments: dict,
+    where: Column | str | None = None,
+    *,
+    key: str = "id",
+    column: str = "name",
+    normalise: dict | None = None,
+    changed_at: Column | None = None,
+    only_changed: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``UPDATE`` plus its AFTER UPDATE row audit, both from one row-local projection (no join, no shuffle).
+
+    Returns ``(next_version, audit)``; audit rows are ``(key, old_<column>, new_<column>, changed_at)`` for every
+    row the condition hits (``only_changed``: only where the value differs, NULL-safe).
+    """
+    from tracelake.operators.tableops import update
+
+    ts = changed_at if changed_at is not None else F.current_timestamp().cast("timestamp_ntz")
+    hit = F.lit(True) if where is None else F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))
+    nxt = update(df, assignments, where, normalise=normalise)
+    staged = df.select(
+        F.col(key).alias("_k"), F.col(column).alias("_old"), hit.alias("_hit"),
+        _new_value(assignments, column, normalise).alias("_new"),
+    )
+    audit = staged.where("_hit")
+    if only_changed:
+        audit = audit.where(~F.col("_old").eqNullSafe(F.col("_new")))
+    audit = audit.select(F.col("_k").alias(key), F.col("_old").alias(f"old_{column}"), F.col("_new").alias(f"new_{column}"),
+                         ts.alias("changed_at"))
+    return nxt, audit
+
+
+def _new_value(assignments: dict, column: str, normalise: dict | None) -> Column:
+    """New value of ``column`` for a row the update hits (the assigned expression, normalised)."""
+    if column not in assignments:
+        return F.col(column)
+    new = F.expr(assignments[column]) if isinstance(assignments[column], str) else assignments[column]
+    if normalise and column in normalise:
+        new = normalise[column](new)
+    return new

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tracelake.functions.logline import TRACE_PATTERN
 from tracelake.operators.logparse import log_rejects, parse_log_lines, with_event_time
 from tracelake.operators.payload import as_topic_messages, decode, decode_verdicts, encode, encode_each
-from tracelake.operators.quality import audit_changes, fetch_users, role_rules, validate
+from tracelake.operators.quality import fetch_users, role_rules, update_with_audit, validate
 from tracelake.operators.sinks import write_csv, write_topic_table
 from tracelake.operators.tableops import assign_ids, delete, page, top, update, upsert
 from tracelake.operators.views import active_users, trimmed_users, users_count, users_with_roles
@@ -341,10 +341,16 @@ SELECT o.id, o.name AS old_name, n.name AS new_name, TIMESTAMP '{AUDIT_TIME}' AS
 FROM users o JOIN updated n ON o.id = n.id WHERE o.name IS DISTINCT FROM n.name""",
 )
 def q_users_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_changes(
-        _users(spark, sf_dir), _updated(spark, sf_dir),
-        changed_at=F.lit(AUDIT_TIME).cast("timestamp_ntz"), only_changed=True,
+    """Row audit of the update, taken from the update's own projection (no join of the two versions)."""
+    _, audit = update_with_audit(
+        _users(spark, sf_dir),
+        {"name": F.concat(F.lit(" "), F.upper("name"), F.lit(" "))},
+        F.col("name").like("%5"),
+        normalise={"name": unicode_trim},
+        changed_at=F.lit(AUDIT_TIME).cast("timestamp_ntz"),
+        only_changed=True,
     )
+    return audit
 
 
 def _users_to_check(spark: SparkSession, sf_dir: str) -> DataFrame:
