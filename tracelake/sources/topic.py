@@ -29,11 +29,18 @@ def read_topic(
     brokers: str | None = None,
     topic: str | None = None,
     options: Mapping[str, str] | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Bounded read of a whole topic: offsets are fixed at the start (earliest .. latest), not by a clock."""
+    """Bounded read of a whole topic: offsets are fixed at the start (earliest .. latest), not by a clock.
+
+    ``min_partitions`` (Kafka) splits large topic partitions into several Spark tasks, so a topic with few
+    partitions still spreads over the cluster.
+    """
     if path is not None:
         return spark.read.schema(TOPIC).parquet(path)
     opts = {"startingOffsets": "earliest", "endingOffsets": "latest"}
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(_kafka_options(brokers, topic, options))
     return spark.read.format("kafka").options(**opts).load()
 
@@ -47,6 +54,7 @@ def read_topic_stream(
     options: Mapping[str, str] | None = None,
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Incremental read; progress lives in the query checkpoint, so each message is processed once.
 
@@ -61,5 +69,7 @@ def read_topic_stream(
     opts = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(_kafka_options(brokers, topic, options))
     return spark.readStream.format("kafka").options(**opts).load()
