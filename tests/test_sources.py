@@ -88,3 +88,15 @@ def test_first_char_default(spark):
 
     df = spark.createDataFrame([("abc",), ("",), (None,), ("\U0001F600x",)], "s string")
     assert [r[0] for r in df.select(first_char("s")).collect()] == ["a", "?", "?", "\U0001F600"]
+
+
+def test_kafka_read_options():
+    from tracelake.sources.topic import kafka_read_options
+
+    batch = kafka_read_options("b:9092", "logs", bounded=True, min_partitions=64)
+    assert batch == {"startingOffsets": "earliest", "endingOffsets": "latest", "minPartitions": "64",
+                     "kafka.bootstrap.servers": "b:9092", "subscribe": "logs"}
+    stream = kafka_read_options("b:9092", "logs", bounded=False, max_offsets_per_trigger=10_000)
+    assert stream["maxOffsetsPerTrigger"] == "10000" and stream["failOnDataLoss"] == "true" and "endingOffsets" not in stream
+    with pytest.raises(ValueError):
+        kafka_read_options(None, "logs", bounded=True)

@@ -22,6 +22,29 @@ def _kafka_options(brokers: str, topic: str, extra: Mapping[str, str] | None) ->
     return opts
 
 
+def kafka_read_options(
+    brokers: str | None,
+    topic: str | None,
+    *,
+    bounded: bool,
+    options: Mapping[str, str] | None = None,
+    min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None,
+) -> dict[str, str]:
+    """Options for Spark's Kafka source: earliest start; ``bounded`` adds ``endingOffsets=latest`` (batch read)."""
+    opts = {"startingOffsets": "earliest"}
+    if bounded:
+        opts["endingOffsets"] = "latest"
+    else:
+        opts["failOnDataLoss"] = "true"
+        if max_offsets_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
+    opts.update(_kafka_options(brokers, topic, options))
+    return opts
+
+
 def read_topic(
     spark: SparkSession,
     *,
@@ -38,10 +61,7 @@ def read_topic(
     """
     if path is not None:
         return spark.read.schema(TOPIC).parquet(path)
-    opts = {"startingOffsets": "earliest", "endingOffsets": "latest"}
-    if min_partitions:
-        opts["minPartitions"] = str(min_partitions)
-    opts.update(_kafka_options(brokers, topic, options))
+    opts = kafka_read_options(brokers, topic, bounded=True, options=options, min_partitions=min_partitions)
     return spark.read.format("kafka").options(**opts).load()
 
 
@@ -66,10 +86,6 @@ def read_topic_stream(
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.parquet(path)
-    opts = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
-    if max_offsets_per_trigger:
-        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    if min_partitions:
-        opts["minPartitions"] = str(min_partitions)
-    opts.update(_kafka_options(brokers, topic, options))
+    opts = kafka_read_options(brokers, topic, bounded=False, options=options, min_partitions=min_partitions,
+                              max_offsets_per_trigger=max_offsets_per_trigger)
     return spark.readStream.format("kafka").options(**opts).load()
