@@ -81,9 +81,15 @@ def _payload(rng):
     m = rng.random()
     if m < 0.04:
         text += rng.choice([" zz", "] zz", "} zz", ",{}", " /* c */", "\n"])
-    elif m < 0.06:
-        text = rng.choice(["xx", "", "5", "null", "[\"t\",\"i\",\"c\",\"m\"]", " ", "[[]]", "// c\n[]"]) 
-    elif m < 0.08:
+    elif m < 0.10:  # early-close suffixes aimed at the wrapper checks
+        text += rng.choice(["]", "] zz", "}", "} zz", ',"q":1', ',"q":1} zz', "]]", "},{", ',"q":1]', "]}"])
+    elif m < 0.13:  # raw control characters inside a string (strict JSON forbids them)
+        i = text.find('"', text.find(":"))
+        if i > 0:
+            text = text[: i + 1] + rng.choice(["\u0001", "\t", "\u001f"]) + text[i + 1 :]
+    elif m < 0.15:
+        text = rng.choice(["xx", "", "5", "null", "[\"t\",\"i\",\"c\",\"m\"]", " ", "[[]]", "// c\n[]"])
+    elif m < 0.17:
         text = rng.choice(["  ", "\n", "\t"]) + text
     return text
 

@@ -263,15 +263,17 @@ def _checked(
     """
     v = F.col(value_col).cast("string")
     # Two wrappers: Spark's JSON reader stops after the first complete value, so "X] zz" passes the array
-    # wrapper alone and "X} zz" the object wrapper alone; "X,X" passes neither (two elements, object key error).
+    # wrapper alone. The object wrapper catches it: '{"p":' + v + ',"q":1}' yields q = 1 only if v is one complete
+    # value followed by nothing ("X] zz" is a syntax error there, and "X} zz" closes the object before q). It only
+    # needs tokenizing, so get_json_object does it without building a second variant.
     as_array = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
-    as_object = F.try_parse_json(F.concat(F.lit('{"p":'), v, F.lit("}")))
+    as_object = F.get_json_object(F.concat(F.lit('{"p":'), v, F.lit(',"q":1}')), "$.q") == F.lit("1")
     stage1 = messages.select(
         *lineage,
         F.col(value_col).isNull().alias("_null"),
         F.coalesce(F.is_valid_utf8(v), F.lit(False)).alias("_utf8"),
         as_array.alias("_a"),
-        as_object.isNotNull().alias("_b"),
+        F.coalesce(as_object, F.lit(False)).alias("_b"),
     )
     x0 = F.try_variant_get(F.col("_a"), "$[0]", "variant")
     single = F.try_variant_get(F.col("_a"), "$[1]", "variant").isNull()  # JSON null is not SQL NULL
