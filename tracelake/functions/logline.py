@@ -81,13 +81,32 @@ def is_trace_line(line: Column | str = "value") -> Column:
     return _as_col(line).rlike(FULL_PATTERN)
 
 
+def _unicode_digits() -> tuple[str, str]:
+    """Every Unicode decimal digit (category Nd) and its ASCII value, built from the Unicode database."""
+    import sys
+    import unicodedata
+
+    src, dst = [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.decimal(ch)))
+    return "".join(src), "".join(dst)
+
+
+_DIGITS_FROM, _DIGITS_TO = _unicode_digits()
+
+
 def event_time(timestamp: Column | str = "timestamp") -> Column:
     """Nullable ``timestamp_ntz`` from the verbatim timestamp text.
 
-    Inner whitespace runs are collapsed to one space first; impossible dates (``9999-99-99``) give NULL; more
-    than six fractional digits are cut to microseconds by the cast.
+    Inner whitespace runs are collapsed to one space and non-ASCII decimal digits (which the pattern accepts)
+    are mapped to ASCII first; impossible dates (``9999-99-99``) give NULL; more than six fractional digits are
+    cut to microseconds by the cast.
     """
-    return F.regexp_replace(_as_col(timestamp), r"(?U)\s+", " ").try_cast("timestamp_ntz")
+    text = F.translate(F.regexp_replace(_as_col(timestamp), r"(?U)\s+", " "), _DIGITS_FROM, _DIGITS_TO)
+    return text.try_cast("timestamp_ntz")
 
 
 def first_char(c: Column | str, default: str = "?") -> Column:
