@@ -171,3 +171,14 @@ def test_incremental_batch_load_skips_loaded_messages(spark, tmp_path):
     _topic(spark, topic, ["[" + E % "a" + "," + E % "b" + "]", E % "c"])
     assert topic_to_table_incremental(spark, topic, target) == 3
     assert spark.read.parquet(table).count() == 9
+
+
+def test_files_per_batch(spark, tmp_path):
+    import glob
+
+    topic, table, chk = str(tmp_path / "topic"), str(tmp_path / "table"), str(tmp_path / "chk")
+    df = spark.createDataFrame([(i, E % i) for i in range(40)], "chunk long, value string").repartition(5)
+    write_topic_table(as_topic_messages(df, "logs", 2), topic)
+    run_ingest_once(read_topic_stream(spark, path=topic), IngestTarget(table=table, ingest="f", is_path=True, files_per_batch=1), chk)
+    files = glob.glob(f"{table}/ingest=f/batch_id=0/*.parquet")
+    assert len(files) == 1 and spark.read.parquet(table).count() == 40

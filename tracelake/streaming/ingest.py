@@ -39,6 +39,9 @@ class IngestTarget:
     ingest: str
     is_path: bool = False
     quarantine: str | None = None
+    # Files per micro-batch partition: None keeps one file per decoding task; a number repartitions the decoded
+    # rows first (one shuffle of the batch) so many small batches do not leave many small files.
+    files_per_batch: int | None = None
 
 
 def ensure_log_tables(spark: SparkSession, target: IngestTarget) -> None:
@@ -54,15 +57,20 @@ def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error:
     if batch.isEmpty():
         return
     spec = {"ingest": target.ingest, "batch_id": int(batch_id)}
+
+    def sized(df: DataFrame) -> DataFrame:
+        return df.repartition(target.files_per_batch) if target.files_per_batch else df
+
     if on_error == "fail":
-        overwrite_partition(landing_rows(decode(batch, lineage=LINEAGE)), target.table, spec, is_path=target.is_path)
+        rows = sized(landing_rows(decode(batch, lineage=LINEAGE)))
+        overwrite_partition(rows, target.table, spec, is_path=target.is_path)
         return
     if on_error != "quarantine":
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     verdicts = decode_verdicts(batch, lineage=LINEAGE).persist()
     try:
         good, bad = split_verdicts(verdicts)
-        overwrite_partition(landing_rows(good), target.table, spec, is_path=target.is_path)
+        overwrite_partition(sized(landing_rows(good)), target.table, spec, is_path=target.is_path)
         if target.quarantine:
             bad_rows = bad.select(
                 F.col("topic").alias("src_topic"),
