@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--ingest", default=None, help="partition label of this checkpoint (default: its last path part)")
     c.add_argument("--on-error", choices=("fail", "quarantine"), default="fail")
     c.add_argument("--quarantine", help="table or path for rejected messages (quarantine mode)")
+    c.add_argument("--files-per-batch", type=int, help="files written per micro-batch (default: one per task)")
     topic_args(c)
     return p
 
@@ -103,7 +104,7 @@ def run(argv: Sequence[str] | None = None) -> dict:
 
     ingest = args.ingest or args.checkpoint.rstrip("/").rsplit("/", 1)[-1]
     target = IngestTarget(table=args.table_path or args.table, ingest=ingest, is_path=bool(args.table_path),
-                          quarantine=args.quarantine)
+                          quarantine=args.quarantine, files_per_batch=args.files_per_batch)
     topic_to_table(spark, args.topic_path, target, args.checkpoint, brokers=args.brokers, topic=args.topic,
                    on_error=args.on_error)
     return {"ingest": ingest}
