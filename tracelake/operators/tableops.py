@@ -87,8 +87,9 @@ def upsert(
 ) -> DataFrame:
     """``UPSERT ... WITH PRIMARY KEY``: changed keys take the change row, new keys are inserted, others stay.
 
-    ``order_by`` picks the winning change when a key appears more than once. Without it every change row is
-    kept (a repeated key stays repeated) and the anti join uses the distinct change keys. Columns of ``current`` define the output; ``order_by`` columns that
+    ``order_by`` picks the winning change when a key appears more than once (greatest wins; ties are broken by the
+    row values, so the result does not depend on arrival order). Without it every change row is kept (a repeated
+    key stays repeated) and the anti join uses the distinct change keys. Columns of ``current`` define the output; ``order_by`` columns that
     are not table columns are dropped.
     """
     key = [key] if isinstance(key, str) else list(key)
