@@ -7,6 +7,8 @@ and ``U`` (UNICODE_CHARACTER_CLASS: ``\\s``, ``\\S`` and ``\\d`` are Unicode cla
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,8 +83,9 @@ def is_trace_line(line: Column | str = "value") -> Column:
     return _as_col(line).rlike(FULL_PATTERN)
 
 
+@functools.lru_cache(maxsize=1)
 def _unicode_digits() -> tuple[str, str]:
-    """Every Unicode decimal digit (category Nd) and its ASCII value, built from the Unicode database."""
+    """Every Unicode decimal digit (category Nd) and its ASCII value, built from the Unicode database (once)."""
     import sys
     import unicodedata
 
@@ -95,9 +98,6 @@ def _unicode_digits() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
-_DIGITS_FROM, _DIGITS_TO = _unicode_digits()
-
-
 def event_time(timestamp: Column | str = "timestamp") -> Column:
     """Nullable ``timestamp_ntz`` from the verbatim timestamp text.
 
@@ -105,7 +105,8 @@ def event_time(timestamp: Column | str = "timestamp") -> Column:
     are mapped to ASCII first; impossible dates (``9999-99-99``) give NULL; more than six fractional digits are
     cut to microseconds by the cast.
     """
-    text = F.translate(F.regexp_replace(_as_col(timestamp), r"(?U)\s+", " "), _DIGITS_FROM, _DIGITS_TO)
+    digits_from, digits_to = _unicode_digits()
+    text = F.translate(F.regexp_replace(_as_col(timestamp), r"(?U)\s+", " "), digits_from, digits_to)
     return text.try_cast("timestamp_ntz")
 
 
