@@ -18,7 +18,7 @@ from tracelake.operators.sinks import write_csv, write_topic_table
 from tracelake.operators.tableops import assign_ids, delete, page, top, update, upsert
 from tracelake.operators.views import active_users, trimmed_users, users_count, users_with_roles
 from tracelake.plans import derive
-from tracelake.plans.jobs import TopicSink, logs_to_topic, table_to_topic
+from tracelake.plans.jobs import TopicSink, delete_with_log, logs_to_topic, table_to_topic
 from tracelake.schemas import LOG_FIELDS, USER_ROW
 from tracelake.session import scratch_path
 from tracelake.sources.csvfiles import read_csv
@@ -444,3 +444,14 @@ def q_users_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as the table source delivers them: strict unsigned id, name trimmed, NULL name as ''."""
     customer = derive.table(spark, sf_dir, "customer")
     return fetch_users(customer, "c_custkey", "c_name")
+
+
+@register(
+    "users_delete_log",
+    f"WITH {SQL_USERS} SELECT 'DELETE USERS' AS op, count(*) AS n_rows FROM users WHERE name LIKE '%3'",
+)
+def q_users_delete_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DELETE job: the next table version and its statement-level log row, counted in the same pass."""
+    base = scratch_path(spark, "users-delete")
+    delete_with_log(spark, _users(spark, sf_dir), F.col("name").like("%3"), f"{base}/users", f"{base}/op_log")
+    return spark.read.parquet(f"{base}/op_log").select("op", "n_rows")
