@@ -26,8 +26,10 @@ def test_three_jobs_chain(spark, tmp_path):
     assert run(["logs-to-topic", "--log-file", str(f), "--topic-path", topic, "--topic", "logs"]) == {"lines": 7, "rows": 7, "rejected": 0, "messages": 1}
     out = run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"),
                "--checkpoint", str(tmp_path / "chk")])
-    assert out == {"ingest": "chk"}
-    run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"), "--checkpoint", str(tmp_path / "chk")])
+    assert out == {"ingest": "chk", "batches": 1, "messages": 1, "rows": 7, "rejected": 0}
+    again = run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"),
+                 "--checkpoint", str(tmp_path / "chk")])
+    assert again == {"ingest": "chk", "batches": 0, "messages": 0, "rows": 0, "rejected": 0}
     assert spark.read.parquet(str(tmp_path / "table")).count() == 7
 
     spark.createDataFrame([(" 1", "User1 "), ("2", "User2")], "ID string, NAME string").createOrReplaceTempView("cli_users")

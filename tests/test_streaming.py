@@ -66,7 +66,8 @@ def test_quarantine_mode_writes_the_rest(spark, tmp_path):
     topic, table, quarantine, chk = (str(tmp_path / n) for n in ("topic", "table", "q", "chk"))
     _topic(spark, topic, [E % 1, (E % 2) + " zz", E % 3, (E % 4).replace('"level"', '"LEVEL"'), None])
     target = IngestTarget(table=table, ingest="a", is_path=True, quarantine=quarantine)
-    run_ingest_once(read_topic_stream(spark, path=topic), target, chk, on_error="quarantine")
+    counts = run_ingest_once(read_topic_stream(spark, path=topic), target, chk, on_error="quarantine")
+    assert counts == {"batches": 1, "messages": 5, "rows": 2, "rejected": 2}  # the tombstone yields nothing
     assert sorted(r.message for r in spark.read.parquet(table).collect()) == ["1", "3"]
     assert sorted(r.reason for r in spark.read.parquet(quarantine).collect()) == ["bad_row", "malformed_json"]
 

@@ -105,9 +105,9 @@ def run(argv: Sequence[str] | None = None) -> dict:
     ingest = args.ingest or args.checkpoint.rstrip("/").rsplit("/", 1)[-1]
     target = IngestTarget(table=args.table_path or args.table, ingest=ingest, is_path=bool(args.table_path),
                           quarantine=args.quarantine, files_per_batch=args.files_per_batch)
-    topic_to_table(spark, args.topic_path, target, args.checkpoint, brokers=args.brokers, topic=args.topic,
-                   on_error=args.on_error)
-    return {"ingest": ingest}
+    counts = topic_to_table(spark, args.topic_path, target, args.checkpoint, brokers=args.brokers, topic=args.topic,
+                            on_error=args.on_error)
+    return {"ingest": ingest, **counts}
 
 
 def main(argv: Sequence[str] | None = None) -> int:

@@ -110,12 +110,12 @@ def topic_to_table(
     brokers: str | None = None,
     topic: str | None = None,
     on_error: str = "fail",
-) -> None:
-    """Load every message not loaded before (checkpointed stream, ``availableNow``), then stop."""
+) -> dict:
+    """Load every message not loaded before (checkpointed stream, ``availableNow``), then stop; returns counters."""
     if topic_path is None and not (brokers and topic):
         raise ValueError("topic_to_table needs a topic-table path or brokers + topic")
     source = read_topic_stream(spark, path=topic_path, brokers=brokers, topic=topic)
-    run_ingest_once(source, target, checkpoint, on_error=on_error)
+    return run_ingest_once(source, target, checkpoint, on_error=on_error)
 
 
 def topic_to_table_full(spark: SparkSession, topic_path: str | None, target: IngestTarget, **kafka) -> str:

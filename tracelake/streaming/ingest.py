@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,33 +52,43 @@ def ensure_log_tables(spark: SparkSession, target: IngestTarget) -> None:
         ensure_table(spark, target.quarantine, QUARANTINE_TABLE, partition_by=LOG_TABLE_PARTITIONS)
 
 
-def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error: str = "fail") -> None:
-    """``foreachBatch`` body: strict decode, then replay-safe write of this batch's partition."""
+def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error: str = "fail") -> dict:
+    """``foreachBatch`` body: strict decode, then replay-safe write of this batch's partition.
+
+    Returns ``{"messages", "rows", "rejected"}`` observed during the write itself (no extra pass).
+    """
     if batch.isEmpty():
-        return
+        return {"messages": 0, "rows": 0, "rejected": 0}
     spec = {"ingest": target.ingest, "batch_id": int(batch_id)}
+    msg_obs, row_obs = Observation(f"messages_{batch_id}"), Observation(f"rows_{batch_id}")
+    batch = batch.observe(msg_obs, F.count(F.lit(1)).alias("n"))
 
     def sized(df: DataFrame) -> DataFrame:
         return df.repartition(target.files_per_batch) if target.files_per_batch else df
 
     if on_error == "fail":
-        rows = sized(landing_rows(decode(batch, lineage=LINEAGE)))
-        overwrite_partition(rows, target.table, spec, is_path=target.is_path)
-        return
+        rows = landing_rows(decode(batch, lineage=LINEAGE)).observe(row_obs, F.count(F.lit(1)).alias("n"))
+        overwrite_partition(sized(rows), target.table, spec, is_path=target.is_path)
+        return {"messages": msg_obs.get["n"], "rows": row_obs.get["n"], "rejected": 0}
     if on_error != "quarantine":
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     verdicts = decode_verdicts(batch, lineage=LINEAGE).persist()
     try:
         good, bad = split_verdicts(verdicts)
         overwrite_partition(sized(landing_rows(good)), target.table, spec, is_path=target.is_path)
+        bad_rows = bad.select(
+            F.col("topic").alias("src_topic"),
+            F.col("partition").alias("src_partition"),
+            F.col("offset").alias("src_offset"),
+            "reason",
+        )
         if target.quarantine:
-            bad_rows = bad.select(
-                F.col("topic").alias("src_topic"),
-                F.col("partition").alias("src_partition"),
-                F.col("offset").alias("src_offset"),
-                "reason",
-            )
             overwrite_partition(bad_rows, target.quarantine, spec, is_path=target.is_path)
+        counts = verdicts.agg(
+            F.count(F.when(F.col("verdict") == "ok", 1)).alias("rows"),
+            F.count(F.when(F.col("verdict") == "bad", 1)).alias("rejected"),
+        ).first()  # one row computed from the cached verdicts
+        return {"messages": msg_obs.get["n"], "rows": int(counts["rows"]), "rejected": int(counts["rejected"])}
     finally:
         verdicts.unpersist()
 
@@ -92,26 +102,42 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    counters: dict | None = None,
 ) -> StreamingQuery:
-    """Start the topic -> table stream. ``source`` is a streaming frame with the Kafka columns."""
+    """Start the topic -> table stream. ``source`` is a streaming frame with the Kafka columns.
+
+    ``counters`` (optional dict) accumulates ``batches, messages, rows, rejected`` of the committed batches.
+    """
     if not source.isStreaming:
         raise ValueError("source must be a streaming DataFrame (see sources.topic.read_topic_stream)")
     ensure_log_tables(source.sparkSession, target)
-    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, bid: write_batch(df, bid, target, on_error)
-    )
+    totals = counters if counters is not None else {}
+
+    def each_batch(df: DataFrame, bid: int) -> None:
+        got = write_batch(df, bid, target, on_error)
+        if got["messages"]:
+            totals["batches"] = totals.get("batches", 0) + 1
+        for k, v in got.items():
+            totals[k] = totals.get(k, 0) + v
+
+    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each_batch)
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 seconds")
     return writer.start()
 
 
-def run_ingest_once(source: DataFrame, target: IngestTarget, checkpoint: str, *, on_error: str = "fail") -> None:
-    """Process everything available now, then stop; raises if a batch failed."""
-    q = start_ingest(source, target, checkpoint, on_error=on_error, available_now=True)
+def run_ingest_once(source: DataFrame, target: IngestTarget, checkpoint: str, *, on_error: str = "fail") -> dict:
+    """Process everything available now, then stop; raises if a batch failed.
+
+    Returns run counters ``{"batches", "messages", "rows", "rejected"}`` - all zero when everything was loaded before.
+    """
+    counters = {"batches": 0, "messages": 0, "rows": 0, "rejected": 0}
+    q = start_ingest(source, target, checkpoint, on_error=on_error, available_now=True, counters=counters)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest failed: {q.exception()}")
+    return counters
 
 
 def log_view(spark: SparkSession, table: str, view: str, *, is_path: bool = False) -> DataFrame:
