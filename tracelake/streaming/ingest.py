@@ -137,6 +137,10 @@ def run_ingest_once(source: DataFrame, target: IngestTarget, checkpoint: str, *,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest failed: {q.exception()}")
+    if not target.is_path:  # the batches wrote through a cloned session: drop this session's cached file listing
+        source.sparkSession.catalog.refreshTable(target.table)
+        if target.quarantine:
+            source.sparkSession.catalog.refreshTable(target.quarantine)
     return counters
 
 
