@@ -182,3 +182,13 @@ def test_ordered_positional_messages(spark):
     ids = [x["id"] for m in msgs for x in json.loads(m.value)]
     assert ids == list(range(5000))  # message ids follow id order, rows inside each message too
     assert max(m.n_rows for m in msgs) <= 300
+
+
+def test_large_messages_decode(spark):
+    many = "[" + ",".join([E] * (17 * 1024 * 1024 // len(E) + 1)) + "]"  # 17 MiB of small rows
+    huge = E.replace('"m"', '"' + "x" * (17 * 1024 * 1024) + '"')  # one 17 MiB string
+    df = spark.createDataFrame([(0, many), (1, huge)], "offset long, value string")
+    got = decode_verdicts(df, lineage=["offset"]).groupBy("offset", "verdict", "reason").count().collect()
+    by_offset = {r.offset: (r.verdict, r.reason, r["count"]) for r in got}
+    assert by_offset[0] == ("ok", None, many.count("{"))
+    assert by_offset[1] == ("ok", None, 1)

@@ -212,8 +212,12 @@ _KINDS: dict[type, tuple[str, ...]] = {
 }
 
 REASON_UTF8 = "invalid_utf8"
+REASON_SIZE = "too_large"
 REASON_JSON = "malformed_json"
 REASON_ROW = "bad_row"
+# Spark's variant values are limited in size (128 MiB in Spark 4.1); a message that does not parse and is at least
+# that large is reported as too large rather than malformed.
+VARIANT_LIMIT = 128 * 1024 * 1024
 
 
 def _field_ok(got: Column, field: T.StructField) -> Column:
@@ -272,12 +276,13 @@ def _checked(
         *lineage,
         F.col(value_col).isNull().alias("_null"),
         F.coalesce(F.is_valid_utf8(v), F.lit(False)).alias("_utf8"),
+        (F.octet_length(F.col(value_col)) >= VARIANT_LIMIT).alias("_big"),
         as_array.alias("_a"),
         F.coalesce(as_object, F.lit(False)).alias("_b"),
     )
     x0 = F.try_variant_get(F.col("_a"), "$[0]", "variant")
     single = F.try_variant_get(F.col("_a"), "$[1]", "variant").isNull()  # JSON null is not SQL NULL
-    stage2 = stage1.select(*lineage, "_null", "_utf8", "_b", x0.alias("_x"), single.alias("_single"))
+    stage2 = stage1.select(*lineage, "_null", "_utf8", "_big", "_b", x0.alias("_x"), single.alias("_single"))
     well_formed = F.col("_utf8") & F.col("_b") & F.col("_x").isNotNull() & F.col("_single")
     # One native cast per message: an array of objects becomes array<struct<field: variant>>, a lone object a
     # one-element array. Any element that is not an object makes the array cast NULL, and the struct cast of the
@@ -287,7 +292,7 @@ def _checked(
         well_formed,
         F.coalesce(F.try_variant_get("_x", "$", f"array<{vstruct}>"), F.array(F.try_variant_get("_x", "$", vstruct))),
     )
-    stage3 = stage2.select(*lineage, "_null", "_utf8", "_x", well_formed.alias("_wf"), fields.alias("_fs"))
+    stage3 = stage2.select(*lineage, "_null", "_utf8", "_big", "_x", well_formed.alias("_wf"), fields.alias("_fs"))
 
     def element_ok(fs: Column) -> Column:
         ok = fs.isNotNull()
@@ -300,9 +305,10 @@ def _checked(
         return ok
 
     rows_ok = F.coalesce(F.forall("_fs", lambda fs: F.coalesce(element_ok(fs), F.lit(False))), F.lit(False))
-    stage4 = stage3.select(*lineage, "_null", "_utf8", "_x", "_wf", "_fs", rows_ok.alias("_rows_ok"))
+    stage4 = stage3.select(*lineage, "_null", "_utf8", "_big", "_x", "_wf", "_fs", rows_ok.alias("_rows_ok"))
     reason = (
         F.when(~F.col("_utf8"), F.lit(REASON_UTF8))
+        .when(~F.col("_wf") & F.col("_big"), F.lit(REASON_SIZE))
         .when(~F.col("_wf"), F.lit(REASON_JSON))
         .when(~F.col("_rows_ok"), F.lit(REASON_ROW))
     )
