@@ -100,3 +100,16 @@ def test_kafka_read_options():
     assert stream["maxOffsetsPerTrigger"] == "10000" and stream["failOnDataLoss"] == "true" and "endingOffsets" not in stream
     with pytest.raises(ValueError):
         kafka_read_options(None, "logs", bounded=True)
+
+
+def test_named_user_views_usable_from_sql(spark):
+    from tracelake.operators.views import create_user_views
+
+    users = spark.createDataFrame([(1, " a "), (2, None), (3, "c")], "id long, name string")
+    roles = spark.createDataFrame([(1, "admin"), (1, "dev")], "user_id long, role string")
+    names = create_user_views(users, roles)
+    assert names == ["v_users", "v_users_active", "v_users_count", "v_users_with_roles"]
+    assert spark.sql("SELECT n_users FROM v_users_count").first().n_users == 3
+    assert spark.sql("SELECT count(*) AS n FROM v_users_with_roles WHERE role IS NULL").first().n == 2
+    assert [r.id for r in spark.sql("SELECT id FROM v_users_active ORDER BY id").collect()] == [1, 3]
+    assert spark.sql("SELECT name FROM v_users WHERE id = 1").first().name == "a"

@@ -51,3 +51,18 @@ def users_count(users: DataFrame) -> DataFrame:
 def users_with_roles(users: DataFrame, roles: DataFrame) -> DataFrame:
     """Join view: every user with each of its roles, NULL role when it has none."""
     return left_join(users, roles, "id", "user_id").select("id", "name", "role")
+
+
+def create_user_views(users: DataFrame, roles: DataFrame, *, prefix: str = "v_") -> list[str]:
+    """Register the handbook's views by name for SQL use: ``<prefix>users`` (trimmed names),
+    ``<prefix>users_active`` (filter), ``<prefix>users_count`` (aggregate), ``<prefix>users_with_roles`` (join).
+    Returns the view names."""
+    views = {
+        f"{prefix}users": trimmed_users(users),
+        f"{prefix}users_active": active_users(users),
+        f"{prefix}users_count": users_count(users),
+        f"{prefix}users_with_roles": users_with_roles(users, roles),
+    }
+    for name, df in views.items():
+        create_view(df, name)
+    return list(views)
