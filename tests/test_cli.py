@@ -39,3 +39,11 @@ def test_three_jobs_chain(spark, tmp_path):
     rows = sorted((r for v in values for r in json.loads(v)), key=lambda r: r["id"])
     assert rows == [{"id": 1, "name": "User1"}, {"id": 2, "name": "User2"}]
     assert all(v.startswith('[{"id":') and " " not in v for v in values)
+
+
+def test_jdbc_source_error_exits_1(spark, tmp_path, capsys):
+    # a URL no JDBC driver accepts: nothing is started or contacted
+    code = main(["table-to-topic", "--jdbc-url", "jdbc:nosuchdriver://nowhere/db", "--jdbc-table", "USERS",
+                 "--topic-path", str(tmp_path / "t")])
+    assert code == 1
+    assert "tracelake:" in capsys.readouterr().err
