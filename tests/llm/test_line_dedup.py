@@ -1,0 +1,83 @@
+"""Line dedup against a brute-force version: thresholds, hot lines over many partitions, edge rows."""
+
+import hashlib
+import random
+
+import pytest
+
+from tracelake.llm.line_dedup import drop_lines, keep_bitmaps, line_key, line_report
+
+SCHEMA = "doc_id bigint, text string, n_lines string, body int"
+
+
+def brute(rows, min_docs, keep):
+    """{(id, text): kept text} for distinct (id, text)."""
+    docs = sorted({(r[0], r[1]) for r in rows}, key=lambda d: (d[0] is not None, d[0] or 0))
+    where = {}
+    for d in docs:
+        for p, line in enumerate((d[1] or "").split("\n")):
+            k = line_key(line.encode())
+            if k:
+                where.setdefault(k, []).append((d, p))
+    gone = set()
+    for at in where.values():
+        if keep == "none" and len({d for d, _ in at}) >= min_docs:
+            gone |= set(at)
+        elif keep == "first":
+            gone |= set(at[1:])
+    return {d: "\n".join(x for p, x in enumerate((d[1] or "").split("\n")) if (d, p) not in gone) for d in docs}
+
+
+def rows_for(seed, n=120):
+    rnd = random.Random(seed)
+    pool = [f"Line {i}" for i in range(25)] + ["", "  ", "\tHot line \r", "é\x0b", "x" * 3000]
+    out = []
+    for i in range(n):
+        lines = [rnd.choice(pool) for _ in range(rnd.randint(0, 9))] + [f"own {i}"] * rnd.randint(0, 2)
+        if i % 3:
+            lines.append("hot LINE")
+        out.append((i, "\n".join(lines), "clash", 7))
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 7, 40])
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_against_brute_force(spark, keep, parts):
+    rows = rows_for(parts)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+        bitmaps = keep_bitmaps(docs, min_docs=10, keep=keep)
+        got = {r.doc_id: r.text for r in drop_lines(docs, bitmaps).collect()}
+        report = {r.doc_id: r for r in line_report(docs, bitmaps).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = {d[0]: t for d, t in brute(rows, 10, keep).items()}
+    assert got == want
+    for i, text, *_ in rows:
+        assert report[i].n_lines == text.count("\n") + 1
+        assert report[i].kept_sha256 == hashlib.sha256(want[i].encode()).hexdigest()
+
+
+def test_edge_rows(spark):
+    rows = [(None, "same"), (None, "same"), (1, None), (1, None), (2, ""), (3, "same\nsame"), (3, "other"), (4, "A" * 200_000 + "\nsame")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bitmaps = keep_bitmaps(docs, min_docs=3)
+    got = sorted((tuple(r) for r in drop_lines(docs, bitmaps).collect()), key=str)
+    want = [(None, ""), (None, ""), (1, None), (1, None), (2, ""), (3, ""), (3, "other"), (4, "A" * 200_000)]
+    assert got == sorted(want, key=str)
+    n = {(r.doc_id, r.n_lines, r.n_dropped) for r in line_report(docs, bitmaps).collect()}
+    assert n == {(None, 1, 1), (1, 1, 0), (2, 1, 0), (3, 2, 2), (3, 1, 0), (4, 2, 1)}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    bitmaps = keep_bitmaps(docs)
+    assert bitmaps.count() == 0 and drop_lines(docs, bitmaps).count() == 0 and line_report(docs, bitmaps).count() == 0
+
+
+def test_bad_mode(spark):
+    with pytest.raises(ValueError):
+        keep_bitmaps(spark.createDataFrame([], "doc_id bigint, text string"), keep="some")
