@@ -12,3 +12,9 @@ SF = "/root/testdata/sf0.001"
 def test_query_matches_sql(spark, name):
     n, problems = compare(QUERIES[name](spark, SF), duck(SF), ORACLE[name])
     assert n and not problems, problems
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_columns_are_flat_and_named(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert len(set(df.columns)) == len(df.columns) and name.startswith("op")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import line_dedup, simhash_dedup
+from tracelake.llm import byte_bpe, decontaminate, line_dedup, quality_crf, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,20 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    fold = quality_crf.held_out()
+    return quality_crf.quality(docs, quality_crf.train(docs.where(~fold), labels.where(~fold)))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return line_dedup.line_report(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1))
@@ -24,7 +39,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op7_quality_crf": op7_quality_crf,
     "op9_line_dedup": op9_line_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {
