@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import byte_bpe, decontaminate, line_dedup, quality_crf, simhash_dedup
+from tracelake.llm import byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = simhash_dedup.near_dedup(_table(spark, sf_dir, "documents"))
     return marks.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -22,6 +26,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     fold = quality_crf.held_out()
@@ -32,20 +40,37 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.near_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return line_dedup.line_report(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1))
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_warc": op6_warc,
     "op7_quality_crf": op7_quality_crf,
+    "op8_itq_dedup": op8_itq_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        g AS (SELECT *, payload_bytes >= 1000 AND page_id < max(page_id) OVER same AS again, max(page_id) OVER same AS top
+            FROM p WINDOW same AS (PARTITION BY payload_digest))
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN again THEN top END AS refers_to
+        FROM g
+    """,
     "op9_line_dedup": """
         WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
         lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split),
