@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, warc
+from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_bloom_lm": op4_bloom_lm,
+    "op5_token_counts": op5_token_counts,
     "op6_warc": op6_warc,
     "op7_quality_crf": op7_quality_crf,
     "op8_itq_dedup": op8_itq_dedup,
