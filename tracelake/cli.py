@@ -48,6 +48,10 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--ingest", default=None, help="partition label of this checkpoint (default: its last path part)")
     c.add_argument("--on-error", choices=("fail", "quarantine"), default="fail")
     c.add_argument("--quarantine", help="table or path for rejected messages (quarantine mode)")
+    c.add_argument("--max-offsets-per-trigger", type=int, default=1_000_000, help="Kafka messages in one micro-batch")
+    c.add_argument("--max-files-per-trigger", type=int, default=1000, help="topic-table files in one micro-batch")
+    c.add_argument("--min-partitions", type=int, help="split Kafka partitions into at least so many tasks")
+    c.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE", help="option of the Kafka source; repeatable")
     c.add_argument("--files-per-batch", type=int, help="files written per micro-batch (default: one per task)")
     topic_args(c)
     return p
@@ -73,6 +77,8 @@ def run(argv: Sequence[str] | None = None) -> dict:
         raise ValueError("set --table or --jdbc-url and --jdbc-table")
     if args.command == "topic-to-table" and not (args.table or args.table_path):
         raise ValueError("set --table or --table-path")
+    if args.command == "topic-to-table" and args.on_error == "quarantine" and not args.quarantine:
+        raise ValueError("--on-error quarantine needs --quarantine")
 
     from pyspark.sql import SparkSession
 
@@ -106,7 +112,9 @@ def run(argv: Sequence[str] | None = None) -> dict:
     target = IngestTarget(table=args.table_path or args.table, ingest=ingest, is_path=bool(args.table_path),
                           quarantine=args.quarantine, files_per_batch=args.files_per_batch)
     counts = topic_to_table(spark, args.topic_path, target, args.checkpoint, brokers=args.brokers, topic=args.topic,
-                            on_error=args.on_error)
+                            on_error=args.on_error, max_offsets_per_trigger=args.max_offsets_per_trigger,
+                            max_files_per_trigger=args.max_files_per_trigger, min_partitions=args.min_partitions,
+                            options=dict(o.split("=", 1) for o in args.kafka_option))
     return {"ingest": ingest, **counts}
 
 

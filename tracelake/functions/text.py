@@ -16,8 +16,8 @@ def unicode_trim(c: Column | str) -> Column:
 
 
 def parse_unsigned(c: Column | str) -> Column:
-    """Text -> non-negative bigint, NULL when it does not parse or is negative."""
-    n = F.trim(_as_col(c)).try_cast("bigint")
+    """Text -> non-negative bigint (outer Unicode white space aside), NULL when it does not parse or is negative."""
+    n = unicode_trim(c).try_cast("bigint")
     return F.when(n >= 0, n)
 
 

@@ -23,8 +23,8 @@ def parse_log_lines(lines: DataFrame, line_col: str = "value", keep: Sequence[st
 
 
 def log_rejects(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Lines the trace pattern does not accept (stack-trace continuations, blank lines, other formats)."""
-    return lines.where(~is_trace_line(line_col))
+    """Lines the trace pattern does not accept (stack-trace continuations, blank or NULL lines, other formats)."""
+    return lines.where(~F.coalesce(is_trace_line(line_col), F.lit(False)))
 
 
 def with_event_time(rows: DataFrame, col: str = "timestamp", out: str = "event_time") -> DataFrame:

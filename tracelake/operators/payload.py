@@ -36,6 +36,7 @@ def encode(
     chunk_by: Column | None = None,
     order_by: Sequence[str] = (),
     group_by: Sequence[str] = (),
+    split_keys: bool = True,
 ) -> DataFrame:
     """Pack rows into JSON-array messages; returns ``(*group_by, chunk, n_rows, value)`` with ``value`` a string.
 
@@ -48,9 +49,12 @@ def encode(
       order, never mixing ``group_by`` values (e.g. files). Streamed per partition, no shuffle (see
       :func:`_pack_positional`). With ``order_by`` the rows are first range-partitioned and sorted on those
       columns (one range shuffle), so messages hold consecutive order ranges and message ids follow the order.
-    * keyed: ``chunk_by`` names the message (e.g. ``floor(seq / 1000)`` over a unique sequence number) and
-      ``order_by`` orders rows inside it. Deterministic across runs and engines; the caller keeps groups bounded.
-      One shuffle on the message key; ``collect_list`` is partially aggregated map-side.
+    * keyed: ``chunk_by`` names the message (e.g. ``seq div 1000`` over a unique sequence number) and ``order_by``
+      orders rows inside it. Deterministic across runs and engines. A key of more than ``chunk_rows`` rows, or whose
+      JSON exceeds ``max_bytes``, becomes several messages with the same ``chunk`` (rows stay in order): rows are
+      range-partitioned on key and order, which also splits a hot key, sorted and packed in one streaming pass. A key
+      cut by a range bound is cut into messages there, too. ``split_keys=False`` is for keys that the caller knows to
+      be bounded (such as ``seq div 1000``): one message per key, gathered by one partially aggregated shuffle.
     """
     if not 1 <= chunk_rows <= MAX_CHUNK_ROWS:
         raise ValueError(f"chunk_rows must be in 1..{MAX_CHUNK_ROWS}")
@@ -58,16 +62,21 @@ def encode(
     row = F.struct(*[F.col(f) for f in fields])
     if chunk_by is None:
         if order_by:
-            # Ordered messages without a single task: range-partition on the order columns (sampled bounds also
-            # split a hot value across partitions), sort inside each partition, then pack positionally. Message ids
-            # grow with the order because range partition i holds the i-th key range.
-            parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            rows = rows.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+            # Ordered messages without a single task: range-partition on the order columns and, because equal keys go to
+            # one range, on a hash of the row, so a hot order value spans several ranges; sort inside each partition,
+            # then pack positionally. Message ids grow with the order: range partition i holds the i-th key range.
+            tie = F.xxhash64(*[F.col(f) for f in fields]).alias("_tie")
+            rows = rows.select("*", tie).repartitionByRange(*order_by, "_tie").sortWithinPartitions(*order_by, "_tie")
         return _pack_positional(rows.select(*group_by, F.to_json(row).alias("_json")), chunk_rows, list(group_by), max_bytes)
     if not order_by:
         raise ValueError("keyed chunks need order_by columns")
-    if max_bytes is not None:
-        raise ValueError("max_bytes applies to positional messages; bound keyed groups through chunk_by")
+    key = [*group_by, "_chunk"]
+    if split_keys or max_bytes is not None:
+        ranged = rows.select(*group_by, chunk_by.cast("bigint").alias("_chunk"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], F.to_json(row).alias("_json"))
+        by = [*key, *[f"_o{i}" for i in range(len(order_by))], "_json"]
+        ranged = ranged.repartitionByRange(*by).sortWithinPartitions(*by).select(*key, "_json")
+        packed = _pack_positional(ranged, chunk_rows, key, max_bytes)
+        return packed.select(*group_by, F.col("_chunk").alias("chunk"), "n_rows", "value")
     # Each row is serialized once before the shuffle; the aggregate carries (order, json) pairs and the message is
     # the sorted JSON texts joined - the same bytes as to_json of the row array, with smaller aggregation buffers.
     order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
@@ -194,7 +203,7 @@ def as_topic_messages(messages: DataFrame, topic: str, partitions: int = 1, id_c
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(mid, F.lit(partitions)).cast("int").alias("partition"),
-        F.floor(mid / partitions).cast("bigint").alias("offset"),
+        F.call_function("div", mid, F.lit(partitions).cast("bigint")).alias("offset"),  # integers: "/" is exact to 2^53 only
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
@@ -255,14 +264,8 @@ def _variant_struct(schema: T.StructType) -> str:
     return "struct<" + ",".join(f"`{f.name}`:variant" for f in schema.fields) + ">"
 
 
-def _checked(
-    messages: DataFrame,
-    schema: T.StructType,
-    constraints: Mapping[str, Callable[[Column], Column]],
-    value_col: str,
-    lineage: Sequence[str],
-) -> DataFrame:
-    """Per message: lineage, ``_null`` (tombstone), ``_fs`` (array of per-element field variants), ``_ok``, ``_reason``.
+def _parsed(messages: DataFrame, schema: T.StructType, value_col: str, lineage: Sequence[str]) -> DataFrame:
+    """Per message: lineage, ``_null`` (tombstone), ``_wf`` (one JSON value), ``_fs`` (array of per-element field variants).
 
     Tombstones are not filtered here: a filter on the value would be pushed below the projection that computes
     it and evaluate that expression twice; the generator in the callers emits nothing for them instead. Each
@@ -298,26 +301,45 @@ def _checked(
     )
     stage3 = stage2.select(*lineage, "_null", "_utf8", "_big", "_x", well_formed.alias("_wf"), fields.alias("_fs"))
 
-    def element_ok(fs: Column) -> Column:
-        ok = fs.isNotNull()
-        for f in schema.fields:
-            got = fs[f.name]
-            ok = ok & _field_ok(got, f)
-            if f.name in constraints:
-                typed = F.try_variant_get(got, "$", f.dataType.simpleString())
-                ok = ok & F.coalesce(constraints[f.name](typed), F.lit(f.nullable))
-        return ok
-
-    rows_ok = F.coalesce(F.forall("_fs", lambda fs: F.coalesce(element_ok(fs), F.lit(False))), F.lit(False))
-    stage4 = stage3.select(*lineage, "_null", "_utf8", "_big", "_x", "_wf", "_fs", rows_ok.alias("_rows_ok"))
-    reason = (
+    return stage3
+
+
+def _element_ok(fs: Column, schema: T.StructType, constraints: Mapping[str, Callable[[Column], Column]]) -> Column:
+    """Does one element (struct of field variants) carry every field with its type and constraints?"""
+    ok = fs.isNotNull()
+    for f in schema.fields:
+        got = fs[f.name]
+        ok = ok & _field_ok(got, f)
+        if f.name in constraints:
+            typed = F.try_variant_get(got, "$", f.dataType.simpleString())
+            ok = ok & F.coalesce(constraints[f.name](typed), F.lit(f.nullable))
+    return F.coalesce(ok, F.lit(False))
+
+
+def _checked(
+    messages: DataFrame,
+    schema: T.StructType,
+    constraints: Mapping[str, Callable[[Column], Column]],
+    value_col: str,
+    lineage: Sequence[str],
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``_parsed`` with ``_ok`` and ``_reason`` of the whole message: it is good only if all its elements are."""
+    stage3 = _parsed(messages, schema, value_col, [*lineage, *keep])
+    rows_ok = F.coalesce(F.forall("_fs", lambda fs: _element_ok(fs, schema, constraints)), F.lit(False))
+    stage4 = stage3.select("*", rows_ok.alias("_rows_ok"))
+    reason = F.coalesce(_envelope_reason(), F.when(~F.col("_rows_ok"), F.lit(REASON_ROW)))
+    return stage4.select(
+        *lineage, *keep, "_null", "_x", "_fs", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason")
+    )
+
+
+def _envelope_reason() -> Column:
+    """Why a message is no well-formed JSON value; NULL if it is one."""
+    return (
         F.when(~F.col("_utf8"), F.lit(REASON_UTF8))
         .when(~F.col("_wf") & F.col("_big"), F.lit(REASON_SIZE))
         .when(~F.col("_wf"), F.lit(REASON_JSON))
-        .when(~F.col("_rows_ok"), F.lit(REASON_ROW))
-    )
-    return stage4.select(
-        *lineage, "_null", "_x", "_fs", (F.col("_wf") & F.col("_rows_ok")).alias("_ok"), reason.alias("_reason")
     )
 
 
@@ -337,13 +359,15 @@ def decode_verdicts(
 ) -> DataFrame:
     """One pass over the messages: a row per decoded element and a row per rejected message.
 
-    Columns: ``*lineage, pos, verdict ('ok' | 'bad'), <schema fields>, reason``. Good messages yield one row per
-    element (``pos`` = position in the message, ``reason`` NULL); a bad message yields one row with NULL fields.
-    NULL values (tombstones) yield nothing.
+    Columns: ``*lineage, pos, verdict ('ok' | 'bad'), <schema fields>, reason, value``. Good messages yield one row per
+    element (``pos`` = position in the message, ``reason`` and ``value`` NULL); a bad message yields one row with NULL
+    fields and its whole payload in ``value``, so nothing is lost when the topic drops it. NULL values (tombstones)
+    yield nothing.
     """
     constraints = default_constraints(schema) if constraints is None else constraints
     lineage = [c for c in lineage if c in messages.columns]
-    checked = _checked(messages, schema, constraints, value_col, lineage)
+    messages = messages.withColumn("_value", F.col(value_col))
+    checked = _checked(messages, schema, constraints, value_col, lineage, ["_value"])
     row_type = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
     null_row = F.array(F.lit(None).cast(row_type.elementType))
     rows = (
@@ -351,13 +375,15 @@ def decode_verdicts(
         .when(F.col("_ok"), _typed_rows(schema).cast(row_type))
         .otherwise(null_row)
     )
-    exploded = checked.select(*lineage, "_ok", "_reason", F.posexplode(rows).alias("_pos", "_r"))
+    payload = F.when(~F.col("_ok"), F.col("_value").cast("binary")).alias("_value")
+    exploded = checked.select(*lineage, "_ok", "_reason", payload, F.posexplode(rows).alias("_pos", "_r"))
     return exploded.select(
         *lineage,
         F.when(F.col("_ok"), F.col("_pos").cast("int")).alias("pos"),
         F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("bad")).alias("verdict"),
         *[F.col("_r")[f.name].alias(f.name) for f in schema.fields],
         F.col("_reason").alias("reason"),
+        F.col("_value").alias("value"),
     )
 
 
@@ -375,21 +401,25 @@ def decode(
     """
     constraints = default_constraints(schema) if constraints is None else constraints
     lineage = [c for c in lineage if c in messages.columns]
-    checked = _checked(messages, schema, constraints, value_col, lineage)
+    parsed = _parsed(messages, schema, value_col, lineage)
     where = F.concat_ws(
         "/", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in lineage]
     ) if lineage else F.lit("?")
-    row_type = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
-    rows = _typed_rows(schema)
-    failed = F.raise_error(F.concat(F.lit("bad message at "), where, F.lit(": "), F.col("_reason"))).cast(row_type)
-    els = F.when(F.col("_null"), F.array().cast(row_type)).when(F.col("_ok"), rows.cast(row_type)).otherwise(failed)
-    exploded = checked.select(*lineage, F.posexplode(els).alias("pos", "_r"))
-    return exploded.select(*lineage, F.col("pos").cast("int").alias("pos"), *[F.col("_r")[f.name].alias(f.name) for f in schema.fields])
+    # Elements are checked one by one after the generator, in generated code. A message that is no JSON value yields one
+    # NULL element, so that it fails there, too. The check is a filter: no choice of columns can prune it.
+    vstruct = _variant_struct(schema)
+    els = F.when(F.col("_null"), F.array().cast(f"array<{vstruct}>")).when(F.col("_wf"), F.col("_fs"))
+    els = F.coalesce(els, F.array(F.lit(None).cast(vstruct)))
+    exploded = parsed.select(*lineage, F.coalesce(_envelope_reason(), F.lit(REASON_ROW)).alias("_reason"), F.posexplode(els).alias("_pos", "_f"))
+    failed = F.raise_error(F.concat(F.lit("bad message at "), where, F.lit(": "), F.col("_reason"))).cast("boolean")
+    good = exploded.where(F.when(_element_ok(F.col("_f"), schema, constraints), F.lit(True)).otherwise(failed))
+    fields = [F.try_variant_get(F.col("_f")[f.name], "$", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return good.select(*lineage, F.col("_pos").cast("int").alias("pos"), *fields)
 
 
 def split_verdicts(verdicts: DataFrame, schema: T.StructType = LOG_ENTRY) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad messages) views of :func:`decode_verdicts` output. Persist the input if both are used."""
-    lineage = [c for c in verdicts.columns if c not in {"pos", "verdict", "reason", *schema.fieldNames()}]
+    lineage = [c for c in verdicts.columns if c not in {"pos", "verdict", "reason", "value", *schema.fieldNames()}]
     good = verdicts.where(F.col("verdict") == "ok").select(*lineage, "pos", *schema.fieldNames())
-    bad = verdicts.where(F.col("verdict") == "bad").select(*lineage, "reason")
+    bad = verdicts.where(F.col("verdict") == "bad").select(*lineage, "reason", "value")
     return good, bad

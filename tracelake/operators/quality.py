@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.functions.text import unicode_trim
+from tracelake.functions.text import lossy_utf8, parse_unsigned, unicode_trim
 from tracelake.schemas import OP_LOG
 
 
@@ -118,15 +118,15 @@ def normalise(df: DataFrame, column: str, fn: Callable[[Column], Column] = unico
 
 
 def fetch_users(table: DataFrame, id_col: str = "ID", name_col: str = "NAME") -> DataFrame:
-    """Users as read from the source table: ``id`` must be an unsigned integer (the read fails otherwise),
-    ``name`` is decoded leniently (invalid UTF-8 replaced), trimmed, and NULL becomes ''.
+    """Users as read from the source table: ``id`` must be an unsigned integer, outer white space aside; the read fails
+    otherwise, whatever columns are used later (the check is a filter). ``name`` is decoded leniently (invalid UTF-8
+    replaced), trimmed, and NULL becomes ''.
     """
     raw_id = F.col(id_col).cast("string")
-    parsed = F.trim(raw_id).try_cast("bigint")
-    bad = parsed.isNull() | (parsed < 0)
-    id_ok = F.when(bad, F.raise_error(F.concat(F.lit("bad ID: "), F.coalesce(raw_id, F.lit("NULL"))))).otherwise(parsed)
-    name = unicode_trim(F.coalesce(F.make_valid_utf8(F.col(name_col).cast("string")), F.lit("")))
-    return table.select(id_ok.cast("bigint").alias("id"), name.alias("name"))
+    parsed = parse_unsigned(raw_id)
+    failed = F.raise_error(F.concat(F.lit("bad ID: "), F.coalesce(raw_id, F.lit("NULL")))).cast("boolean")
+    name = unicode_trim(F.coalesce(lossy_utf8(name_col), F.lit("")))
+    return table.where(F.when(parsed.isNull(), failed).otherwise(F.lit(True))).select(parsed.alias("id"), name.alias("name"))
 
 
 # Codes of the user_roles constraints (ours).

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.schemas import TOPIC
+from tracelake.session import path_exists, staged
 
 ALREADY_EXISTS = "AlreadyExists"
 CREATED = "Created"
 
 
+_ENDS = T.StructType([T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("end", T.LongType())])
+
+
 def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
@@ -99,29 +103,55 @@ def publish(messages: DataFrame, topic: str, brokers: str, options: Mapping[str,
 
 
 def write_topic_table(topic_messages: DataFrame, path: str) -> None:
-    """Append Kafka-shaped rows to a topic table (Parquet directory read by the file-stream source).
+    """Append Kafka-shaped rows to a topic table (Parquet directory read by the file-stream source); one writer at a time.
 
-    Like a Kafka partition log, offsets keep growing across appends: the new rows' offsets are shifted past the
-    largest offset already stored for their partition (one small aggregate over the ``partition, offset`` columns;
-    its size is the number of topic partitions).
+    As in a Kafka partition log, offsets are dense and keep growing: the rows of a topic partition are numbered on from
+    the end that the last append recorded in the hidden ``_ends`` folder, in the order of the Spark partitions and, in
+    those, of their own offset (equal ones follow each other). Rows are sorted inside their partitions and staged once,
+    without a shuffle; numbering needs one row per Spark and topic partition that meet.
     """
-    from tracelake.session import path_exists
-
     session = topic_messages.sparkSession
-    existing = session.read.schema(TOPIC).parquet(path) if path_exists(session, path) else None
-    if existing is not None and not existing.isEmpty():
-        tops = existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("_base"))
-        shifted = topic_messages.join(F.broadcast(tops), ["topic", "partition"], "left")
-        topic_messages = shifted.select(
-            *[(F.col("offset") + F.coalesce(F.col("_base"), F.lit(0))).alias("offset") if c == "offset" else F.col(c)
-              for c in topic_messages.columns]
-        )
-    topic_messages.write.mode("append").parquet(path)
+    ends_path = f"{path.rstrip('/')}/_ends"
+    if path_exists(session, ends_path):
+        known = session.read.schema(_ENDS).parquet(ends_path)
+    elif path_exists(session, path):  # written before ends were recorded
+        known = session.read.schema(TOPIC).parquet(path).select("topic", "partition", (F.col("offset") + 1).alias("end"))
+    else:
+        known = session.createDataFrame([], _ENDS)
+    known = known.groupBy("topic", "partition").agg(F.max("end").alias("_end"))
+
+    placed = topic_messages.sortWithinPartitions("topic", "partition", "offset")
+    fixed = staged(placed.withColumn("_mid", F.monotonically_increasing_id()), "topic-append")
+    fixed = fixed.withColumn("_part", F.shiftright("_mid", 33))
+    runs = fixed.groupBy("_part", "topic", "partition").agg(F.min("_mid").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("topic", "partition").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(known, ["topic", "partition"], "left")
+    start = F.coalesce("_end", F.lit(0)) + F.col("_before")
+    runs = runs.select("_part", "topic", "partition", (start - F.col("_first")).alias("_shift"), (start + F.col("_n")).alias("_stop"))
+    numbered = fixed.join(runs.drop("_stop"), ["_part", "topic", "partition"])
+    offset = (F.col("_mid") + F.col("_shift")).alias("offset")
+    numbered.select(*[offset if c == "offset" else F.col(c) for c in topic_messages.columns]).write.mode("append").parquet(path)
+    stops = runs.groupBy("topic", "partition").agg(F.max("_stop").alias("end"))
+    stops.select("topic", "partition", "end").coalesce(1).write.mode("append").parquet(ends_path)
+
+
+#: CSV text of a NULL; a backslash in a value is doubled, so no value looks like it.
+CSV_NULL = "\\N"
+
+
+def escape_csv(c: Column) -> Column:
+    """Backslash, line feed and carriage return as two characters each, so that a record is one line."""
+    return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, mode: str = "errorifexists") -> None:
-    """CSV export with ``"``-escaping; NULL and empty string both become an empty field."""
-    df.write.mode(mode).option("header", header).option("escape", '"').option("quote", '"').csv(path)
+    """CSV export without loss: ``"``-escaping, outer spaces kept, NULL as ``\\N``, empty text as ``""``, and line breaks
+    inside text escaped, so that files stay splittable. ``sources.csvfiles.read_csv`` undoes it."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    out = df.select(*[escape_csv(F.col(c)).alias(c) if c in text else F.col(c) for c in df.columns])
+    w = out.write.mode(mode).option("header", header).option("escape", '"').option("quote", '"')
+    w = w.option("nullValue", CSV_NULL).option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False)
+    w.option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def create_table_as(spark: SparkSession, name: str, df: DataFrame, *, location: str | None = None) -> None:

@@ -10,13 +10,11 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tracelake.session import checkpoint_root
+from tracelake.session import staged
 
 # Position bits of monotonically_increasing_id(); the upper bits hold the partition id.
 _POS_BITS = 33
-_POS_MASK = (1 << _POS_BITS) - 1
 
 
 def _cond(c: Column | str) -> Column:
@@ -84,13 +82,17 @@ def upsert(
     *,
     order_by: Sequence[str] | None = None,
     normalise: Mapping[str, Callable[[Column], Column]] | None = None,
+    few_changes: bool = False,
 ) -> DataFrame:
     """``UPSERT ... WITH PRIMARY KEY``: changed keys take the change row, new keys are inserted, others stay.
 
     ``order_by`` picks the winning change when a key appears more than once (greatest wins; ties are broken by the
-    row values, so the result does not depend on arrival order). Without it every change row is kept (a repeated
-    key stays repeated) and the anti join uses the distinct change keys. Columns of ``current`` define the output; ``order_by`` columns that
-    are not table columns are dropped.
+    row values, so the result does not depend on arrival order); ``current`` then has each key once, and one full outer
+    join on the aggregate's own partitioning reads both sides once. ``few_changes`` joins the other way for change sets
+    far smaller than the table: an anti join, whose small side Spark broadcasts by its measured size, leaves the table
+    unshuffled at the price of computing the changes twice. Without ``order_by`` every change row is kept (a repeated
+    key stays repeated) and the anti join uses the distinct change keys. Columns of ``current`` define the output;
+    ``order_by`` columns that are not table columns are dropped.
     """
     key = [key] if isinstance(key, str) else list(key)
     cols = current.columns
@@ -99,6 +101,13 @@ def upsert(
     changes = changes.select(*[F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in cols])
     if normalise:
         changes = changes.select(*[normalise[c](F.col(c)).alias(c) if c in normalise else F.col(c) for c in cols])
+    if order_by and not few_changes:
+        old = current.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+        new = changes.select(*[F.col(c).alias(f"_n{i}") for i, c in enumerate(cols)], F.lit(True).alias("_new"))
+        on = [F.col(f"_c{cols.index(k)}") == F.col(f"_n{cols.index(k)}") for k in key]
+        both = old.join(new, on, "full_outer")
+        changed = F.coalesce(F.col("_new"), F.lit(False))
+        return both.select(*[F.when(changed, F.col(f"_n{i}")).otherwise(F.col(f"_c{i}")).alias(c) for i, c in enumerate(cols)])
     change_keys = changes.select(*key) if order_by else changes.select(*key).distinct()
     kept = current.join(change_keys, on=key, how="left_anti")
     return kept.unionByName(changes.select(*cols))
@@ -107,29 +116,24 @@ def upsert(
 def assign_ids(df: DataFrame, id_col: str = "id", *, start: int | None = None) -> DataFrame:
     """Identity column ``GENERATED BY DEFAULT``: rows with a NULL id get ``max(id) + 1, + 2, ...``; others keep theirs.
 
-    Two passes over a checkpointed copy (fixed partitions, fixed row order): count the id-less rows per partition,
-    turn the counts into offsets, then id = base + offset(partition) + position in partition. No global sort and
-    no single-task window; only one number per input partition reaches the driver.
+    Only the id-less rows are staged (their place must stay fixed while they are numbered): rows are counted per staged
+    partition, the counts become offsets, then id = base + offset(partition) + position in partition. No global sort
+    and no single-task window; one number per staged partition reaches the driver and is broadcast back.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)  # make sure a reliable checkpoint location exists
-    fixed = df.checkpoint(eager=True)
     if start is None:
-        top = fixed.agg(F.max(id_col)).first()[0]
+        top = df.agg(F.max(id_col)).first()[0]
         start = 0 if top is None else int(top) + 1
-    mid = F.monotonically_increasing_id()
-    missing = fixed.where(F.col(id_col).isNull()).withColumn("_mid", mid)
+    missing = staged(df.where(F.col(id_col).isNull()).withColumn("_mid", F.monotonically_increasing_id()), "idless")
     missing = missing.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
-    counts = sorted((int(r[0]), int(r[1])) for r in missing.groupBy("_pid").count().collect())
+    counts = sorted((int(r[0]), int(r[1]), int(r[2])) for r in missing.groupBy("_pid").agg(F.count("*"), F.min("_mid")).collect())
     offsets, acc = [], start
-    for pid, n in counts:
-        offsets.append((pid, acc))
+    for pid, n, first in counts:
+        offsets.append((pid, acc - first))
         acc += n
-    off_df = spark.createDataFrame(offsets, T.StructType([T.StructField("_pid", T.LongType()), T.StructField("_off", T.LongType())]))
-    numbered = missing.join(F.broadcast(off_df), "_pid").withColumn(
-        id_col, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).cast("bigint")
-    )
-    return fixed.where(F.col(id_col).isNotNull()).unionByName(numbered.select(*df.columns))
+    off_df = spark.createDataFrame(offsets, "_pid long, _off long")
+    numbered = missing.join(F.broadcast(off_df), "_pid").withColumn(id_col, F.col("_off") + F.col("_mid"))
+    return df.where(F.col(id_col).isNotNull()).unionByName(numbered.select(*df.columns))
 
 
 def page(df: DataFrame, order_by: Sequence[Column | str], n: int, offset: int = 0) -> DataFrame:

@@ -39,8 +39,8 @@ def trimmed_users(users: DataFrame) -> DataFrame:
 
 
 def active_users(users: DataFrame) -> DataFrame:
-    """Filter view: users that have a name (``NAME IS NOT NULL``, and not empty)."""
-    return users.where(F.col("name").isNotNull() & (F.char_length("name") > 0))
+    """Filter view: users that have a name (``NAME IS NOT NULL``; an empty name is a name)."""
+    return users.where(F.col("name").isNotNull())
 
 
 def users_count(users: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ Settings are plain arguments; a missing required setting raises before any Spark
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from tracelake.operators.logparse import parse_log_lines
 from tracelake.operators.payload import as_topic_messages, decode, encode
 from tracelake.operators.quality import validate
-from tracelake.operators.sinks import overwrite_partition, publish, write_topic_table
+from tracelake.operators.sinks import append, ensure_table, overwrite_partition, publish, write_topic_table
 from tracelake.schemas import LOG_FIELDS
+from tracelake.session import path_exists, staged
 from tracelake.sources.logfiles import read_log_files
 from tracelake.sources.topic import read_topic, read_topic_stream
-from tracelake.streaming.ingest import IngestTarget, landing_rows, ensure_log_tables, run_ingest_once
+from tracelake.streaming.ingest import IngestTarget, check_target, ensure_log_tables, landing_rows, run_ingest_once
 
 
 # Message size bound: below the default broker limit of about 1 MB.
@@ -86,10 +87,11 @@ def table_to_topic(
     """Validate the users rows (fail on the first violation), then send them as ``[{"id":..,"name":..},...]``.
 
     Rows go out in id order (``ORDER BY ID``): consecutive id ranges per message, message ids following the order.
-    Unlike the log producer, an empty table still sends one message, ``[]``.
+    Unlike the log producer, an empty table still sends one message, ``[]``. The source is read once and staged:
+    validation and the sampling of id ranges work on that copy.
     """
     sink.check()
-    checked = validate(users, mode="fail").select("id", "name")
+    checked = validate(staged(users.select("id", "name"), "users"), mode="fail").select("id", "name")
     messages = encode(checked, ["id", "name"], chunk_rows=chunk_rows, max_bytes=max_bytes, order_by=["id"])
     # counted after the packer: the range partitioner's sampling job re-runs the plan below the shuffle
     messages, obs = _counter(messages, "read", rows=F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint"))
@@ -101,6 +103,11 @@ def table_to_topic(
     return {"rows": rows}
 
 
+# Default bounds of one micro-batch, so a first run works a backlog off in many committed batches.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def topic_to_table(
     spark: SparkSession,
     topic_path: str | None,
@@ -110,11 +117,23 @@ def topic_to_table(
     brokers: str | None = None,
     topic: str | None = None,
     on_error: str = "fail",
+    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    min_partitions: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> dict:
-    """Load every message not loaded before (checkpointed stream, ``availableNow``), then stop; returns counters."""
+    """Load every message not loaded before (checkpointed stream, ``availableNow``), then stop; returns counters.
+
+    A micro-batch holds at most ``max_offsets_per_trigger`` messages of Kafka, or ``max_files_per_trigger`` files of a
+    topic table. ``options`` go to the Kafka source as they are.
+    """
     if topic_path is None and not (brokers and topic):
         raise ValueError("topic_to_table needs a topic-table path or brokers + topic")
-    source = read_topic_stream(spark, path=topic_path, brokers=brokers, topic=topic)
+    check_target(target, on_error)
+    source = read_topic_stream(
+        spark, path=topic_path, brokers=brokers, topic=topic, options=options, min_partitions=min_partitions,
+        max_offsets_per_trigger=max_offsets_per_trigger, max_files_per_trigger=max_files_per_trigger,
+    )
     return run_ingest_once(source, target, checkpoint, on_error=on_error)
 
 
@@ -128,6 +147,10 @@ def topic_to_table_full(spark: SparkSession, topic_path: str | None, target: Ing
     return ingest
 
 
+# Fixed value: what the delete log calls the statement.
+DELETE_USERS = "DELETE USERS"
+
+
 def delete_with_log(
     spark: SparkSession,
     current: DataFrame,
@@ -135,7 +158,7 @@ def delete_with_log(
     next_path: str,
     op_log_path: str,
     *,
-    op: str = "DELETE USERS",
+    op: str = DELETE_USERS,
 ) -> int:
     """``DELETE FROM t WHERE cond`` plus its statement-level log row.
 
@@ -154,27 +177,50 @@ def delete_with_log(
     return n
 
 
+# Offsets loaded by batch loads: a plan is recorded before a load, the same rows with done = true after it.
+LEDGER = "seq long, ingest string, topic string, partition int, first long, last long, done boolean"
+
+
+def _ledger(spark: SparkSession, target: IngestTarget) -> tuple[DataFrame, str]:
+    name = f"{target.table.rstrip('/')}_ledger"
+    if target.is_path:
+        return (spark.read.schema(LEDGER).parquet(name) if path_exists(spark, name) else spark.createDataFrame([], LEDGER)), name
+    ensure_table(spark, name, spark.createDataFrame([], LEDGER).schema)
+    return spark.table(name), name
+
+
 def topic_to_table_incremental(spark: SparkSession, topic_path: str | None, target: IngestTarget, **kafka) -> int:
-    """Batch load of only the messages not loaded yet, without a streaming checkpoint.
+    """Batch load of only the messages not loaded yet, without a streaming checkpoint; one loader at a time.
 
-    Topic offsets grow per partition, so "loaded" is ``offset <= max(src_offset)`` of that (topic, partition) in the
-    table. That maximum is one row per topic partition (a proven small bound), broadcast to filter the topic scan;
-    the landing table contributes three pruned lineage columns. Returns the number of rows landed.
+    A small ledger beside the table says which offset ranges each load took (one row per topic partition and load); the
+    landing table is not read. A load first records its plan, then overwrites its own ingest partition, then records
+    that it is done: a load that broke off is repeated with the same ranges into the same partition before anything
+    new is planned. Ranges (at most one row per topic partition) are broadcast to the topic scan. Returns the number
+    of rows landed.
     """
     ensure_log_tables(spark, target)
     messages = read_topic(spark, path=topic_path, **kafka)
-    from tracelake.session import path_exists
-
-    if not target.is_path or path_exists(spark, target.table):
-        table = spark.read.parquet(target.table) if target.is_path else spark.table(target.table)
-        loaded = table.groupBy(F.col("src_topic").alias("topic"), F.col("src_partition").alias("partition")).agg(
-            F.max("src_offset").alias("_done")
-        )
-        messages = messages.join(F.broadcast(loaded), ["topic", "partition"], "left").where(
-            F.col("_done").isNull() | (F.col("offset") > F.col("_done"))
-        ).drop("_done")
-    rows = landing_rows(decode(messages))
-    rows, obs = _counter(rows, "landed", rows=F.count(F.lit(1)))
-    ingest = f"{target.ingest}-batch-{uuid.uuid4().hex[:8]}"
-    overwrite_partition(rows, target.table, {"ingest": ingest, "batch_id": 0}, is_path=target.is_path)
-    return int(obs.get.get("rows", 0))
+    landed = 0
+    while True:
+        ledger, name = _ledger(spark, target)
+        done = ledger.where("done").select("seq").distinct()
+        plan = [tuple(r)[:6] for r in ledger.where("not done").join(done, "seq", "left_anti").select("seq", "ingest", "topic", "partition", "first", "last").collect()]
+        repeated = bool(plan)
+        if not repeated:
+            ends = ledger.groupBy("topic", "partition").agg(F.max("last").alias("_done"))
+            new = messages.groupBy("topic", "partition").agg(F.max("offset").alias("last")).join(F.broadcast(ends), ["topic", "partition"], "left")
+            new = new.select("topic", "partition", (F.coalesce("_done", F.lit(-1)) + 1).alias("first"), "last").where("last >= first").collect()
+            if not new:
+                return landed
+            seq = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
+            ingest = f"{target.ingest}-batch-{uuid.uuid4().hex[:8]}"
+            plan = [(seq, ingest, *r) for r in new]
+            append(spark.createDataFrame([(*p, False) for p in plan], LEDGER), name, is_path=target.is_path)
+        ranges = spark.createDataFrame([p[2:] for p in plan], "topic string, partition int, first long, last long")
+        taken = messages.join(F.broadcast(ranges), ["topic", "partition"]).where(F.col("offset").between(F.col("first"), F.col("last")))
+        rows, obs = _counter(landing_rows(decode(taken.drop("first", "last"))), "landed", rows=F.count(F.lit(1)))
+        overwrite_partition(rows, target.table, {"ingest": plan[0][1], "batch_id": 0}, is_path=target.is_path)
+        landed += int(obs.get.get("rows", 0))
+        append(spark.createDataFrame([(*p, True) for p in plan], LEDGER), name, is_path=target.is_path)
+        if not repeated:
+            return landed

@@ -5,23 +5,42 @@ Every query reads the driver's parquet tables (or data Spark derives from them)
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.functions.logline import TRACE_PATTERN
 from tracelake.functions.text import unicode_trim
 from tracelake.operators.logparse import log_rejects, parse_log_lines, with_event_time
 from tracelake.operators.payload import as_topic_messages, decode, decode_verdicts, encode, encode_each
 from tracelake.operators.quality import fetch_users, role_rules, update_with_audit, validate
-from tracelake.operators.sinks import write_csv, write_topic_table
-from tracelake.operators.tableops import assign_ids, delete, page, top, update, upsert
-from tracelake.operators.views import active_users, trimmed_users, users_count, users_with_roles
+from tracelake.operators.sinks import (
+    ALREADY_EXISTS,
+    CREATED,
+    add_columns,
+    append,
+    create_table_as,
+    ensure_table,
+    ensure_users_table,
+    write_csv,
+    write_topic_table,
+)
+from tracelake.operators.tableops import assign_ids, delete, exists, insert, page, top, update, upsert
+from tracelake.operators.views import active_users, create_sql_view, create_user_views, trimmed_users, users_count, users_with_roles
 from tracelake.plans import derive
-from tracelake.plans.jobs import TopicSink, delete_with_log, logs_to_topic, table_to_topic
-from tracelake.schemas import LOG_FIELDS, USER_ROW
-from tracelake.session import scratch_path
+from tracelake.plans.jobs import (
+    TopicSink,
+    delete_with_log,
+    logs_to_topic,
+    table_to_topic,
+    topic_to_table,
+    topic_to_table_incremental,
+)
+from tracelake.schemas import LOG_ENTRY, LOG_FIELDS, LOG_TABLE, LOG_TABLE_PARTITIONS, USER_ROW
+from tracelake.session import scratch_path, staged
 from tracelake.sources.csvfiles import read_csv
 from tracelake.sources.logfiles import read_log_files
 from tracelake.sources.topic import read_topic, read_topic_stream
@@ -119,8 +138,9 @@ def _log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(
         _parsed_with_id(spark, sf_dir),
         LOG_FIELDS,
-        chunk_by=F.floor(F.col("event_id") / CHUNK_ROWS),
+        chunk_by=F.expr(f"event_id div {CHUNK_ROWS}"),
         order_by=["event_id"],
+        split_keys=False,
     )
 
 
@@ -176,12 +196,14 @@ SELECT CAST(event_id % {TOPIC_PARTITIONS} AS INTEGER) AS partition,
        CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE level END AS level,
        CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE component END AS component,
        CASE WHEN event_id % 17 IN (0, 1) THEN NULL ELSE message END AS message,
-       CASE event_id % 17 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'bad_row' END AS reason
-FROM parsed WHERE event_id % 17 <> 2""",
+       CASE event_id % 17 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'bad_row' END AS reason,
+       CASE event_id % 17 WHEN 0 THEN concat(j, ' zz') WHEN 1 THEN replace(j, '"level":', '"LEVEL":') END AS value
+FROM (SELECT *, CAST(to_json({{'timestamp': timestamp, 'level': level, 'component': component, 'message': message}}) AS VARCHAR) AS j
+      FROM parsed) WHERE event_id % 17 <> 2""",
 )
 def q_payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = as_topic_messages(corrupted_messages(_single_messages(spark, sf_dir)), "logs", TOPIC_PARTITIONS)
-    return decode_verdicts(topic).drop("topic")
+    return decode_verdicts(topic).drop("topic").withColumn("value", F.col("value").cast("string"))
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -249,19 +271,35 @@ def q_users_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users_count(_users(spark, sf_dir))
 
 
-@register("users_active", f"WITH {SQL_USERS} SELECT id, name FROM users WHERE name IS NOT NULL AND length(name) > 0")
+# Users of whom every seventh has no name and the next an empty one.
+SQL_SOME_NAMES = """some_names AS (
+  SELECT id, CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE name END AS name FROM users)"""
+
+
+def _some_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("id") % 7
+    name = F.when(n == 0, F.lit(None)).when(n == 1, F.lit("")).otherwise(F.col("name"))
+    return _users(spark, sf_dir).withColumn("name", name)
+
+
+@register("users_active", f"WITH {SQL_USERS}, {SQL_SOME_NAMES} SELECT id, name FROM some_names WHERE name IS NOT NULL")
 def q_users_active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return active_users(_users(spark, sf_dir))
+    return active_users(_some_names(spark, sf_dir))
 
 
 @register(
     "users_with_roles",
     f"""WITH {SQL_USERS}, {SQL_ROLES}
-SELECT u.id, u.name, r.role FROM users u LEFT JOIN (SELECT * FROM roles WHERE role = '1-URGENT') r ON r.user_id = u.id""",
+SELECT u.id, u.name, r.role FROM users u LEFT JOIN roles r ON r.user_id = u.id""",
 )
 def q_users_with_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = _roles(spark, sf_dir).where(F.col("role") == "1-URGENT")
-    return users_with_roles(_users(spark, sf_dir), urgent)
+    return users_with_roles(_users(spark, sf_dir), _roles(spark, sf_dir))
+
+
+@register("roles_of_kind", f"WITH {SQL_ROLES} SELECT user_id, role FROM roles WHERE role = '1-URGENT' AND user_id > 0")
+def q_roles_of_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equality and conjunction filter; both predicates reach the scan."""
+    return _roles(spark, sf_dir).where((F.col("role") == "1-URGENT") & (F.col("user_id") > 0))
 
 
 @register("users_page", f"WITH {SQL_USERS} SELECT id, name FROM users ORDER BY id LIMIT 10 OFFSET 10")
@@ -301,17 +339,14 @@ NEW_ID_BASE = 1_000_000_000
 
 
 def _user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes derived from orders: urgent orders rename their customer, pending orders add a new user."""
+    """Every order is a change: an urgent one renames its customer, any other one names a new user."""
     o = derive.table(spark, sf_dir, "orders")
-    renames = o.where(F.col("o_orderpriority") == "1-URGENT").select(
-        F.col("o_custkey").alias("id"), F.concat(F.lit("urgent-"), F.col("o_orderkey").cast("string")).alias("name"),
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    return o.select(
+        (F.col("o_custkey") + F.when(urgent, 0).otherwise(NEW_ID_BASE)).alias("id"),
+        F.concat(F.when(urgent, "urgent-").otherwise("new-"), F.col("o_orderkey").cast("string")).alias("name"),
         "o_orderdate", "o_orderkey",
     )
-    new = o.where(F.col("o_orderstatus") == "P").select(
-        (F.col("o_custkey") + NEW_ID_BASE).alias("id"), F.concat(F.lit("new-"), F.col("o_orderkey").cast("string")).alias("name"),
-        "o_orderdate", "o_orderkey",
-    )
-    return renames.unionByName(new)
 
 
 @register(
@@ -320,7 +355,8 @@ def _user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 changes AS (
   SELECT o_custkey AS id, concat('urgent-', o_orderkey) AS name, o_orderdate, o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'
   UNION ALL
-  SELECT o_custkey + {NEW_ID_BASE} AS id, concat('new-', o_orderkey) AS name, o_orderdate, o_orderkey FROM orders WHERE o_orderstatus = 'P'),
+  SELECT o_custkey + {NEW_ID_BASE} AS id, concat('new-', o_orderkey) AS name, o_orderdate, o_orderkey FROM orders
+  WHERE o_orderpriority IS DISTINCT FROM '1-URGENT'),
 latest AS (
   SELECT id, name FROM (
     SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM changes)
@@ -354,8 +390,8 @@ def q_users_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _users_to_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users plus candidate rows derived from pending orders: empty, NULL, too long names, negative and repeated ids."""
-    o = derive.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    """Users plus a candidate row for every order: empty, NULL, too long names, negative and repeated ids."""
+    o = derive.table(spark, sf_dir, "orders")
     p = F.col("o_orderpriority")
     cand = o.select(
         F.when(p == "4-NOT SPECIFIED", -F.col("o_orderkey")).otherwise(F.col("o_custkey")).alias("id"),
@@ -377,7 +413,7 @@ input AS (
   SELECT CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN -o_orderkey ELSE o_custkey END AS id,
          CASE o_orderpriority WHEN '2-HIGH' THEN '' WHEN '3-MEDIUM' THEN NULL WHEN '5-LOW' THEN repeat('x', 300)
               ELSE concat('dup-', o_orderkey) END AS name
-  FROM orders WHERE o_orderstatus = 'P'),
+  FROM orders),
 counts AS (SELECT id, count(*) AS n FROM input GROUP BY id)
 SELECT i.id, i.name,
        CAST(CASE WHEN i.name IS NULL OR length(i.name) = 0 THEN 10001
@@ -393,14 +429,22 @@ def q_users_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "users_assign_ids",
     f"""WITH {SQL_USERS}
-SELECT id FROM users
+SELECT 'kept' AS part, id, name FROM users
+UNION ALL
+SELECT 'new id', (SELECT max(id) FROM users) + row_number() OVER (), NULL FROM orders
 UNION ALL
-SELECT (SELECT max(id) FROM users) + row_number() OVER () AS id FROM orders WHERE o_orderpriority = '1-URGENT'""",
+SELECT 'new name', NULL, concat('new-', o_orderkey) FROM orders""",
 )
 def q_users_assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = derive.table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    """Every order is a user without id. Which new row gets which id is free, so new ids and new names are two parts."""
+    o = derive.table(spark, sf_dir, "orders")
     new = o.select(F.lit(None).cast("bigint").alias("id"), F.concat(F.lit("new-"), F.col("o_orderkey").cast("string")).alias("name"))
-    return assign_ids(_users(spark, sf_dir).unionByName(new)).select("id")
+    done = staged(assign_ids(_users(spark, sf_dir).unionByName(new)), "assigned")
+    given = F.col("name").startswith("new-")
+    none = F.lit(None)
+    kept = done.where(~given).select(F.lit("kept").alias("part"), "id", "name")
+    ids = done.where(given).select(F.lit("new id").alias("part"), "id", none.cast("string").alias("name"))
+    return kept.unionByName(ids).unionByName(done.where(given).select(F.lit("new name").alias("part"), none.cast("bigint").alias("id"), "name"))
 
 
 @register(
@@ -416,11 +460,21 @@ def q_users_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "csv_round_trip",
-    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    r"""SELECT c_custkey, CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat(' ', c_name, '  ')
+         WHEN 3 THEN concat('"', c_name, '", ""') WHEN 4 THEN concat(c_name, chr(10), chr(13), chr(10), 'x')
+         WHEN 5 THEN '\N' WHEN 6 THEN concat('\\n', c_name, '\') WHEN 7 THEN concat(c_name, ',;', chr(9)) ELSE c_name END AS c_name,
+         c_nationkey, c_acctbal, c_mktsegment FROM customer""",
 )
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export a table to CSV and import it again with its schema."""
-    customer = derive.table(spark, sf_dir, "customer")
+    """Export to CSV and import again: NULL, empty text, outer spaces, quotes, line breaks and backslashes return."""
+    n, name = F.col("c_custkey") % 9, F.col("c_name")
+    hard = (
+        F.when(n == 0, F.lit(None)).when(n == 1, F.lit("")).when(n == 2, F.concat(F.lit(" "), name, F.lit("  ")))
+        .when(n == 3, F.concat(F.lit('"'), name, F.lit('", ""'))).when(n == 4, F.concat(name, F.lit("\n\r\nx")))
+        .when(n == 5, F.lit("\\N")).when(n == 6, F.concat(F.lit("\\\\n"), name, F.lit("\\")))
+        .when(n == 7, F.concat(name, F.lit(",;\t"))).otherwise(name)
+    )
+    customer = derive.table(spark, sf_dir, "customer").withColumn("c_name", hard)
     path = scratch_path(spark, "customer-csv")
     write_csv(customer, path)
     return read_csv(spark, path, customer.schema)
@@ -455,3 +509,141 @@ def q_users_delete_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "users-delete")
     delete_with_log(spark, _users(spark, sf_dir), F.col("name").like("%3"), f"{base}/users", f"{base}/op_log")
     return spark.read.parquet(f"{base}/op_log").select("op", "n_rows")
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Through the catalog
+# ---------------------------------------------------------------------------------------------------------------
+
+
+def _new_name(label: str) -> str:
+    return f"tracelake_{label}_{uuid.uuid4().hex[:10]}"
+
+
+@register("log_table_append", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed UNION ALL SELECT {SQL_LOG_COLS} FROM parsed")
+def q_log_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create the log table if absent (required columns), append twice through the catalog; a second create finds it."""
+    name = f"default.{_new_name('log_entries')}"
+    made = [ensure_table(spark, name, LOG_ENTRY, location=scratch_path(spark, "log-table")) for _ in range(2)]
+    if made != [CREATED, ALREADY_EXISTS]:
+        raise RuntimeError(f"unexpected outcome of table creation: {made}")
+    rows = parse_log_lines(_lines(spark, sf_dir))
+    append(rows, name)
+    append(rows, name)
+    append(rows.limit(0), name)  # an empty batch leaves the table alone
+    return spark.table(name)
+
+
+@register("topic_to_catalog_table", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS}, 'run' AS ingest FROM parsed")
+def q_topic_to_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream a topic into a catalog table by static partition overwrite, in bounded micro-batches, twice."""
+    base = scratch_path(spark, "topic-to-catalog")
+    write_topic_table(as_topic_messages(_log_messages(spark, sf_dir), "logs", TOPIC_PARTITIONS), f"{base}/topic")
+    name = f"default.{_new_name('landing')}"
+    ensure_table(spark, name, LOG_TABLE, partition_by=LOG_TABLE_PARTITIONS, location=f"{base}/table")
+    for _ in range(2):
+        topic_to_table(spark, f"{base}/topic", IngestTarget(table=name, ingest="run"), f"{base}/checkpoint", max_files_per_trigger=3)
+    return spark.table(name).select(*LOG_FIELDS, "ingest")
+
+
+@register(
+    "users_insert",
+    f"""WITH {SQL_USERS} SELECT id, name FROM users
+UNION ALL SELECT o_orderkey + {NEW_ID_BASE}, concat('inserted-', o_custkey) FROM orders""",
+)
+def q_users_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ensure the users table, insert all customers, then a row for every order, through the catalog."""
+    name = f"default.{_new_name('users')}"
+    ensure_users_table(spark, name, location=scratch_path(spark, "users-table"))
+    append(_users(spark, sf_dir), name)
+    o = derive.table(spark, sf_dir, "orders")
+    new = o.select((F.col("o_orderkey") + NEW_ID_BASE).alias("id"), F.concat(F.lit("inserted-"), F.col("o_custkey").cast("string")).alias("name"))
+    append(insert(spark.table(name).limit(0), new), name)
+    return spark.table(name)
+
+
+@register(
+    "users_slice_export",
+    f"WITH {SQL_USERS} SELECT id, name, CAST(NULL AS VARCHAR) AS note FROM users WHERE id % 2 = 0",
+)
+def q_users_slice_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE TABLE AS a slice, add a column, export to CSV and read the export."""
+    name, base = f"default.{_new_name('slice')}", scratch_path(spark, "slice")
+    create_table_as(spark, name, _users(spark, sf_dir).where("id % 2 = 0"), location=f"{base}/table")
+    add_columns(spark, name, T.StructType([T.StructField("note", T.StringType())]))
+    table = spark.table(name)
+    write_csv(table, f"{base}/csv")
+    return read_csv(spark, f"{base}/csv", table.schema)
+
+
+@register(
+    "users_views",
+    f"""WITH {SQL_USERS}, {SQL_ROLES}, {SQL_SOME_NAMES}
+SELECT 'users' AS v, id, trim(name) AS name, NULL AS role, NULL AS n FROM some_names
+UNION ALL SELECT 'active', id, name, NULL, NULL FROM some_names WHERE name IS NOT NULL
+UNION ALL SELECT 'count', NULL, NULL, NULL, count(*) FROM some_names
+UNION ALL SELECT 'roles', u.id, u.name, r.role, NULL FROM some_names u LEFT JOIN roles r ON r.user_id = u.id
+UNION ALL SELECT 'sql', id, upper(name), NULL, NULL FROM some_names WHERE name IS NOT NULL""",
+)
+def q_users_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The handbook's views by name, and a view over one of them, queried in SQL."""
+    p = _new_name("v") + "_"
+    create_user_views(_some_names(spark, sf_dir), _roles(spark, sf_dir), prefix=p)
+    create_sql_view(spark, f"{p}upper", f"SELECT id, upper(name) AS name FROM {p}users_active")
+    return spark.sql(
+        f"""SELECT 'users' AS v, id, name, CAST(NULL AS STRING) AS role, CAST(NULL AS BIGINT) AS n FROM {p}users
+        UNION ALL SELECT 'active', id, name, NULL, NULL FROM {p}users_active
+        UNION ALL SELECT 'count', NULL, NULL, NULL, n_users FROM {p}users_count
+        UNION ALL SELECT 'roles', id, name, role, NULL FROM {p}users_with_roles
+        UNION ALL SELECT 'sql', id, name, NULL, NULL FROM {p}upper"""
+    )
+
+
+@register(
+    "run_counters",
+    f"""WITH {SQL_LINES}, {SQL_PARSED}
+SELECT (SELECT count(*) FROM lines) AS lines, (SELECT count(*) FROM parsed) AS rows,
+       (SELECT count(*) FROM lines) - (SELECT count(*) FROM parsed) AS rejected,
+       (SELECT count(*) FROM parsed) AS landed, EXISTS (SELECT 1 FROM parsed WHERE level = 'c') AS has_level_c,
+       EXISTS (SELECT 1 FROM parsed WHERE level = '?') AS has_unknown""",
+)
+def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the jobs count while they run, and existence tests on what they landed."""
+    base = scratch_path(spark, "run-counters")
+    sent = logs_to_topic(spark, _write_trace_files(spark, sf_dir), TopicSink(topic="logs", path=f"{base}/topic"), chunk_rows=CHUNK_ROWS)
+    target = IngestTarget(table=f"{base}/table", ingest="run", is_path=True)
+    got = topic_to_table(spark, f"{base}/topic", target, f"{base}/checkpoint")
+    landed = spark.read.parquet(f"{base}/table")
+    row = (sent["lines"], sent["rows"], sent["rejected"], got["rows"], exists(landed, "level = 'c'"), exists(landed, "level = '?'"))
+    return spark.createDataFrame([row], "lines long, rows long, rejected long, landed long, has_level_c boolean, has_unknown boolean")
+
+
+@register(
+    "users_audit_all",
+    f"""WITH {SQL_USERS}
+SELECT id, name AS old_name, CASE WHEN id % 2 = 0 THEN name ELSE concat(name, '!') END AS new_name, TIMESTAMP '{AUDIT_TIME}' AS changed_at
+FROM users WHERE name LIKE '%5'""",
+)
+def q_users_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row audit as documented: every row that the update hits, whether or not its value changes."""
+    _, audit = update_with_audit(
+        _users(spark, sf_dir),
+        {"name": F.when(F.col("id") % 2 == 0, F.col("name")).otherwise(F.concat(F.col("name"), F.lit("!")))},
+        F.col("name").like("%5"),
+        changed_at=F.lit(AUDIT_TIME).cast("timestamp_ntz"),
+    )
+    return audit
+
+
+@register("topic_to_table_batches", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_topic_to_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to a topic, a batch load after each and one that finds nothing: the ledger keeps loads apart."""
+    base = scratch_path(spark, "topic-batches")
+    target = IngestTarget(table=f"{base}/table", ingest="run", is_path=True)
+    messages = _log_messages(spark, sf_dir)
+    for half in (0, 1):
+        part = messages.where(F.col("chunk") % 2 == half)
+        write_topic_table(as_topic_messages(part, "logs", TOPIC_PARTITIONS), f"{base}/topic")
+        topic_to_table_incremental(spark, f"{base}/topic", target)
+    topic_to_table_incremental(spark, f"{base}/topic", target)
+    return spark.read.parquet(target.table).select(*LOG_FIELDS)

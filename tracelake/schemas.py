@@ -23,22 +23,6 @@ USER_ROW = T.StructType(
     ]
 )
 
-USER_ROLE = T.StructType(
-    [
-        T.StructField("user_id", T.LongType(), False),
-        T.StructField("role", T.StringType(), False),
-    ]
-)
-
-USERS_AUDIT = T.StructType(
-    [
-        T.StructField("id", T.LongType(), True),
-        T.StructField("old_name", T.StringType(), True),
-        T.StructField("new_name", T.StringType(), True),
-        T.StructField("changed_at", T.TimestampNTZType(), True),
-    ]
-)
-
 OP_LOG = T.StructType(
     [
         T.StructField("op", T.StringType(), True),
@@ -81,6 +65,7 @@ QUARANTINE_TABLE = T.StructType(
         T.StructField("src_partition", T.IntegerType()),
         T.StructField("src_offset", T.LongType()),
         T.StructField("reason", T.StringType()),
+        T.StructField("value", T.BinaryType()),
         T.StructField("ingest", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]

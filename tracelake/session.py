@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -41,8 +41,9 @@ def local_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) from the session. Only when neither is
-    set - a local test session - a private temporary folder is created and registered.
+    Reads ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) from the session. When neither is set, a
+    single-machine session (``local[...]``) gets a folder of its own; any other master raises, because executors
+    would write to their own disks.
     """
     root = None
     try:
@@ -52,11 +53,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tracelake-chk-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -65,6 +65,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/tracelake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` below the checkpoint root and read it back: the input of several passes is computed once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does ``path`` exist (any Hadoop-compatible file system)? Falls back to a read attempt without the JVM view."""
     try:

@@ -26,7 +26,7 @@ def jdbc_read_options(
 
     With a ``partition_column`` (e.g. the id) and its bounds, Spark issues ``num_partitions`` range queries in
     parallel instead of one cursor; rows outside the bounds are still read (by the first and last range).
-    ``fetch_size`` is the rows per round trip (the reference fetches 100 rows at a time).
+    ``fetch_size`` is the rows per round trip (default 100).
     """
     if not url or not table:
         raise ValueError("JDBC read needs url and table")

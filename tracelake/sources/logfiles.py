@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.functions.text import lossy_utf8, strict_utf8
+
 ENCODING_POLICIES = ("strict", "lossy", "none")
 
 
@@ -30,10 +32,10 @@ def read_log_files(
     text = F.col("value")
     if encoding == "strict":
         error = F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("_metadata.file_path")))
-        text = F.when(F.is_valid_utf8(text), text).otherwise(error.cast("string"))
+        text = F.when(strict_utf8(text), text).otherwise(error.cast("string"))
     elif encoding == "lossy":
-        text = F.make_valid_utf8(text)
-    value = F.regexp_replace(text, r"\r\z", "").alias("value")
+        text = lossy_utf8(text)
+    value = F.when(text.endswith("\r"), text.substr(F.lit(1), F.char_length(text) - 1)).otherwise(text).alias("value")
     if not lineage:
         return raw.select(value)
     return raw.select(
@@ -45,4 +47,4 @@ def read_log_files(
 
 def utf8_rejects(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Lines that are not valid UTF-8 (read with ``encoding="none"``; the strict policy fails on these)."""
-    return lines.where(~F.is_valid_utf8(F.col(line_col)))
+    return lines.where(~strict_utf8(line_col))

@@ -52,11 +52,20 @@ def ensure_log_tables(spark: SparkSession, target: IngestTarget) -> None:
         ensure_table(spark, target.quarantine, QUARANTINE_TABLE, partition_by=LOG_TABLE_PARTITIONS)
 
 
+def check_target(target: IngestTarget, on_error: str) -> None:
+    """Raise before anything is read: rejected messages need a place, or committed offsets would lose them."""
+    if on_error not in ("fail", "quarantine"):
+        raise ValueError("on_error must be 'fail' or 'quarantine'")
+    if on_error == "quarantine" and not target.quarantine:
+        raise ValueError("quarantine mode needs a quarantine table or path for the rejected messages")
+
+
 def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error: str = "fail") -> dict:
     """``foreachBatch`` body: strict decode, then replay-safe write of this batch's partition.
 
     Returns ``{"messages", "rows", "rejected"}`` observed during the write itself (no extra pass).
     """
+    check_target(target, on_error)
     if batch.isEmpty():
         return {"messages": 0, "rows": 0, "rejected": 0}
     spec = {"ingest": target.ingest, "batch_id": int(batch_id)}
@@ -70,8 +79,6 @@ def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error:
         rows = landing_rows(decode(batch, lineage=LINEAGE)).observe(row_obs, F.count(F.lit(1)).alias("n"))
         overwrite_partition(sized(rows), target.table, spec, is_path=target.is_path)
         return {"messages": msg_obs.get["n"], "rows": row_obs.get["n"], "rejected": 0}
-    if on_error != "quarantine":
-        raise ValueError("on_error must be 'fail' or 'quarantine'")
     verdicts = decode_verdicts(batch, lineage=LINEAGE).persist()
     try:
         good, bad = split_verdicts(verdicts)
@@ -81,9 +88,9 @@ def write_batch(batch: DataFrame, batch_id: int, target: IngestTarget, on_error:
             F.col("partition").alias("src_partition"),
             F.col("offset").alias("src_offset"),
             "reason",
+            "value",
         )
-        if target.quarantine:
-            overwrite_partition(bad_rows, target.quarantine, spec, is_path=target.is_path)
+        overwrite_partition(bad_rows, target.quarantine, spec, is_path=target.is_path)
         counts = verdicts.agg(
             F.count(F.when(F.col("verdict") == "ok", 1)).alias("rows"),
             F.count(F.when(F.col("verdict") == "bad", 1)).alias("rejected"),
@@ -110,6 +117,7 @@ def start_ingest(
     """
     if not source.isStreaming:
         raise ValueError("source must be a streaming DataFrame (see sources.topic.read_topic_stream)")
+    check_target(target, on_error)
     ensure_log_tables(source.sparkSession, target)
     totals = counters if counters is not None else {}
 
