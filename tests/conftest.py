@@ -17,6 +17,8 @@ def spark():
     import tempfile
 
     warehouse = tempfile.mkdtemp(prefix="tracelake-warehouse-")
-    s = local_session(4, shuffle_partitions=4, app="tracelake-tests", conf={"spark.sql.warehouse.dir": warehouse})
+    shared = "file://" + tempfile.mkdtemp(prefix="tracelake-shared-")
+    conf = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": shared}
+    s = local_session(4, shuffle_partitions=4, app="tracelake-tests", conf=conf)
     yield s
     s.stop()

@@ -13,6 +13,7 @@ from tracelake.session import path_exists, staged
 
 ALREADY_EXISTS = "AlreadyExists"
 CREATED = "Created"
+REQUIRED = "tracelake.required"
 
 
 _ENDS = T.StructType([T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("end", T.LongType())])
@@ -45,10 +46,26 @@ def ensure_table(
         sql += f" PARTITIONED BY ({', '.join(partition_by)})"
     if location:
         sql += f" LOCATION '{location}'"
+    required = [f.name for f in schema.fields if not f.nullable]
+    if required:
+        sql += f" TBLPROPERTIES ('{REQUIRED}' = '{','.join(required)}')"
     spark.sql(sql)
     return CREATED
 
 
+def with_required(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with a check that fails the write on a NULL in a required column of ``table``.
+
+    Spark's own file tables forget NOT NULL (other catalogs keep it), so ``ensure_table`` also notes the required
+    columns as a table property.
+    """
+    props = {r["key"]: r["value"] for r in df.sparkSession.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    for c in [c for c in props.get(REQUIRED, "").split(",") if c]:
+        error = F.raise_error(F.lit(f"{table}: NULL in required column {c}")).cast("boolean")
+        df = df.where(F.when(F.col(c).isNull(), error).otherwise(F.lit(True)))
+    return df
+
+
 def append(df: DataFrame, target: str, *, is_path: bool = False, v2: bool = False) -> None:
     """Append rows as one commit.
 
@@ -64,7 +81,7 @@ def append(df: DataFrame, target: str, *, is_path: bool = False, v2: bool = Fals
         df.writeTo(target).append()
         return
     cols = df.sparkSession.table(target).columns
-    df.select(*cols).write.insertInto(target)
+    with_required(df.select(*cols), target).write.insertInto(target)
 
 
 def overwrite_partition(df: DataFrame, target: str, spec: Mapping[str, object], *, is_path: bool = False) -> None:
@@ -83,7 +100,7 @@ def overwrite_partition(df: DataFrame, target: str, spec: Mapping[str, object],
     session = df.sparkSession
     cols = [c for c in session.table(target).columns if c not in spec]
     view = f"_tracelake_batch_{abs(hash((target, tuple(spec.items())))) % 10**12}"
-    df.select(*cols).createOrReplaceTempView(view)
+    with_required(df.select(*cols), target).createOrReplaceTempView(view)
     parts = ", ".join(f"{k}={_sql_literal(v)}" for k, v in spec.items())
     session.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({parts}) SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
     session.catalog.dropTempView(view)

@@ -16,19 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (regex, JSON) at least one task per core.
+#: Session setting: deal the rows of ``events`` over so many tasks first (for test tables of one row group; unset: no).
+SPREAD = "spark.tracelake.spread"
 
-    A scan yields one task per file split; a small table in a single row group is one task, and the per-line
-    regex then runs on one core. When the scan has fewer partitions than the default parallelism the rows are
-    spread round-robin; a large input already has more splits than cores and passes through unchanged (no shuffle).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view; leave the plan as it is
-        return df
-    return df.repartition(target) if current < target else df
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt round-robin over as many tasks as the session setting ``SPREAD`` asks for; by default unchanged."""
+    n = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df
 
 
 def ntz_text(ts) -> "F.Column":
