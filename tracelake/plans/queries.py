@@ -564,12 +564,12 @@ def q_users_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "users_slice_export",
-    f"WITH {SQL_USERS} SELECT id, name, CAST(NULL AS VARCHAR) AS note FROM users WHERE id % 2 = 0",
+    f"WITH {SQL_USERS}, {SQL_SOME_NAMES} SELECT id, name, CAST(NULL AS VARCHAR) AS note FROM some_names WHERE name IS NOT NULL",
 )
 def q_users_slice_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CREATE TABLE AS a slice, add a column, export to CSV and read the export."""
+    """CREATE TABLE AS the users with a name, add a column, export to CSV and read the export."""
     name, base = f"default.{_new_name('slice')}", scratch_path(spark, "slice")
-    create_table_as(spark, name, _users(spark, sf_dir).where("id % 2 = 0"), location=f"{base}/table")
+    create_table_as(spark, name, active_users(_some_names(spark, sf_dir)), location=f"{base}/table")
     add_columns(spark, name, T.StructType([T.StructField("note", T.StringType())]))
     table = spark.table(name)
     write_csv(table, f"{base}/csv")
