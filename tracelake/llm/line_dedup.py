@@ -199,13 +199,13 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     """``docs`` with its columns, the text cut to the kept lines joined by a line feed; a null text stays null."""
     ship(docs.sparkSession)
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("binary")
     def cut(text: pa.Array, bitmap: pa.Array) -> pa.Array:
         out = [None if t is None else kept_lines(t, b)[0] for t, b in zip(text.to_pylist(), bitmap.to_pylist(), strict=True)]
-        return pa.array(out, pa.binary()).cast(pa.string())
+        return pa.array(out, pa.binary())
 
     joined = with_bitmaps(docs, bitmaps, id_col, text_col, "__keep")
-    text = F.when(F.col("__keep").isNull(), F.col(text_col)).otherwise(cut(F.col(text_col).cast("binary"), "__keep"))
+    text = F.when(F.col("__keep").isNull(), F.col(text_col)).otherwise(cut(F.col(text_col).cast("binary"), "__keep").cast("string"))
     return joined.withColumn(text_col, text).select(*docs.columns)
 
 
