@@ -23,6 +23,8 @@ PAGES = {
     f"<form><p>Sign up, now, for our, letter, of, the, week, please and thank you very much indeed.</p><textarea>{P1}</textarea></form>"
     f"<div><h1>Head line</h1><p>{P1}</p><div class='ad-slot'><p>Buy, now, this, thing, here, for, less, than, ever.</p></div><p>{P2}</p>"
     f"<ul class='related-posts'><li><a href='1'>Other story one, two</a><li><a href='2'>Other story</a></ul></div>",
+    "main": f"<body><header>Site, name, and, motto</header><main><header><h1>Head line</h1></header><section><p>{P1}</p><p>{P2}</p></section></main>"
+    f"<div id='secondary' class='widget-area'><p>{P1} {P1} {P1}</p></div>",
     "roles": f"<body><div role='navigation'>{P1}</div><div style='display:none'><p>{P1}</p></div><div hidden><p>{P1}</p></div>"
     f"<div role='main'><h1>Head line</h1><p>{P1}</p><p>{P2}</p></div><div role='contentinfo'>{P1}</div><!-- <p>{P1}</p> -->",
 }

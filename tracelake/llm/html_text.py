@@ -129,7 +129,7 @@ def parse(page: str, soft: bool = False) -> Page:
     def close(depth: int) -> None:
         nonlocal link_at, articles
         while len(stack) > depth:
-            if nodes[stack.pop()].tag == "article":
+            if nodes[stack.pop()].tag in ("article", "main"):
                 articles -= 1
         if link_at > len(stack):
             link_at = -1
@@ -190,7 +190,7 @@ def parse(page: str, soft: bool = False) -> Page:
         nodes.append(Node(tag, parent, drop))
         nodes[parent].kids += 1
         stack.append(len(nodes) - 1)
-        if tag == "article":
+        if tag in ("article", "main"):
             articles += 1
     flush()
     return Page(nodes, runs)

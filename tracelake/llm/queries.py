@@ -81,6 +81,17 @@ ORACLE = {
             CASE WHEN again THEN top END AS refers_to
         FROM g
     """,
+    "op8_itq_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        link AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+        comp AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+        n AS (SELECT x AS vec_id, count(*) AS n_links FROM link GROUP BY x)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+    """,
     "op9_line_dedup": """
         WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
         lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split),
