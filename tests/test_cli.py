@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from tracelake.cli import main, run
 
 from test_logparse import SEVEN
@@ -47,3 +49,10 @@ def test_jdbc_source_error_exits_1(spark, tmp_path, capsys):
                  "--topic-path", str(tmp_path / "t")])
     assert code == 1
     assert "tracelake:" in capsys.readouterr().err
+
+
+def test_quarantine_needs_a_place(tmp_path):
+    from tracelake.cli import run
+
+    with pytest.raises(ValueError, match="--quarantine"):
+        run(["topic-to-table", "--topic-path", "t", "--table-path", "p", "--checkpoint", "c", "--on-error", "quarantine"])
