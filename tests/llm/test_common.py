@@ -1,0 +1,77 @@
+"""Shared helpers and connected components."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tracelake.llm import components
+from tracelake.llm.common import byte_slices, shared_root, stored
+from tracelake.llm.words import shingle_hashes, split_words
+
+
+def test_slices_cover_all_values():
+    values = [b"x" * n for n in (0, 5, 9, 100, 1, 1, 1, 0)]
+    parts = [p.to_pylist() for p in byte_slices(pa.array(values), 10)]
+    assert sum(parts, []) == values and [b"x" * 100] in parts
+    assert all(sum(map(len, p)) <= 10 or len(p) == 1 for p in parts)
+    assert list(byte_slices(pa.array([], pa.binary()))) == []
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://h:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
+def test_words_of_many_texts():
+    texts = [b"", b" \x0bAb c\x1fd\n", "Ünï b".encode(), b"ab"]
+    w = split_words(texts)
+    assert w.first.tolist() == [0, 0, 2, 4, 5]
+    assert w.hash[0] == w.hash[4] and len(set(w.hash.tolist())) == 4
+    assert len(shingle_hashes(w.hash, 5)) == 1 and len(shingle_hashes(w.hash, 6)) == 0
+    many = [f"w{i}".encode() for i in range(200_000)]
+    assert len(np.unique(split_words([b" ".join(many)]).hash)) == 200_000
+
+
+def brute(edges):
+    label = {n: n for e in edges for n in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+@pytest.mark.parametrize("chunk", [components.FOREST_EDGES, 7])
+def test_components(spark, chunk, monkeypatch):
+    rnd = random.Random(chunk)
+    edges = [(rnd.randrange(-300, 300), rnd.randrange(-300, 300)) for _ in range(250)]
+    edges += [(1000 + i, 1001 + i) for i in range(100)] + [(5000, 5000 + i) for i in range(1, 200)] + [(9, 9)]
+    rnd.shuffle(edges)
+    df = spark.createDataFrame([*edges, (None, 1), (2, None)], "a bigint, b bigint").repartition(13)
+    got = {r.node: r.root for r in components.connected_components(df).collect()}
+    assert got == brute([e for e in edges if e[0] != e[1]])  # loops alone make no node
+    assert components.connected_components(df.limit(0)).count() == 0
+
+
+def test_stored_keeps_empty_schemas(spark):
+    df = spark.createDataFrame([], "a bigint, b array<string>")
+    assert stored(df, "t").schema == df.schema
