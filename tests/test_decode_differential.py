@@ -1,5 +1,5 @@
 """Differential test of the strict decoder against Python's ``json`` made strict the same way: one JSON value, no
-duplicate keys, no NaN/Infinity; an array of row objects or one row object; every row has the four fields as JSON
+duplicate keys, no NaN/Infinity; an array of rows or one row; a row is an object or an array of its values; every row has the four fields as JSON
 strings (unknown fields ignored) and ``level`` is one code point."""
 
 import json
@@ -27,8 +27,12 @@ def expected_rows(text):
     except (ValueError, RecursionError):
         return None
     rows = value if isinstance(value, list) else [value]
+    if isinstance(value, list) and not all(isinstance(r, dict) or isinstance(r, list) and len(r) == len(FIELDS) for r in rows):
+        rows = [value]
     out = []
     for r in rows:
+        if isinstance(r, list) and len(r) == len(FIELDS):  # a row by position
+            r = dict(zip(FIELDS, r, strict=True))
         if not isinstance(r, dict) or any(not isinstance(r.get(f), str) for f in FIELDS) or len(r["level"]) != 1:
             return None
         out.append(tuple(r[f] for f in FIELDS))

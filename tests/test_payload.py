@@ -36,7 +36,15 @@ CASES = [
     ("xx", "bad"),
     ("", "bad"),
     ("5", "bad"),
-    ('["t","i","c","m"]', "bad"),
+    ('["t","i","c","m"]', 1),
+    ('[["t","i","c","m"],' + E + ',["","w","",""]]', 3),
+    ('[["t","i","c","m"]]', 1),
+    ('["t","i","c"]', "bad"),
+    ('["t","i","c","m","x"]', "bad"),
+    ('["t","ii","c","m"]', "bad"),
+    ('["t","i","c",5]', "bad"),
+    ('[["t","i","c","m"],5]', "bad"),
+    ('[["t","i","c","m"],["t","i"]]', "bad"),
 ]
 
 

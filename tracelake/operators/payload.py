@@ -292,18 +292,37 @@ def _parsed(messages: DataFrame, schema: T.StructType, value_col: str, lineage:
     stage2 = stage1.select(*lineage, "_null", "_utf8", "_big", "_b", x0.alias("_x"), single.alias("_single"))
     well_formed = F.col("_utf8") & F.col("_b") & F.col("_x").isNotNull() & F.col("_single")
     # One native cast per message: an array of objects becomes array<struct<field: variant>>, a lone object a
-    # one-element array. Any element that is not an object makes the array cast NULL, and the struct cast of the
-    # array itself is NULL too, so such a message ends up with a NULL element and fails the row check.
+    # one-element array. A message that is neither, and has no rows by position, ends up with a NULL element and fails
+    # the row check.
     vstruct = _variant_struct(schema)
+    one = F.try_variant_get("_x", "$", vstruct)
+    listed = F.transform(F.try_variant_get("_x", "$", "array<variant>"), lambda e: F.coalesce(F.try_variant_get(e, "$", vstruct), _by_position(e, schema)))
     fields = F.when(
         well_formed,
-        F.coalesce(F.try_variant_get("_x", "$", f"array<{vstruct}>"), F.array(F.try_variant_get("_x", "$", vstruct))),
+        F.coalesce(
+            _all_there(F.try_variant_get("_x", "$", f"array<{vstruct}>")),
+            F.when(one.isNotNull(), F.array(one)),
+            # rows given as arrays of their values, in any message that the native casts do not take
+            _all_there(listed),
+            F.array(_by_position(F.col("_x"), schema)),
+        ),
     )
     stage3 = stage2.select(*lineage, "_null", "_utf8", "_big", "_x", well_formed.alias("_wf"), fields.alias("_fs"))
 
     return stage3
 
 
+def _all_there(a: Column) -> Column:
+    """The array if none of its elements is NULL (an element that is no object casts to NULL), else NULL."""
+    return F.when(F.forall(a, lambda e: e.isNotNull()), a)
+
+
+def _by_position(value: Column, schema: T.StructType) -> Column:
+    """A row given as a JSON array of exactly its values in field order, as a struct of variants; NULL for anything else."""
+    values = F.try_variant_get(value, "$", "array<variant>")
+    return F.when(F.size(values) == len(schema.fields), F.struct(*[values[i].alias(f.name) for i, f in enumerate(schema.fields)]))
+
+
 def _element_ok(fs: Column, schema: T.StructType, constraints: Mapping[str, Callable[[Column], Column]]) -> Column:
     """Does one element (struct of field variants) carry every field with its type and constraints?"""
     ok = fs.isNotNull()
@@ -346,7 +365,9 @@ def _envelope_reason() -> Column:
 def _typed_rows(schema: T.StructType) -> Column:
     """The validated elements as ``array<struct<typed fields>>`` (one native cast; types were checked before)."""
     typed = "struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields) + ">"
-    return F.coalesce(F.try_variant_get("_x", "$", f"array<{typed}>"), F.array(F.try_variant_get("_x", "$", typed)))
+    one = F.try_variant_get("_x", "$", typed)
+    each = F.transform("_fs", lambda fs: F.struct(*[F.try_variant_get(fs[f.name], "$", f.dataType.simpleString()).alias(f.name) for f in schema.fields]))
+    return F.coalesce(_all_there(F.try_variant_get("_x", "$", f"array<{typed}>")), F.when(one.isNotNull(), F.array(one)), each)
 
 
 def decode_verdicts(
