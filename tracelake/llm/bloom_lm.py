@@ -20,8 +20,8 @@ from tracelake.llm.common import as_bytes, byte_slices, ship, stored
 from tracelake.llm.words import mixed, split_words
 
 #: Text bytes of a block (one longer text is a block of its own), and of the corpus for each shard of the hash range.
-BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
+SHARD_BYTES = 16 << 20
 #: The filter is broadcast up to this size; beyond it, blocks get their bigrams' levels through the shuffle.
 BROADCAST_BYTES = 256 << 20
 #: Hash functions of the filter: an absent level is taken for present once in 2^HASHES probes.
@@ -254,9 +254,11 @@ def _probe_shards(batches):
 class Filter:
     """All shards of a filter side by side."""
 
-    def __init__(self, parts: list[bytes]):
+    def __init__(self, parts: list):
+        """parts: the filter of each shard, as bytes or buffers."""
         self.bits = np.array([np.frombuffer(p, "<u8", 1)[0] for p in parts], np.uint64)
-        self.base = np.concatenate([[0], np.cumsum([len(p) - 8 for p in parts])])[:-1].astype(np.int64)
+        sizes = np.array([memoryview(p).nbytes - 8 for p in parts])
+        self.base = (np.cumsum(sizes) - sizes).astype(np.int64)
         self.data = np.concatenate([np.frombuffer(p, np.uint8, offset=8) for p in parts])
 
     def levels(self, h: np.ndarray) -> np.ndarray:
@@ -346,9 +348,12 @@ def score(
     rows = rows.unionByName(answers.where("block >= 0").select("block", F.lit(0).alias("role"), "shard", *blank, "data"))
     shared = None
     if total <= broadcast_bytes:
-        got = {r["shard"]: bytes(r["data"]) for r in filters.collect()}
+        table = filters.toArrow()  # at most broadcast_bytes; the shards are views of it until they are joined
+        got = {s: d.as_buffer() for s, d in zip(table.column("shard").to_pylist(), table.column("data"), strict=True)}
         empty = build_filter(np.zeros(0, np.uint64), np.zeros(0, np.int64)).tobytes()
-        shared = spark.sparkContext.broadcast(Filter([got.get(s, empty) for s in range(shards)]))
+        whole = Filter([got.get(s, empty) for s in range(shards)])
+        del table, got
+        shared = spark.sparkContext.broadcast(whole)
     else:
         every = blocks.mapInArrow(_requests(shards, True, True), asked).select("shard", "block", F.col("h").alias("data"))
         both = every.unionByName(filters.select("shard", F.lit(-1).cast("bigint").alias("block"), "data"))
