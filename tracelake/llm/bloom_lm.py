@@ -95,7 +95,7 @@ class Tokens:
 
 def tokens_of(texts: list[bytes]) -> Tokens:
     hashes, counts = [], []
-    for part in byte_slices(pa.array(texts, pa.large_binary()), 2 << 20):
+    for part in byte_slices(pa.array(texts, pa.large_binary()), 1 << 20):
         w = split_words(part.to_pylist())
         n = np.diff(w.first)
         doc = np.repeat(np.arange(len(n)), n)
@@ -292,7 +292,8 @@ def _score(kind_id: pa.DataType, n: int, v: int, mu: float, held_filter):
         filt = held_filter.value if held_filter is not None else None
         counts, levels = [], []
         for batch in batches:
-            for role, ids, held, lens, data in zip(*(batch.column(c).to_pylist() for c in ("role", "ids", "held", "lens", "data")), strict=True):
+            for i, role in enumerate(batch.column("role").to_pylist()):
+                ids, held, lens, data = (batch.column(c)[i].as_py() for c in ("ids", "held", "lens", "data"))
                 if role < 2:
                     (counts if role == 0 else levels).append(data)
                     continue
@@ -330,8 +331,9 @@ def score(
     name = kind.simpleString()
     layout = f"block bigint, ids array<{name}>, held array<boolean>, lens binary, data binary"
     blocks = stored(src.mapInArrow(_pack(to_arrow_type(kind)), layout), "lm-blocks")
-    size = blocks.agg(F.coalesce(F.sum(F.length("lens")), F.lit(0)), F.coalesce(F.sum(F.length("data")), F.lit(0))).first()
+    size = blocks.agg(F.count("*"), F.coalesce(F.sum(F.length("data")), F.lit(0))).first()
     shards = 1 << max(2, int(3 * size[1] // SHARD_BYTES).bit_length())
+    parts = max(1, -(-size[0] // 2))  # two blocks a task, so that what a task holds stays small
 
     asked = "shard int, block bigint, h binary, n binary"
     words = blocks.mapInArrow(_requests(shards, False, True), asked).repartition("shard").sortWithinPartitions("shard")
@@ -360,7 +362,7 @@ def score(
         both = both.repartition("shard").sortWithinPartitions("shard", "block")
         found = both.mapInArrow(_probe_shards, "block bigint, shard int, data binary")
         rows = rows.unionByName(found.select("block", F.lit(1).alias("role"), "shard", *blank, "data"))
-    rows = rows.repartition("block").sortWithinPartitions("block", "role", "shard")
+    rows = rows.repartition(parts, "block").sortWithinPartitions("block", "role", "shard")
     result = f"doc_id {name}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = rows.mapInArrow(_score(to_arrow_type(kind), n, v, mu, shared), result)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
