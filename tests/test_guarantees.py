@@ -62,8 +62,9 @@ def test_hot_order_value_is_split(spark):
     assert sum(r.n for r in got) == 60_000 and max(r.n for r in got) < 15_000
 
 
-@pytest.mark.parametrize("partitions", [1, 3])
-def test_offsets_never_collide(spark, tmp_path, partitions):
+@pytest.mark.parametrize(("partitions", "runs"), [(1, 20_000), (3, 20_000), (3, 0)])
+def test_offsets_never_collide(spark, tmp_path, partitions, runs, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_RUNS", runs)
     ids = [((1 << 20) + i) * (1 << 33) + j for i in range(4) for j in range(5)]
     msgs = spark.createDataFrame([(i, "[]") for i in ids], "chunk long, value string")
     rows = as_topic_messages(msgs, "logs", partitions)

@@ -119,13 +119,17 @@ def publish(messages: DataFrame, topic: str, brokers: str, options: Mapping[str,
     w.option("kafka.bootstrap.servers", brokers).option("topic", topic).options(**(options or {})).save()
 
 
+MAX_RUNS = 20_000
+
+
 def write_topic_table(topic_messages: DataFrame, path: str) -> None:
     """Append Kafka-shaped rows to a topic table (Parquet directory read by the file-stream source); one writer at a time.
 
     As in a Kafka partition log, offsets are dense and keep growing: the rows of a topic partition are numbered on from
     the end that the last append recorded in the hidden ``_ends`` folder, in the order of the Spark partitions and, in
     those, of their own offset (equal ones follow each other). Rows are sorted inside their partitions and staged once,
-    without a shuffle; numbering needs one row per Spark and topic partition that meet.
+    without a shuffle; numbering needs one row per Spark and topic partition that meet. Up to ``MAX_RUNS`` such rows are
+    numbered on the driver and broadcast; more are numbered by a window and joined, with the same result.
     """
     session = topic_messages.sparkSession
     ends_path = f"{path.rstrip('/')}/_ends"
@@ -141,15 +145,29 @@ def write_topic_table(topic_messages: DataFrame, path: str) -> None:
     fixed = staged(placed.withColumn("_mid", F.monotonically_increasing_id()), "topic-append")
     fixed = fixed.withColumn("_part", F.shiftright("_mid", 33))
     runs = fixed.groupBy("_part", "topic", "partition").agg(F.min("_mid").alias("_first"), F.count("*").alias("_n"))
-    before = Window.partitionBy("topic", "partition").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(known, ["topic", "partition"], "left")
-    start = F.coalesce("_end", F.lit(0)) + F.col("_before")
-    runs = runs.select("_part", "topic", "partition", (start - F.col("_first")).alias("_shift"), (start + F.col("_n")).alias("_stop"))
-    numbered = fixed.join(runs.drop("_stop"), ["_part", "topic", "partition"])
+    few = runs.limit(MAX_RUNS + 1).collect()
+    if len(few) <= MAX_RUNS:
+        ends = {(r["topic"], r["partition"]): r["_end"] for r in known.collect()}
+        shifts = []
+        for r in sorted(few, key=lambda r: r["_part"]):
+            at = ends.get((r["topic"], r["partition"]), 0)
+            shifts.append((r["_part"], r["topic"], r["partition"], at - r["_first"]))
+            ends[r["topic"], r["partition"]] = at + r["_n"]
+        if not shifts:
+            return
+        runs = F.broadcast(session.createDataFrame(shifts, "_part long, topic string, partition int, _shift long"))
+        stops = session.createDataFrame([(*k, v) for k, v in ends.items()], _ENDS)
+    else:
+        before = Window.partitionBy("topic", "partition").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(known, ["topic", "partition"], "left")
+        start = F.coalesce("_end", F.lit(0)) + F.col("_before")
+        runs = runs.select("_part", "topic", "partition", (start - F.col("_first")).alias("_shift"), (start + F.col("_n")).alias("_stop"))
+        stops = runs.groupBy("topic", "partition").agg(F.max("_stop").alias("end")).select("topic", "partition", "end")
+        runs = runs.drop("_stop")
+    numbered = fixed.join(runs, ["_part", "topic", "partition"])
     offset = (F.col("_mid") + F.col("_shift")).alias("offset")
     numbered.select(*[offset if c == "offset" else F.col(c) for c in topic_messages.columns]).write.mode("append").parquet(path)
-    stops = runs.groupBy("topic", "partition").agg(F.max("_stop").alias("end"))
-    stops.select("topic", "partition", "end").coalesce(1).write.mode("append").parquet(ends_path)
+    stops.coalesce(1).write.mode("append").parquet(ends_path)
 
 
 #: CSV text of a NULL; a backslash in a value is doubled, so no value looks like it.
