@@ -69,3 +69,30 @@ def test_edge_rows(spark):
     got = sorted(((r.page_id or 0, r.url, r.n_chars) for r in H.extract(pages).collect()), key=str)
     assert got == sorted([(1, None, 0), (1, None, 0), (0, "u", 0), (2, "u", 299_999)], key=str)
     assert H.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "box",
+    [
+        "div class='overflow-hidden'", "div class='elementor-widget'", "div class='has-sidebar'", "div class='content-with-sidebar'", "div data-title='Ten hidden gems'",
+        "section id='discussion'", "section id='related-work'", "div class='section' id='discussion'", "div title='a role=search b'", "div class='search-results-of-the-study'",
+        "div class='post-header'", "div class='hidden lg:block'", "div class='content-sidebar-wrap'",
+    ],
+)
+def test_names_that_hold_a_boilerplate_word(box):
+    part = f"<{box}><h2 id='search-algorithms' class='related'>Inner head</h2><p>{P1}</p></{box.split()[0]}>"
+    whole = "\n\n".join(["Head line", P2T, "Inner head", P1])
+    assert H.main_text(f"<body>{NAV}<article><h1>Head line</h1><p>{P2}</p>{part}</article>") == whole
+    assert H.main_text(f"<body>{NAV}<div><h1>Head line</h1><p>{P2}</p>{part}</div>") == whole
+
+
+@pytest.mark.parametrize("name", ["widget", "sidebar", "main-menu", "notice"])
+def test_article_in_a_block_named_boilerplate_is_not_lost_to_a_small_rest(name):
+    body = "".join(f"<p>{i} {P1} {P1} {P1}</p>" for i in range(5))
+    out = H.main_text(f"<body><p>We use cookies, and so on, as all do.</p><div class='{name}'><h1>Head line</h1>{body}<div class='share-links'><p>Share it, now.</p></div></div>")
+    assert out.endswith("\n\n".join(["Head line", *(f"{i} {P1} {P1} {P1}" for i in range(5))])) and "Share" not in out
+
+
+def test_long_comments_do_not_outweigh_the_article():
+    talk = "".join(f"<div class='comment'><p>{P1} {P1}</p></div>" for _ in range(15))
+    assert H.main_text(f"<body><div><h1>Head line</h1><p>{P1}</p><p>{P2}</p></div><div id='comments'>{talk}</div>") == "\n\n".join(["Head line", P1, P2T])

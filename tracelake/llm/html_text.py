@@ -1,10 +1,15 @@
-"""HTML extraction by tree scoring: paragraphs give points to their ancestors, the best container and siblings stay."""
+"""HTML extraction by tree scoring: paragraphs give points to their ancestors, the best container and siblings stay.
+
+Tags, roles and hidden or style attributes that say so remove a block outright. A class or id does so only if a whole
+token of it names boilerplate, and the block does not hold far more text than all blocks without such a name.
+"""
 
 from __future__ import annotations
 
 import html
 import re
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,7 +23,8 @@ _TOKEN = re.compile(
     re.I,
 )
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW.split("|")}
-_MARK = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 #: Elements that start a block of their own; all others are part of the text around them.
 _BLOCK = frozenset(
@@ -40,7 +46,7 @@ _CLOSES = {
 }
 _DROP = frozenset("head nav footer aside form button dialog menu fieldset".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-#: Words of class and id names of boilerplate.
+#: Words of class and id names of boilerplate. A token names boilerplate if it has one of them and else only _FILLER.
 _BOILER = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored sponsors promo promos promotion sidebar sidebars sidenav "
     "nav navbar navigation menu menus submenu breadcrumb breadcrumbs crumbs masthead topbar footer foot footnav copyright cookie cookies consent gdpr "
@@ -49,6 +55,21 @@ _BOILER = frozenset(
     "widget widgets pagination pager toolbar disclaimer hidden search skip skiplink byline-share tagcloud outbrain taboola rail".split()
 )
 _HEADERS = frozenset(["header", "head", "hdr", "topheader", "pageheader"])
+_FILLER = frozenset(
+    "area areas bar bars block blocks body bottom box boxes btn button buttons center col column container content ctn desktop float global google "
+    "group holder horizontal icons inner item items left link links list lists main mobile module outer page panel panels placeholder policy "
+    "primary region right row secondary section site slot slots small sticky tertiary top unit units vertical visually wrap wrapper zone".split()
+)
+#: Filler of boilerplate names, but not of headers: a post's header is part of it.
+_STORY = frozenset("article articles entry news post posts stories story".split())
+#: Boilerplate words that also are titles of sections of an article.
+_TOPICS = frozenset(
+    "ad alert alerts copyright disclaimer discussion feedback foot hidden menu menus navigation newsletter notice notices notification notifications "
+    "overlay promotion recommended recommendations register related replies reply search share sharing social sponsors subscription widget widgets".split()
+)
+_READERS = frozenset("comment comments commentlist disqus discussion replies reply respond".split())
+#: A block named boilerplate stays only if it has over so many times the text of the blocks that are not; more for readers' words.
+OUTWEIGH, OUTWEIGH_READERS = 4, 40
 _SAFE = frozenset(["html", "body", "article", "main"])
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -65,6 +86,7 @@ class Node:
     tag: str
     parent: int
     drop: bool
+    named: int = 0  #: see _named()
     runs: list = field(default_factory=list)
     kids: int = 0
     score: float = 0.0
@@ -72,27 +94,51 @@ class Node:
     links: int = 0
 
 
-def _boiler(tag: str, attrs: str, in_article: bool) -> bool:
-    """Does the element's tag, role, class or id say that it is no part of an article?"""
+def _attributes(attrs: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _removed(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Does the element's tag, role, style or hidden attribute say that it is no part of an article?"""
     if tag in _DROP or tag == "header" and not in_article:
         return True
-    if not attrs or tag in _SAFE:
+    if tag in _SAFE:
         return False
-    for m in _MARK.finditer(attrs):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif name == "role":
-            if value.strip().lower() in _ROLES:
-                return True
-        elif value:
-            words = set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
-            if words & _BOILER or not in_article and words & _HEADERS and tag not in _HEADING:
-                return True
-    return False
+    return (
+        "hidden" in attrs
+        or attrs.get("aria-hidden", "").strip().lower() == "true"
+        or _HIDING.search(attrs.get("style", "")) is not None
+        or attrs.get("role", "").strip().lower() in _ROLES
+    )
+
+
+def _named(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """How many times the other text a block must outweigh to stay, by its class and id: 0 if they do not name boilerplate.
+
+    Headings are never named, and sections not by an id inside an article, nor elsewhere by an id that can be a title.
+    """
+    if tag in _HEADING or tag in _SAFE and not (tag == "article" and in_article):
+        return 0
+    classes = attrs.get("class", "").split()
+    section = tag == "section" or "section" in classes
+    out = 0
+    for at, token in enumerate([*classes, *attrs.get("id", "").split()]):
+        words = _WORD.findall(_CAMEL.sub(" ", token).lower())
+        signs = [w for w in words if w in _BOILER]
+        heads = [] if signs or in_article else [w for w in words if w in _HEADERS]
+        if not signs and not heads or words[0] == "content":
+            continue
+        if any(len(w) > 1 and w not in _BOILER and w not in _FILLER and (heads or w not in _STORY) and w not in heads for w in words):
+            continue
+        if section and at >= len(classes) and (in_article or not heads and _TOPICS.issuperset(signs)):
+            continue
+        if token == "hidden" and any(":" in c for c in classes):  # shown at some widths
+            continue
+        out = max(out, OUTWEIGH_READERS if not _READERS.isdisjoint(signs) else OUTWEIGH)
+    return out
 
 
 @dataclass
@@ -186,14 +232,50 @@ def parse(page: str, soft: bool = False) -> Page:
         if len(stack) > DEPTH:
             close(DEPTH)
         parent = stack[-1]
-        drop = nodes[parent].drop or not soft and _boiler(tag, m["attrs"], articles > 0)
-        nodes.append(Node(tag, parent, drop))
+        drop, named = nodes[parent].drop, 0
+        if not drop and not soft:
+            attrs = _attributes(m["attrs"])
+            drop = _removed(tag, attrs, articles > 0)
+            named = 0 if drop else _named(tag, attrs, articles > 0)
+        nodes.append(Node(tag, parent, drop, named))
         nodes[parent].kids += 1
         stack.append(len(nodes) - 1)
         if tag in ("article", "main"):
             articles += 1
     flush()
-    return Page(nodes, runs)
+    return _without_named(Page(nodes, runs))
+
+
+def _without_named(page: Page) -> Page:
+    """Drop the blocks named boilerplate, the heaviest first, unless they outweigh all text outside such blocks."""
+    nodes = page.nodes
+    if not any(x.named for x in nodes):
+        return page
+    inner = [-1] * len(nodes)  # nearest named block, itself included
+    for i, x in enumerate(nodes):
+        inner[i] = i if x.named else inner[x.parent] if x.parent >= 0 else -1
+    above = {i: inner[x.parent] for i, x in enumerate(nodes) if x.named}
+    own = dict.fromkeys([-1, *above], 0)
+    for at, text, linked in page.runs:
+        own[inner[at]] += len(text) - linked
+    whole = dict(own)
+    within: dict[int, list[int]] = {}
+    for i in reversed(above):  # a block comes after those around it
+        if above[i] >= 0:
+            whole[above[i]] += whole[i]
+        within.setdefault(above[i], []).append(i)
+    rest = own[-1]
+    open_blocks = [(-whole[i] / nodes[i].named, i) for i in within[-1]]
+    heapify(open_blocks)
+    while open_blocks and -open_blocks[0][0] > rest:
+        i = heappop(open_blocks)[1]
+        nodes[i].named = 0
+        rest += own[i]
+        for j in within.get(i, ()):
+            heappush(open_blocks, (-whole[j] / nodes[j].named, j))
+    for x in nodes:
+        x.drop = x.drop or x.named > 0 or x.parent >= 0 and nodes[x.parent].drop
+    return Page(nodes, [r for r in page.runs if not nodes[r[0]].drop])
 
 
 def score(page: Page) -> None:
