@@ -66,3 +66,37 @@ def test_edge_rows(spark):
     none = [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 10, None)]
     assert got == sorted(one + none, key=str)
     assert I.near_dedup(df.limit(0)).count() == 0
+
+
+def offset_pairs(n, dims, mean_cosine, seed=5):
+    """``n`` vectors with a common direction, and of each one a partner at a cosine between 0.95 and 0.97."""
+    rng = np.random.default_rng(seed)
+    common = rng.normal(size=dims)
+    x = np.sqrt(mean_cosine) * common / np.linalg.norm(common) + np.sqrt((1 - mean_cosine) / dims) * rng.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    c = rng.uniform(0.9501, 0.97, size=(n, 1))
+    return np.concatenate([x, c * x + np.sqrt(1 - c * c) * side])
+
+
+@pytest.mark.parametrize(("mean_cosine", "dims"), [(0.0, 64), (0.7, 64), (0.8, 128), (0.9, 64)])
+def test_pairs_with_a_common_direction(spark, mean_cosine, dims):
+    vecs = offset_pairs(800, dims, mean_cosine).tolist()
+    df = spark.createDataFrame(list(enumerate(vecs)), "vec_id bigint, embedding array<double>").repartition(3)
+    unit, _ = I.unit_rows(vecs, dims)
+    link = unit @ unit.T >= I.COSINE
+    np.fill_diagonal(link, False)
+    got = {r.vec_id: r.n_links for r in I.near_dedup(df).collect()}
+    n = np.array([got[i] for i in range(len(vecs))])
+    assert link.sum() >= 1600 and (n <= link.sum(1)).all() and n.sum() >= 0.97 * link.sum()
+
+
+@pytest.mark.parametrize(("mean_cosine", "dims", "counted"), [(0.0, 64, {16}), (0.7, 64, {16}), (0.9, 128, {12, 8}), (0.97, 64, {8, 0}), (0.5, 2, {16, 12, 8, 0})])
+def test_tables_find_made_pairs(mean_cosine, dims, counted):
+    coder = I.learn(offset_pairs(1500, dims, mean_cosine)[:1500])
+    assert coder.bits in counted
+    for a, b in I.made_pairs(offset_pairs(1500, dims, mean_cosine, seed=5)[:1500], np.random.default_rng(1)):
+        d = I._POP16[coder.codes(a) ^ coder.codes(b)]
+        assert ((d <= 1).any(1) & (d[:, :4].sum(1) <= coder.radius)).mean() >= 0.96
