@@ -84,3 +84,40 @@ def test_empty_tables(spark):
     assert D.contaminated(d.limit(0), b).count() == 0
     assert D.contaminated(d, b.limit(0)).count() == 0 and D.decontaminate(d, b.limit(0)).count() == 1
     assert D.decontaminate(d, b).count() == 0
+
+
+@pytest.mark.parametrize("run", ["x", "_"])
+def test_long_items_with_a_run_of_one_word(spark, run):
+    rnd = random.Random(4)
+    items, docs = [], []
+    for i, n in enumerate([64, 104, 204, 204, 404, 404]):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(n)]
+        items.append((i, " ".join(words)))
+        m = (n - 4) // 9
+        tail = words[: n - m] + [run] * m
+        head = [run] * m + words[m:]
+        around = [f"o{rnd.randrange(5000)}" for _ in range(60)]
+        docs += [(10 * i, " ".join(tail)), (10 * i + 1, " ".join(head)), (10 * i + 2, " ".join(around[:30] + tail + around[30:]))]
+    items.append((90, " ".join([run] * 40 + [f"w{rnd.randrange(5000)}" for _ in range(160)])))
+    docs += [(900, " ".join(["z"] * 18 + items[-1][1].split()[18:]))]
+    want = brute(docs, items)
+    assert len(want) == len(docs)
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = sorted(((r.doc_id, r.item_id, round(r.similarity, 9), r.first_word) for r in D.contaminated(d, b).collect()), key=str)
+    assert got == sorted((w[:4] for w in want), key=str)
+    assert D.decontaminate(d, b).count() == 0
+
+
+def test_window_fingerprints_number_the_occurrences_in_each_window():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    for n, width, kinds in [(1, 1, 1), (40, 7, 4), (60, 60, 5), (90, 30, 2), (50, 9, 10**6)]:
+        h = (rng.integers(0, kinds, n).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        for a, fp in enumerate(D.window_fingerprints(h, width)):
+            seen, number = {}, []
+            for x in h[a : a + width].tolist():
+                number.append(seen.get(x, 0))
+                seen[x] = number[-1] + 1
+            bits = D.hash_bits(D.numbered(h[a : a + width], np.array(number)))
+            assert (fp == np.packbits(2 * bits.sum(0, dtype=np.int64) > width)).all()

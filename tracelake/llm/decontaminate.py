@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from tracelake.llm.common import as_bytes, byte_slices, ship
-from tracelake.llm.words import shingle_hashes, split_words
+from tracelake.llm.words import mixed, shingle_hashes, split_words
 
 #: Benchmark items and bytes of their texts that one pass over the documents carries; more items make more passes.
 ITEMS_EACH_PASS = 4000
@@ -26,14 +26,41 @@ RADIUS = 22
 BLOCKS = 8
 SLICE = 2 << 20
 _FILTER_BITS = 22
+_NEXT = np.uint64(0xD6E8FEB86659FD93)
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
-def simhash_rows(bits: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Fingerprint bytes of the spans [start, end) over rows of shingle bits (0/1): a bit is 1 if set in over half."""
-    total = np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(bits, axis=0, dtype=np.int64)])
-    ones = total[ends] - total[starts]
-    return np.packbits(2 * ones > (ends - starts)[:, None], axis=1)
+def numbered(h: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Hash of a shingle and the number of its occurrence: the shingle's own for the first one."""
+    return np.where(number > 0, mixed(h + number.astype(np.uint64) * _NEXT), h)
+
+
+def window_fingerprints(h: np.ndarray, width: int) -> np.ndarray:
+    """SimHash bytes of every window of ``width`` shingles over (shingle, number of its occurrence in the window).
+
+    Weighted Jaccard similarity of two bags is the Jaccard similarity of these sets, and repeats do not vote together. A
+    step of the window takes the last number of one shingle away and adds the next number of another.
+    """
+    n = len(h)
+    order = np.argsort(h, kind="stable")
+    new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+    begin = np.flatnonzero(new)
+    group = np.empty(n, np.int64)
+    group[order] = np.cumsum(new) - 1
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n) - begin[np.cumsum(new) - 1]
+    out, into = np.arange(n - width), np.arange(width, n)
+    if len(begin) == n:
+        lost = gained = np.zeros(n - width, np.int64)
+    else:
+        keys = group[order] * (n + 1) + order
+        before = lambda at, bound: np.searchsorted(keys, group[at] * (n + 1) + bound) - begin[group[at]]
+        lost = before(out, out + width) - rank[out] - 1
+        gained = rank[into] - before(into, out + 1)
+    first = hash_bits(numbered(h[:width], rank[:width])).sum(0, dtype=np.int64)
+    steps = hash_bits(numbered(h[into], gained)).astype(np.int8) - hash_bits(numbered(h[out], lost)).astype(np.int8)
+    ones = first + np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(steps, axis=0, dtype=np.int64)])
+    return np.packbits(2 * ones > width, axis=1)
 
 
 def hash_bits(h: np.ndarray) -> np.ndarray:
@@ -84,7 +111,7 @@ def build_index(rows: list[tuple]) -> Index:
         for off, x in enumerate(h.tolist()):
             found[k][x].add((at, off))
         groups.setdefault(len(words), Group(len(words))).items.append(at)
-        fps[len(words)].append(simhash_rows(hash_bits(h), np.array([0]), np.array([len(h)]))[0])
+        fps[len(words)].append(window_fingerprints(h, len(h))[0])
     near = RADIUS // BLOCKS  # of 8 blocks, one has at most this many of the differing bits
     close = _POPCOUNT[np.arange(256)[:, None] ^ np.arange(256)] <= near
     for size, g in groups.items():
@@ -130,9 +157,8 @@ def matches_of(index: Index, words: list[bytes], h: np.ndarray, hits: list[tuple
         sh = shingle_hashes(h, k)
         for a, b in _spans(list(where), size, k, len(words)):
             starts = np.arange(a, b + 1)
-            ends = np.minimum(starts + size, len(words)) - k + 1
-            bits = hash_bits(sh[a : ends[-1]])
-            fp = simhash_rows(bits, starts - a, ends - a)
+            width = min(size, len(words)) - k + 1  # a shorter text is one window
+            fp = window_fingerprints(sh[a : b + width], width)
             cand = np.zeros((len(starts), len(g.items)), bool)
             for block in range(BLOCKS):
                 cand |= g.blocks[block][fp[:, block]]
@@ -207,7 +233,7 @@ def contaminated(
     Words are split at ASCII white space with A-Z lower-cased. A window has as many words as the item (a shorter text is
     one window); both are bags of five-word shingles (an item under five words: one shingle), and similarity is the
     weighted Jaccard coefficient. A window that shares no shingle with an item of its size is at zero and is skipped;
-    every other one is fingerprinted, found through the Hamming blocks if within ``RADIUS`` bits, and verified on the
+    every other one is fingerprinted (repeats of a shingle count as features of their own), found through the Hamming blocks if within ``RADIUS`` bits, and verified on the
     words themselves. Null and wordless texts and items match nothing. No shuffle of documents.
     """
     ship(docs.sparkSession)
