@@ -96,3 +96,17 @@ def test_article_in_a_block_named_boilerplate_is_not_lost_to_a_small_rest(name):
 def test_long_comments_do_not_outweigh_the_article():
     talk = "".join(f"<div class='comment'><p>{P1} {P1}</p></div>" for _ in range(15))
     assert H.main_text(f"<body><div><h1>Head line</h1><p>{P1}</p><p>{P2}</p></div><div id='comments'>{talk}</div>") == "\n\n".join(["Head line", P1, P2T])
+
+
+@pytest.mark.parametrize("tag", ["select", "object data='x'", "audio", "video src='x'", "noscript", "canvas", "template", "svg", "math", "svg width='1'/", "math/"])
+@pytest.mark.parametrize("later", ["", "<svg><title>no</title><path d=''/></svg><select><option>no</select><video>no</video>"])
+def test_unclosed_elements_do_not_swallow_the_page(tag, later):
+    assert H.main_text(f"<article><h1>Head line</h1><div><{tag}></div><p>{P1}</p>{later}<p>{P2}</p></article>") == "\n\n".join(["Head line", P1, P2T])
+    own = "" if tag.endswith("/") else "no such words"
+    assert H.main_text(f"<article><h1>Head line</h1><p>{P1}<{tag}>{own}<p>{P2}</p></article>{later}") == "\n\n".join(["Head line", P1, P2T])
+
+
+def test_closed_elements_leave_the_paragraph_whole():
+    icon = "<svg viewBox='0 0 1 1'><svg><text>no</text></svg><text>no</text></svg><svg/><video><p>no</p></video><select><option>no<option>no</select>"
+    assert H.main_text(f"<article><p>a {icon}b</p><p>{P1}</p><select><option>no<option>no</article>") == f"a b\n\n{P1}"
+    assert H.main_text(f"<article><p>{P1}</p><script>never ended <p>{P2}</p>") == P1

@@ -17,11 +17,16 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.common import as_bytes, byte_slices, ship
 
-_RAW = "script|style|noscript|template|iframe|svg|canvas|object|textarea|title|math|audio|video|select"
+#: Raw text up to the end tag, or to the end of the page.
+_RAW = "script|style|textarea|title|iframe"
+#: Markup that is left out with its end tag; without one, up to the next block or the end of the block around it.
+_SKIP = "noscript|template|svg|canvas|object|math|audio|video|select"
 _TOKEN = re.compile(
-    rf"<(?P<raw>{_RAW})(?=[\s/>])[^>]*+>|<!--|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\">]*+\"|'[^'>]*+'|[\"'])*+)>|<[!?][^>]*+>",
+    rf"<(?P<raw>{_RAW}|{_SKIP})(?=[\s/>])[^>]*+>|<!--|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\">]*+\"|'[^'>]*+'|[\"'])*+)>|<[!?][^>]*+>",
     re.I,
 )
+_SKIP_TAG = {t: re.compile(rf"<(/?){t}(?=[\s/>])[^>]*+>", re.I) for t in _SKIP.split("|")}
+_FOREIGN = frozenset(["svg", "math"])
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW.split("|")}
 _ATTR = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
@@ -44,7 +49,7 @@ _CLOSES = {
     "option": (frozenset(["option"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
-_DROP = frozenset("head nav footer aside form button dialog menu fieldset".split())
+_DROP = frozenset("head nav footer aside form button dialog menu fieldset option".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 #: Words of class and id names of boilerplate. A token names boilerplate if it has one of them and else only _FILLER.
 _BOILER = frozenset(
@@ -147,6 +152,18 @@ class Page:
     runs: list[tuple[int, str, int]]  #: (node, text, characters inside links), in page order
 
 
+def _ends(page: str, tag: str) -> dict[int, int]:
+    """Where each element of this name that has an end tag of its own ends, by the end of its opening tag."""
+    out, begun = {}, []
+    for m in _SKIP_TAG[tag].finditer(page):
+        if not m[1]:
+            if tag not in _FOREIGN or not m[0].endswith("/>"):
+                begun.append(m.end())
+        elif begun:
+            out[begun.pop()] = m.end()
+    return out
+
+
 def parse(page: str, soft: bool = False) -> Page:
     """Blocks of a page. Raw elements, comments and markup vanish; white space in a block becomes one space.
 
@@ -159,9 +176,12 @@ def parse(page: str, soft: bool = False) -> Page:
     pieces: list[str] = []
     link_at = -1  # stack depth at which the open link began
     linked = 0
+    ends: dict[str, dict[int, int]] = {}
+    muted = False  # inside an element of _SKIP without an end tag
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, muted
+        muted = False
         if pieces:
             at = stack[-1]
             if not nodes[at].drop:
@@ -186,7 +206,7 @@ def parse(page: str, soft: bool = False) -> Page:
     while pos < n:
         m = search(page, pos, last)
         at = m.start() if m else n
-        if at > pos:
+        if at > pos and not muted:
             pieces.append(page[pos:at])
             if link_at >= 0:
                 linked += at - pos
@@ -194,7 +214,16 @@ def parse(page: str, soft: bool = False) -> Page:
             break
         pos = m.end()
         if m["raw"]:
-            stop = _RAW_END[m["raw"].lower()].search(page, pos)
+            name = m["raw"].lower()
+            if name in _SKIP_TAG:
+                if name not in ends:
+                    ends[name] = _ends(page, name)
+                if pos in ends[name]:
+                    pos = ends[name][pos]
+                elif name not in _FOREIGN or not m[0].endswith("/>"):
+                    muted = True
+                continue
+            stop = _RAW_END[name].search(page, pos)
             pos = stop.end() if stop else n
             continue
         if m["tag"] is None:
@@ -223,7 +252,7 @@ def parse(page: str, soft: bool = False) -> Page:
         for depth in range(len(stack) - 1, 0, -1):
             open_tag = nodes[stack[depth]].tag
             shut, bound = _CLOSES.get(tag, (frozenset(), frozenset()))
-            if open_tag == "p" or open_tag in shut or open_tag in _HEADING and tag in _HEADING:
+            if open_tag in ("p", "option") or open_tag in shut or open_tag in _HEADING and tag in _HEADING:
                 close(depth)
                 if open_tag in shut:
                     break
