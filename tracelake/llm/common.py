@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -35,6 +36,30 @@ def ship(spark: SparkSession) -> None:
     sc._tracelake_shipped = True
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a file of the driver to the executors; returns its name there, made from its content.
+
+    Two files of one base name stay apart, and the same content is sent once per application.
+    """
+    with open(path, "rb") as f:
+        data = f.read()
+    name = f"{hashlib.sha256(data).hexdigest()[:24]}-{os.path.basename(path)}"
+    sc = spark.sparkContext
+    if not any(f.endswith("/" + name) for f in sc.listFiles):
+        copy = os.path.join(tempfile.mkdtemp(prefix="tracelake-file-"), name)
+        with open(copy, "wb") as f:
+            f.write(data)
+        sc.addFile(copy)
+    return name
+
+
+def shipped_file(name: str) -> str:
+    """Inside a task: where the file sent under ``name`` is."""
+    from pyspark import SparkFiles
+
+    return SparkFiles.get(name)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where it is unset (tests), a new one is set for this session.
 

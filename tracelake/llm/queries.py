@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, token_counts, warc
+from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, token_counts, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.file_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), words=True)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -68,6 +72,7 @@ QUERIES = {
     "op8_itq_dedup": op8_itq_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_token_files": op11_token_files,
 }
 
 ORACLE = {
