@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, token_counts, token_files, warc
+from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, spelling, token_counts, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.file_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), words=True)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), min_chars=7, min_count=2, drop_one_in=31, times=10)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -73,6 +77,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
     "op11_token_files": op11_token_files,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE = {

@@ -16,6 +16,7 @@ A document lies in one file. A file ends with the document that brings it to ``f
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from dataclasses import dataclass
@@ -157,43 +158,81 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(shipped_file(name))
 
 
+_MARKS = ".,;:!?"
+_PLAIN = re.compile(rf"([a-z]+)([{_MARKS}]*)".encode())
+
+
+def _plain_words(tokenizer) -> bool:
+    """Does the tokenizer take ASCII letters as one lower-cased pre-token each, and marks behind them as another?
+
+    Then letters can go to the library's model directly. Asked of every letter, mark and pair of marks; no added token
+    may consist of such signs alone, as it could stand in the middle of a word.
+    """
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+        return False
+    low = "abcdefghijklmnopqrstuvwxyz"
+
+    def pieces(text: str) -> list[str]:
+        return [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
+
+    if pieces(low) != [low] or pieces(low.upper()) != [low]:
+        return False
+    for marks in [a + b for a in _MARKS for b in ("", *_MARKS)]:
+        if any(pieces(c + marks) != [c, marks] for c in low):
+            return False
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return not any(re.fullmatch(rf"[A-Za-z{_MARKS}]*", t) for t in added)
+
+
+class _Pieces(dict):
+    """Ids of pieces; a missing one comes from the generation before or from ``make``. Long ones are not kept."""
+
+    def __init__(self, make, old: dict):
+        super().__init__()
+        self.make, self.old = make, old
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(piece) <= LONGEST_REMEMBERED:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Texts to little-endian uint32 ids by the tokenizers library, ``add_special_tokens=False``.
 
     ``words``: for tokenizers that drop white space, so that no token reaches over it: the library encodes each distinct
-    piece between ASCII white space once, as long as the worker remembers it. Else it gets whole texts.
+    piece between ASCII white space once, as long as the worker remembers it (two generations). Else it gets whole texts.
     """
 
     def __init__(self, tokenizer, words: bool):
         self.tokenizer, self.words = tokenizer, words
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.plain = words and _plain_words(tokenizer)
+        self.known = _Pieces(self._piece, {})
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in found]
+
+    def _piece(self, piece: bytes) -> bytes:
+        if self.plain and (m := _PLAIN.fullmatch(piece.lower())):
+            word, marks = m.groups()
+            if word != piece:
+                return self.known[word] + (self.known[marks] if marks else b"")
+            ids = [t.id for t in self.tokenizer.model.tokenize(word.decode())]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        return self._ids([piece])[0]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.words:
             return self._ids(texts)
-        pieces = [t.split() for t in texts]
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        new = set().union(*pieces).difference(self.young)
-        ids = self.young
-        if any(len(p) > LONGEST_REMEMBERED for p in new):  # these only for this call
-            ids = dict(ids)
-        fresh = []
-        for p in new:
-            if (known := self.old.get(p)) is not None:
-                ids[p] = self.young[p] = known
-            else:
-                fresh.append(p)
-        for p, i in zip(fresh, self._ids(fresh) if fresh else [], strict=True):
-            ids[p] = i
-            if len(p) <= LONGEST_REMEMBERED:
-                self.young[p] = i
-        return [b"".join(map(ids.__getitem__, p)) for p in pieces]
+        if len(self.known) > REMEMBERED:
+            self.known.old = {}
+            self.known = _Pieces(self._piece, self.known)
+        of = self.known.__getitem__
+        return [b"".join(map(of, t.split())) for t in texts]
 
 
 @lru_cache(2)
