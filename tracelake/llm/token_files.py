@@ -158,30 +158,36 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(shipped_file(name))
 
 
-_MARKS = ".,;:!?"
-_PLAIN = re.compile(rf"([a-z]+)([{_MARKS}]*)".encode())
+#: Letters and marks of plain words: a-z and U+00C0 to U+00FF without the signs in them, then ASCII marks (no apostrophe,
+#: and none of the signs that added tokens are usually written with).
+_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+_MARKS = '.,;:!?$#*"()-+=/&%@~^_'
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([" + re.escape(_MARKS).encode() + rb"]*)")
 
 
-def _plain_words(tokenizer) -> bool:
-    """Does the tokenizer take ASCII letters as one lower-cased pre-token each, and marks behind them as another?
+def _plain_letters(tokenizer) -> dict[int, str] | None:
+    """How the library hands each letter to its model, if it takes letters as one pre-token and marks behind them as another.
 
-    Then letters can go to the library's model directly. Asked of every letter, mark and pair of marks; no added token
-    may consist of such signs alone, as it could stand in the middle of a word.
+    Then words can go to the library's model directly. Asked of every letter, every mark behind every letter and every
+    pair of marks; no added token may consist of such signs alone, as it could stand in the middle of a word.
     """
     if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
-        return False
-    low = "abcdefghijklmnopqrstuvwxyz"
+        return None
 
     def pieces(text: str) -> list[str]:
         return [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
 
-    if pieces(low) != [low] or pieces(low.upper()) != [low]:
-        return False
-    for marks in [a + b for a in _MARKS for b in ("", *_MARKS)]:
-        if any(pieces(c + marks) != [c, marks] for c in low):
-            return False
-    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    return not any(re.fullmatch(rf"[A-Za-z{_MARKS}]*", t) for t in added)
+    each = {c: "".join(pieces(c)) for c in _LETTERS + _LETTERS[:26].upper()}
+    if any(pieces(c.upper()) != [each[c]] for c in _LETTERS[:26]) or pieces(_LETTERS) != ["".join(each[c] for c in _LETTERS)]:
+        return None
+    marks = {m: "".join(pieces(m)) for m in _MARKS}
+    if any(pieces(c + m) != [each[c], marks[m]] for c in _LETTERS for m in _MARKS):
+        return None
+    if any(pieces("a" + m + n) != [each["a"], marks[m] + marks[n]] for m in _MARKS for n in _MARKS):
+        return None
+    added = [t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values()]
+    sign = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf]|[" + re.escape(_MARKS).encode() + rb"])*")
+    return None if any(sign.fullmatch(t) for t in added) else {ord(c): p for c, p in each.items()}
 
 
 class _Pieces(dict):
@@ -209,7 +215,7 @@ class Encoder:
 
     def __init__(self, tokenizer, words: bool):
         self.tokenizer, self.words = tokenizer, words
-        self.plain = words and _plain_words(tokenizer)
+        self.letters = _plain_letters(tokenizer) if words else None
         self.known = _Pieces(self._piece, {})
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
@@ -217,11 +223,11 @@ class Encoder:
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in found]
 
     def _piece(self, piece: bytes) -> bytes:
-        if self.plain and (m := _PLAIN.fullmatch(piece.lower())):
+        if self.letters and (m := _PLAIN.fullmatch(piece.lower())):
             word, marks = m.groups()
             if word != piece:
                 return self.known[word] + (self.known[marks] if marks else b"")
-            ids = [t.id for t in self.tokenizer.model.tokenize(word.decode())]
+            ids = [t.id for t in self.tokenizer.model.tokenize(word.decode().translate(self.letters))]
             return struct.pack(f"<{len(ids)}I", *ids)
         return self._ids([piece])[0]
 
