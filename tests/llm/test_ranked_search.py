@@ -1,0 +1,127 @@
+"""Ranked search against a plain scorer in Python integers."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from oracle import compare, duck
+from tracelake.llm import ranked_search as rs
+from tracelake.llm.queries import ORACLE, QUERIES
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def terms(text):
+    return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t) for t in TERM.findall(text or "")]
+
+
+def plain(docs, items, k=20):
+    rows = [(i, Counter(terms(t))) for i, t in docs]
+    rows = [(i, tf, sum(tf.values())) for i, tf in rows if tf]
+    n_docs, total = len(rows), sum(n for _, _, n in rows)
+    df = Counter(t for _, tf, _ in rows for t in tf)
+    out = []
+    for item, text in items:
+        found = []
+        for i, tf, n in rows:
+            m = 100 - 25 + 25 * n * n_docs // total
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 12 * m)) for t in terms(text) if t in tf)
+            if s > 0:
+                found.append((-s, i is not None, i))
+        out += [(item, r + 1, i, -s) for r, (s, _, i) in enumerate(sorted(found)[:k])]
+    return out
+
+
+def key(r):
+    return (r[0] is not None, r[0] if r[0] is not None else 0, r[1], r[3])
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=key)
+
+
+def frames(spark, docs, items):
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+
+def made(seed, n_docs=300, n_items=30):
+    rng = random.Random(seed)
+    words = [f"{a}{b}" for a in ("Ab", "ÉÜ", "x9", "日本") for b in range(40)]
+
+    def text(n):
+        return " ".join(words[min(int(rng.expovariate(0.05)), len(words) - 1)] for _ in range(n))
+
+    return [(i, text(rng.randint(0, 60))) for i in range(n_docs)], [(i, text(rng.randint(0, 30))) for i in range(n_items)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_plain_scorer(spark, seed, monkeypatch):
+    docs, items = made(seed)
+    docs += [(1000 + i, docs[7][1]) for i in range(60)][::-1]  # many ties, larger ids first
+    d, q = frames(spark, docs, items)
+    assert rows_of(rs.search(d.repartition(5), q)) == sorted(plain(docs, items), key=key)
+
+
+def test_small_tiles_slabs_and_passes(spark):
+    docs, items = made(3)
+    number = rs.Queries([t.encode() for _, t in items])
+    weight = np.full(len(number.number), 20_000)
+    whole, cut = rs.Tile(0, number.items, weight), rs.Tile(0, number.items, weight, most=7)
+    assert len(whole.slabs) == 1 and len(cut.slabs) > 10
+    rng = np.random.default_rng(1)
+    term, doc = rng.integers(0, len(weight) + 5, 500), rng.integers(0, 40, 500)
+    pair = np.unique(np.stack([term, doc]), axis=1)
+    impact = rng.integers(0, 20_000 * rs.IMPACT, pair.shape[1]).astype(float)
+    assert (whole.scores(*pair, impact, 40) == cut.scores(*pair, impact, 40)).all()
+    d, q = frames(spark, docs, items)
+    assert rows_of(rs.search(d, q, k=3, item_bytes=500)) == sorted(plain(docs, items, 3), key=key)
+
+
+def test_sums_beyond_two_to_the_53_are_exact():
+    counts = np.array([10**7, 3, 10**6])
+    weight = np.array([25_000, 7, 24_999])
+    tile = rs.Tile(0, [(np.arange(3), counts)], weight)
+    assert len(tile.slabs) > 20
+    impact = [24_999 * 999_999, 7 * 123_457, 24_999 * 999_983]
+    expected = sum(int(c) * i for c, i in zip(counts, impact, strict=True))
+    assert expected > 2**57
+    assert tile.scores(np.arange(3), np.zeros(3, int), np.array(impact, float), 1).tolist() == [[expected]]
+
+
+def test_best_keeps_ties_by_id_whatever_the_order(monkeypatch):
+    monkeypatch.setattr(rs, "HELD", 10)
+    best, rng = rs.Best(2, 3), random.Random(4)
+    ids = list(range(200))
+    rng.shuffle(ids)
+    for at in range(0, 200, 9):
+        part = ids[at : at + 9]
+        best.add(np.array([[5] * len(part), [i % 4 for i in part]]), part)
+        assert best.held <= 10 + 18
+    best.shrink()
+    assert list(zip(best.item.tolist(), best.score.tolist(), best.ids, strict=True)) == [(0, 5, 0), (0, 5, 1), (0, 5, 2), (1, 3, 3), (1, 3, 7), (1, 3, 11)]
+
+
+def test_odd_rows(spark):
+    docs = [(1, "one two"), (None, "one two"), (1, "one two"), (2, None), (3, ""), (4, " - !"), (5, "one " * 200_000), (6, "DON'T\x7fone\x00two"), (7, "two")]
+    items = [(1, "One, TWO!"), (1, "One, TWO!"), (None, "two two"), (2, None), (3, "nothing here"), (4, "")]
+    d, q = frames(spark, docs, items)
+    d = d.selectExpr("*", "'x' AS item_id", "1 AS rank", "2 AS score", "3 AS n")
+    q = q.selectExpr("*", "'x' AS doc_id", "1 AS term", "3 AS `pass`")
+    assert rows_of(rs.search(d, q)) == sorted(plain(docs, items), key=key)
+    named = rs.search(d.selectExpr("string(doc_id) AS k", "text AS body"), q, doc_id="k", doc_text="body")
+    assert {r.doc_id for r in named.collect()} == {"1", None, "5", "6", "7"}
+
+
+def test_empty_tables(spark):
+    d, q = frames(spark, [(1, "a b")], [(1, "a")])
+    assert rs.search(d.limit(0), q).collect() == [] and rs.search(d, q.limit(0)).collect() == []
+
+
+def test_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    n, problems = compare(QUERIES["op13_ranked_search"](spark, sf), duck(sf), ORACLE["op13_ranked_search"])
+    assert n == 800 and not problems, problems

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, simhash_dedup, spelling, token_counts, token_files, warc
+from tracelake.llm import bloom_lm, byte_bpe, decontaminate, html_text, itq_dedup, line_dedup, quality_crf, ranked_search, simhash_dedup, spelling, token_counts, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), min_chars=7, min_count=2, drop_one_in=31, times=10)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -78,6 +82,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_token_files": op11_token_files,
     "op12_spelling": op12_spelling,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE = {
@@ -116,4 +121,31 @@ ORACLE = {
         FROM keyed LEFT JOIN common c ON keyed.k = c.k
         GROUP BY doc_id
     """,
+    "op13_ranked_search": r"""
+        WITH low AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+            FROM documents),
+        d AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM low),
+        tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM d GROUP BY r, doc_id, n, term),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM low WHERE len(terms) > 0),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, s),
+        q AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+            FROM benchmark),
+        qt AS (SELECT item_id, term, count(*) AS qtf FROM q GROUP BY item_id, term),
+        scored AS (
+            SELECT item_id, r, any_value(doc_id) AS doc_id,
+                CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM qt JOIN w USING (term) JOIN tf USING (term), s
+            GROUP BY item_id, r),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }
