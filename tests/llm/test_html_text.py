@@ -110,3 +110,65 @@ def test_closed_elements_leave_the_paragraph_whole():
     icon = "<svg viewBox='0 0 1 1'><svg><text>no</text></svg><text>no</text></svg><svg/><video><p>no</p></video><select><option>no<option>no</select>"
     assert H.main_text(f"<article><p>a {icon}b</p><p>{P1}</p><select><option>no<option>no</article>") == f"a b\n\n{P1}"
     assert H.main_text(f"<article><p>{P1}</p><script>never ended <p>{P2}</p>") == P1
+
+
+STORY = "\n\n".join(["Head line", P1, P2T])
+
+
+@pytest.mark.parametrize("n", [1, 60, 120, 400])
+def test_comments_never_replace_the_article(n):
+    talk = "".join(f"<div class='comment'><p>{i} {P1} {P1}</p></div>" for i in range(n))
+    comments = f"<div class='comments'>{talk}</div>"
+    assert H.main_text(f"<body><article><p>One line.</p></article>{comments}") == "One line."
+    assert H.main_text(f"<body><article><h1>Head line</h1><p>{P1}</p><p>{P2}</p></article>{comments}") == STORY
+    assert H.main_text(f"<body><div><p>One line.</p></div>{comments}") == "One line."
+    assert H.main_text(f"<body>{comments}") == ""
+
+
+@pytest.mark.parametrize("name", ["sidebar", "advert", "notice", "widget", "newsletter", "promo", "footer"])
+def test_named_blocks_never_outweigh_an_article(name):
+    box = f"<div class='{name}'><h1>Of the box</h1>" + f"<p>{P1} {P1}</p>" * 6 + "</div>"
+    for tag in ("article", "main"):
+        assert H.main_text(f"<body><{tag}><p>One line.</p></{tag}>{box}") == "One line."
+        assert H.main_text(f"<body>{box}<div><{tag}><h1>Head line</h1><p>{P1}</p><p>{P2}</p></{tag}></div>") == STORY
+    assert H.main_text(f"<body><div><h1>Head line</h1><p>{P1}</p><p>{P2}</p></div>{box}") == STORY
+
+
+NOISE = f"<div class='cookie-notice'><p>We use cookies, all of them, and so on.</p></div><div id='comments'><p>{P1} I agree, fully.</p></div><footer><p>{P1}</p></footer>"
+
+
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "{}", "<div class='widget'>{}</div>"])
+def test_form_around_the_whole_page_is_a_wrapper(inner):
+    story = inner.format(f"<h1>Head line</h1><p>{P1}</p><p>{P2}</p>")
+    login = f"<form><p>Sign in, please, with your name, and your word. {P1}</p></form>"
+    assert H.main_text(f"<body><form id='aspnetForm'>{NAV}{story}<select><option>no</select><button>Go</button>{NOISE}</form></body>") == STORY
+    assert H.main_text(f"<body>{story}{login}{NOISE}") == STORY
+
+
+def test_second_look_leaves_notices_comments_and_footers_out():
+    text = f"<p>{P1}</p><p>{P2}</p>"
+    assert H.main_text(f"<body><form>{NAV}{text}{NOISE}</form>") == "\n\n".join([P1, P2T])
+    assert H.main_text(f"<body><aside>{text}</aside>{NOISE}") == "\n\n".join([P1, P2T])
+    assert H.main_text(f"<body><div class='sidebar'>{text}</div>{NOISE}") == "\n\n".join([P1, P2T])
+    assert H.main_text(f"<body>{NOISE}{NAV}") == ""
+
+
+def test_lists_and_tables_of_the_article_stay():
+    refs = "<h2>References</h2><ol><li><a href='a'>First source of the story</a><li><a href='b'>Second source</a></ol>"
+    table = "<table><tr><td><a href='c'>A linked cell of the table, quite long</a></td><td>12</td></tr></table>"
+    linked = "<table><tr><td><a href='c'>Only</a></td><td><a href='d'>links</a></td></tr></table>"
+    mixed = "<ul><li><a href='e'>A long linked title of a thing</a>: why<li><a href='f'>Another long linked title</a></ul>"
+    tags = "<ul><li><a href='t'>tag one</a><li><a href='u'>tag two</a></ul>"
+    lone = "<div><a href='g'>The paper</a></div>"
+    got = H.main_text(f"<article><h1>Head line</h1><p>{P1}</p>{table}<p>{P2}</p>{linked}{lone}{mixed}{tags}{refs}</article>")
+    assert got.split("\n\n") == [
+        "Head line", P1, "A linked cell of the table, quite long", "12", P2T, "Only", "links", "The paper",
+        "A long linked title of a thing: why", "Another long linked title", "References", "First source of the story", "Second source",
+    ]
+
+
+@pytest.mark.parametrize("depth", [10, 399, 400, 401, 3000])
+def test_deep_menus_stay_out(depth):
+    menu = "<nav><ul><li>Deep menu entry one<li>Deep menu entry two</ul></nav>"
+    page = "<body>" + "<div>" * depth + f"<h1>Head line</h1><p>{P1}</p>{menu}<div class='comments'><div><p>{P1}</p></div></div><p>{P2}</p>" + "</div>" * depth
+    assert H.main_text(page) == STORY

@@ -1,7 +1,13 @@
 """HTML extraction by tree scoring: paragraphs give points to their ancestors, the best container and siblings stay.
 
-Tags, roles and hidden or style attributes that say so remove a block outright. A class or id does so only if a whole
-token of it names boilerplate, and the block does not hold far more text than all blocks without such a name.
+Tags, roles and hidden or style attributes that say so remove a block outright. A class or id does so if a whole token of
+it names boilerplate; how much text a block holds does not matter. Two things are wrappers instead, if the page is built
+so: a form around an ``article``, ``main`` or a head line (``h1``) with a paragraph, and, on a page without an ``article``
+or ``main`` and without a head line elsewhere, a named block around the head line and a paragraph. Readers' comments,
+adverts, cookie and sign-up notices, copyright lines and footers are never wrappers.
+
+If nothing is left of a page, a second look also takes asides, headers, dialogs, forms and blocks of other names, but still
+none of those that are never wrappers.
 """
 
 from __future__ import annotations
@@ -9,7 +15,6 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
-from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,8 +54,11 @@ _CLOSES = {
     "option": (frozenset(["option"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
-_DROP = frozenset("head nav footer aside form button dialog menu fieldset option".split())
+_DROP = frozenset("head nav footer aside button dialog menu fieldset option".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+#: What also the second look leaves out.
+_DROP_SOFT = frozenset("head nav footer button menu option".split())
+_ROLES_SOFT = frozenset("navigation contentinfo search alert alertdialog menu menubar toolbar".split())
 #: Words of class and id names of boilerplate. A token names boilerplate if it has one of them and else only _FILLER.
 _BOILER = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored sponsors promo promos promotion sidebar sidebars sidenav "
@@ -72,9 +80,14 @@ _TOPICS = frozenset(
     "ad alert alerts copyright disclaimer discussion feedback foot hidden menu menus navigation newsletter notice notices notification notifications "
     "overlay promotion recommended recommendations register related replies reply search share sharing social sponsors subscription widget widgets".split()
 )
-_READERS = frozenset("comment comments commentlist disqus discussion replies reply respond".split())
-#: A block named boilerplate stays only if it has over so many times the text of the blocks that are not; more for readers' words.
-OUTWEIGH, OUTWEIGH_READERS = 4, 40
+#: Boilerplate words whose blocks never are wrappers of an article: readers' words, adverts, consent and sign-up, page feet.
+_NEVER = frozenset(
+    "comment comments commentlist disqus discussion replies reply respond feedback "
+    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promo promos promotion outbrain taboola "
+    "cookie cookies consent gdpr newsletter subscribe subscription signup signin login register copyright footer foot footnav disclaimer".split()
+)
+#: Kinds of blocks that are decided on when the page is known: of another name, never to be kept, a form.
+NAMED, NEVER, FORM = 1, 2, 3
 _SAFE = frozenset(["html", "body", "article", "main"])
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -82,7 +95,7 @@ _BASE = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 5.0, "pre": 3.0,
 _CONTAINER = frozenset("article main div section body td center html blockquote figure details".split())
 
 
-#: Blocks nested deeper than this become siblings.
+#: Levels of ancestors that a text gives points to; the weight of the last one is a thousandth.
 DEPTH = 400
 
 
@@ -91,7 +104,7 @@ class Node:
     tag: str
     parent: int
     drop: bool
-    named: int = 0  #: see _named()
+    named: int = 0  #: NAMED, NEVER or FORM; see _named()
     runs: list = field(default_factory=list)
     kids: int = 0
     score: float = 0.0
@@ -106,9 +119,9 @@ def _attributes(attrs: str) -> dict[str, str]:
     return out
 
 
-def _removed(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+def _removed(tag: str, attrs: dict[str, str], in_article: bool, soft: bool) -> bool:
     """Does the element's tag, role, style or hidden attribute say that it is no part of an article?"""
-    if tag in _DROP or tag == "header" and not in_article:
+    if tag in (_DROP_SOFT if soft else _DROP) or tag == "header" and not in_article and not soft:
         return True
     if tag in _SAFE:
         return False
@@ -116,12 +129,12 @@ def _removed(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
         "hidden" in attrs
         or attrs.get("aria-hidden", "").strip().lower() == "true"
         or _HIDING.search(attrs.get("style", "")) is not None
-        or attrs.get("role", "").strip().lower() in _ROLES
+        or attrs.get("role", "").strip().lower() in (_ROLES_SOFT if soft else _ROLES)
     )
 
 
 def _named(tag: str, attrs: dict[str, str], in_article: bool) -> int:
-    """How many times the other text a block must outweigh to stay, by its class and id: 0 if they do not name boilerplate.
+    """NEVER, NAMED or 0 by the class and id of a block: do they name boilerplate, and which?
 
     Headings are never named, and sections not by an id inside an article, nor elsewhere by an id that can be a title.
     """
@@ -142,7 +155,7 @@ def _named(tag: str, attrs: dict[str, str], in_article: bool) -> int:
             continue
         if token == "hidden" and any(":" in c for c in classes):  # shown at some widths
             continue
-        out = max(out, OUTWEIGH_READERS if not _READERS.isdisjoint(signs) else OUTWEIGH)
+        out = max(out, NAMED if _NEVER.isdisjoint(signs) else NEVER)
     return out
 
 
@@ -167,11 +180,12 @@ def _ends(page: str, tag: str) -> dict[int, int]:
 def parse(page: str, soft: bool = False) -> Page:
     """Blocks of a page. Raw elements, comments and markup vanish; white space in a block becomes one space.
 
-    ``soft`` keeps what tags, roles, classes and ids call boilerplate.
+    ``soft`` is the second look at a page of which nothing was left.
     """
     nodes = [Node("html", -1, False)]
     runs: list[tuple[int, str, int]] = []
     stack = [0]
+    opened = {"html": 1}  # open blocks by tag
     articles = 0
     pieces: list[str] = []
     link_at = -1  # stack depth at which the open link began
@@ -195,7 +209,9 @@ def parse(page: str, soft: bool = False) -> Page:
     def close(depth: int) -> None:
         nonlocal link_at, articles
         while len(stack) > depth:
-            if nodes[stack.pop()].tag in ("article", "main"):
+            tag = nodes[stack.pop()].tag
+            opened[tag] -= 1
+            if tag in ("article", "main"):
                 articles -= 1
         if link_at > len(stack):
             link_at = -1
@@ -242,66 +258,81 @@ def parse(page: str, soft: bool = False) -> Page:
             continue
         flush()
         if m["end"]:
+            if not opened.get(tag):
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if nodes[stack[depth]].tag == tag:
                     close(depth)
                     break
             continue
-        if tag in ("html", "body") and any(nodes[i].tag == tag for i in stack[1 if tag == "html" else 0 :]):
+        if tag in ("html", "body") and opened.get(tag, 0) > (tag == "html"):
             continue
+        shut, bound = _CLOSES.get(tag, (frozenset(), frozenset()))
+        if not any(opened.get(t) for t in shut):
+            shut = frozenset()
         for depth in range(len(stack) - 1, 0, -1):
             open_tag = nodes[stack[depth]].tag
-            shut, bound = _CLOSES.get(tag, (frozenset(), frozenset()))
             if open_tag in ("p", "option") or open_tag in shut or open_tag in _HEADING and tag in _HEADING:
                 close(depth)
                 if open_tag in shut:
                     break
             elif open_tag in bound or not shut:
                 break
-        if len(stack) > DEPTH:
-            close(DEPTH)
         parent = stack[-1]
         drop, named = nodes[parent].drop, 0
-        if not drop and not soft:
+        if not drop:
             attrs = _attributes(m["attrs"])
-            drop = _removed(tag, attrs, articles > 0)
+            drop = _removed(tag, attrs, articles > 0, soft)
             named = 0 if drop else _named(tag, attrs, articles > 0)
+            if tag == "form":
+                named = max(named, FORM) if named != NEVER else NEVER
+            if soft and named != NEVER:
+                named = 0
         nodes.append(Node(tag, parent, drop, named))
         nodes[parent].kids += 1
         stack.append(len(nodes) - 1)
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in ("article", "main"):
             articles += 1
     flush()
     return _without_named(Page(nodes, runs))
 
 
-def _without_named(page: Page) -> Page:
-    """Drop the blocks named boilerplate, the heaviest first, unless they outweigh all text outside such blocks."""
+def _signs(page: Page) -> tuple[dict[int, list], dict[int, int]]:
+    """What each undecided block holds outside such blocks in it (-1: what lies in none), and the undecided block around it.
+
+    The greatest number of an ``article`` or ``main`` around a text (it lies in the block if it is greater than the
+    block's), whether there is an ``h1``, and whether there is text of a block that is neither a heading nor a link.
+    """
     nodes = page.nodes
-    if not any(x.named for x in nodes):
-        return page
-    inner = [-1] * len(nodes)  # nearest named block, itself included
+    inner, story = [-1] * len(nodes), [-1] * len(nodes)
+    out: dict[int, list] = {-1: [-1, False, False]}
+    above = {}
     for i, x in enumerate(nodes):
-        inner[i] = i if x.named else inner[x.parent] if x.parent >= 0 else -1
-    above = {i: inner[x.parent] for i, x in enumerate(nodes) if x.named}
-    own = dict.fromkeys([-1, *above], 0)
+        around = inner[x.parent] if x.parent >= 0 else -1
+        inner[i] = i if x.named else around
+        story[i] = i if x.tag in ("article", "main") else story[x.parent] if x.parent >= 0 else -1
+        if x.named:
+            out[i], above[i] = [-1, False, False], around
     for at, text, linked in page.runs:
-        own[inner[at]] += len(text) - linked
-    whole = dict(own)
-    within: dict[int, list[int]] = {}
-    for i in reversed(above):  # a block comes after those around it
-        if above[i] >= 0:
-            whole[above[i]] += whole[i]
-        within.setdefault(above[i], []).append(i)
-    rest = own[-1]
-    open_blocks = [(-whole[i] / nodes[i].named, i) for i in within[-1]]
-    heapify(open_blocks)
-    while open_blocks and -open_blocks[0][0] > rest:
-        i = heappop(open_blocks)[1]
-        nodes[i].named = 0
-        rest += own[i]
-        for j in within.get(i, ()):
-            heappush(open_blocks, (-whole[j] / nodes[j].named, j))
+        signs, tag = out[inner[at]], nodes[at].tag
+        signs[0] = max(signs[0], story[at])
+        signs[1] |= tag == "h1"
+        signs[2] |= tag not in _HEADING and linked < len(text)
+    return out, above
+
+
+def _without_named(page: Page) -> Page:
+    """Decide on forms and named blocks (see the module's docstring), from the inside out, and drop those that go."""
+    nodes = page.nodes
+    for kind in (FORM, NAMED):
+        signs, above = _signs(page)
+        for i in sorted((i for i in above if nodes[i].named == kind), reverse=True):
+            story, head, text = signs[i]
+            if story > i or head and text if kind == FORM else head and text and signs[-1][0] < 0 and not signs[-1][1]:
+                nodes[i].named = 0  # a wrapper: what it holds lies in the block around it
+                to = signs[above[i]]
+                to[0], to[1], to[2] = max(to[0], story), to[1] or head, to[2] or text
     for x in nodes:
         x.drop = x.drop or x.named > 0 or x.parent >= 0 and nodes[x.parent].drop
     return Page(nodes, [r for r in page.runs if not nodes[r[0]].drop])
@@ -313,19 +344,20 @@ def score(page: Page) -> None:
     nodes = page.nodes
     for at, text, linked in page.runs:
         size = len(text)
-        up = at
-        while up >= 0:
-            nodes[up].chars += size
-            nodes[up].links += linked
-            up = nodes[up].parent
+        nodes[at].chars += size
+        nodes[at].links += linked
         points = (size >= 25) + min(size / 100, 3.0) + min(text.count(",") + text.count("，"), size / 20)
         points *= 1 - linked / size
         to = at if nodes[at].tag in _CONTAINER else nodes[at].parent
         level = 0
-        while to >= 0:
+        while to >= 0 and level < DEPTH:
             nodes[to].score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             to = nodes[to].parent
             level += 1
+    for node in reversed(nodes):  # a block comes after those around it
+        if node.parent >= 0:
+            nodes[node.parent].chars += node.chars
+            nodes[node.parent].links += node.links
     for node in nodes:
         if node.chars:
             node.score = (node.score + _BASE.get(node.tag, 0.0)) * (1 - node.links / node.chars)
@@ -358,15 +390,45 @@ def main_text(page: str, soft: bool = False) -> str:
             keep.add(i)
         elif x.tag == "p" and (x.chars > 80 and density < 0.25 or x.links == 0 and x.chars > 20 and nodes[best].tag != "article"):
             keep.add(i)
+    linked = _link_boxes(tree)
     inside = [False] * len(nodes)
     for i, x in enumerate(nodes):
-        above = x.parent >= 0 and inside[x.parent]
-        # lists and boxes inside that are mostly links lead elsewhere
-        linky = above and x.chars and x.links > 0.5 * x.chars and x.tag in ("ul", "ol", "div", "section", "table", "dl")
-        inside[i] = i in keep or above and not linky
+        inside[i] = i in keep or x.parent >= 0 and inside[x.parent] and i not in linked
     return "\n\n".join(text for at, text, _ in tree.runs if inside[at])
 
 
+def _link_boxes(page: Page) -> set[int]:
+    """Lists and boxes of nothing but links that stand under no heading: they lead elsewhere.
+
+    A list or box stays if any of its text is no link, if it holds a heading, or if the text in front of it is one (a list
+    of references, say); a table and a box with a single link always stay.
+    """
+    nodes = page.nodes
+    count, mixed, headed = [0] * len(nodes), [False] * len(nodes), [False] * len(nodes)
+    after_heading = set()  # blocks whose first text follows a heading
+    seen = [False] * len(nodes)
+    before = False
+    for at, text, linked in page.runs:
+        heading = nodes[at].tag in _HEADING
+        up = at
+        count[at] += 1
+        mixed[at] |= linked < len(text)
+        headed[at] |= heading
+        while up >= 0 and not seen[up]:
+            seen[up] = True
+            if before:
+                after_heading.add(up)
+            up = nodes[up].parent
+        before = heading
+    for i in range(len(nodes) - 1, 0, -1):
+        up = nodes[i].parent
+        count[up] += count[i]
+        mixed[up] |= mixed[i]
+        headed[up] |= headed[i]
+    boxes = ("ul", "ol", "div", "section", "dl")
+    return {i for i, x in enumerate(nodes) if x.tag in boxes and count[i] > 1 and not mixed[i] and not headed[i] and i not in after_heading}
+
+
 def extractor():
     """Arrow UDF: UTF-8 bytes of a page -> its main text."""
 
