@@ -72,3 +72,20 @@ def test_query_columns(spark):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert B.token_digests(docs.limit(0), PATH).count() == 0
+
+
+def test_two_vocabularies_of_one_base_name(spark, tmp_path):
+    import base64
+
+    from tracelake.llm.token_counts import token_counts
+
+    paths = []
+    for folder, extra in (("a", []), ("b", [b"ab", b"abab"])):
+        ranks = [bytes([b]) for b in range(256)] + extra
+        (tmp_path / folder).mkdir()
+        paths.append(tmp_path / folder / "own.tiktoken")
+        paths[-1].write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(ranks)))
+    docs = spark.createDataFrame([(1, "ababab")], "doc_id long, text string")
+    for _ in range(2):
+        assert [B.encode_decode(docs, str(p)).first().n_tokens for p in paths] == [6, 2]
+        assert [token_counts(docs, str(p)).first().n_tokens for p in paths] == [6, 2]

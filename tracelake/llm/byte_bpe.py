@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import as_bytes, byte_slices, ship
+from tracelake.llm.common import as_bytes, byte_slices, ship, ship_file, shipped_file
 
 #: The split pattern of the rank files (fixed value, equal to public_tokenizers.PATTERN).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -171,17 +170,15 @@ def _merger(path: str) -> Merger:
     return Merger(read_ranks(path))
 
 
-def worker_merger(path: str) -> Merger:
-    """The worker's encoder for a vocabulary: shipped with the job by ``addFile``, read once per worker."""
-    from pyspark import SparkFiles
+def worker_merger(name: str) -> Merger:
+    """The worker's encoder for a vocabulary that was sent under ``name`` (``common.ship_file``), read once per worker."""
+    return _merger(shipped_file(name))
 
-    return _merger(SparkFiles.get(os.path.basename(path)))
 
-
-def _ship_vocabulary(spark, path: str) -> None:
+def ship_vocabulary(spark: SparkSession, path: str) -> str:
+    """Send a rank file to the executors under a name made from its content; returns the name."""
     ship(spark)
-    if path not in spark.sparkContext.listFiles and not any(f.endswith("/" + os.path.basename(path)) for f in spark.sparkContext.listFiles):
-        spark.sparkContext.addFile(path)
+    return ship_file(spark, path)
 
 
 _RESULT = "struct<n_tokens:bigint,ids:array<int>,decoded:binary>"
@@ -194,11 +191,11 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     ``path`` is a rank file on the driver. Null text counts as empty. Bytes that are no UTF-8 become U+FFFD before
     encoding, as a tokenizer of strings would get them. No special tokens: their strings are ordinary text.
     """
-    _ship_vocabulary(docs.sparkSession, path)
+    name = ship_vocabulary(docs.sparkSession, path)
 
     @F.arrow_udf(_RESULT)
     def run(text: pa.Array) -> pa.Array:
-        m, rows = worker_merger(path), []
+        m, rows = worker_merger(name), []
         for part in byte_slices(text):
             for t in part.to_pylist():
                 ids = m.encode(t.decode("utf-8", "replace"))
@@ -212,11 +209,11 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row: ``encode_decode`` with the digests made beside the ids,
     so that neither ids nor texts travel back (ids as decimals joined by commas)."""
-    _ship_vocabulary(docs.sparkSession, path)
+    name = ship_vocabulary(docs.sparkSession, path)
 
     @F.arrow_udf(_DIGEST)
     def run(text: pa.Array) -> pa.Array:
-        m, rows = worker_merger(path), []
+        m, rows = worker_merger(name), []
         sha = hashlib.sha256
         for part in byte_slices(text):
             for t in part.to_pylist():

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import math
-import os
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.byte_bpe import _ship_vocabulary, read_ranks, split_text
-from tracelake.llm.common import as_bytes, byte_slices
+from tracelake.llm.byte_bpe import read_ranks, ship_vocabulary, split_text
+from tracelake.llm.common import as_bytes, byte_slices, shipped_file
 
 #: Nodes of a worker's trie, after which it begins a new one; pre-tokens remembered beside it.
 NODES = 400_000
@@ -105,11 +103,11 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     log probability, by Zipf's law over the ranks (every byte is a token, so there always is one). Null text counts as
     empty: no tokens, log probability zero. Rows are independent: no shuffle; the trie of a worker is bounded.
     """
-    _ship_vocabulary(docs.sparkSession, path)
+    name = ship_vocabulary(docs.sparkSession, path)
 
     @F.arrow_udf("struct<n_pretokens:bigint,n_tokens:bigint,log_prob:double>")
     def run(text: pa.Array) -> pa.Array:
-        c, rows = _counter(SparkFiles.get(os.path.basename(path))), []
+        c, rows = _counter(shipped_file(name)), []
         for part in byte_slices(text):
             for t in part.to_pylist():
                 n, tokens, score = c.text(t.decode("utf-8", "replace"))
