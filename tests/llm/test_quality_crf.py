@@ -64,3 +64,36 @@ def test_edge_rows_and_labels(spark):
         kept = Q.keep_good(docs, model)
         assert kept.columns == docs.columns and kept.count() == 5
     assert Q.quality(docs.limit(0), model).count() == 0
+
+
+def test_long_documents_are_learned_from_and_the_sample_is_bounded(spark):
+    good = "\n".join(f"This is a plain sentence, number {i}, and it ends here." for i in range(3000))
+    bad = "\n".join(f"$$$ BUY NOW!!! {i} ### CLICK!!!" for i in range(3000))
+    docs = spark.createDataFrame([(i, (good, bad)[i % 2]) for i in range(6)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(6)], "doc_id bigint, quality int")
+    scores = {r.doc_id: r.score for r in Q.quality(docs, Q.train(docs, labels)).collect()}
+    assert all(scores[i] > 0.9 if i % 2 == 0 else scores[i] < 0.1 for i in range(6))
+    spans = {Q.line_span(good.encode(), h, 250).count(b"\n") + 1 for h in range(-5000, 5000, 7)}
+    assert spans == {250} and Q.line_span(b"a\nb", 3, 2) == b"a\nb"
+    many = docs.limit(2).crossJoin(spark.range(3000)).select("doc_id", docs.text.substr(1, 300).alias("text"))
+    Q.train(many, labels, sample_docs=10)  # rows of one id count, too
+
+
+def test_scores_equal_a_plain_version(spark):
+    """Forward-backward in plain Python over the model's own emissions, line by line."""
+    texts = ["", "One line.", "A\n\nB!! $$\nThe third line, it has words.\n", "x\n" * 40]
+    rng = np.random.default_rng(3)
+    crf = Q.Crf(rng.normal(size=3 * Q.WIDTH + 3), rng.normal(size=(2, 2)))
+    for text, got in zip(texts, Q.score_texts(crf, [t.encode() for t in texts]), strict=True):
+        lines = Q.line_features([text.encode()])
+        emit = Q.with_neighbours(lines) @ crf.weights
+        n = len(emit)
+        alpha, beta = [[0.0, emit[0]]], [[0.0, 0.0]]
+        for i in range(1, n):
+            alpha.append([np.logaddexp(*(alpha[-1][a] + crf.trans[a, b] for a in (0, 1))) + b * emit[i] for b in (0, 1)])
+        for i in range(n - 1, 0, -1):
+            beta.insert(0, [np.logaddexp(*(crf.trans[a, b] + b * emit[i] + beta[0][b] for b in (0, 1))) for a in (0, 1)])
+        p = [np.exp(x[1] + y[1] - np.logaddexp(x[0] + y[0], x[1] + y[1])) for x, y in zip(alpha, beta, strict=True)]
+        sizes = [len(line) for line in text.encode().split(b"\n")]
+        weights = sizes if sum(sizes) else [1] * n
+        assert np.isclose(got, np.average(p, weights=weights))
