@@ -100,3 +100,23 @@ def test_tables_find_made_pairs(mean_cosine, dims, counted):
     for a, b in I.made_pairs(offset_pairs(1500, dims, mean_cosine, seed=5)[:1500], np.random.default_rng(1)):
         d = I._POP16[coder.codes(a) ^ coder.codes(b)]
         assert ((d <= 1).any(1) & (d[:, :4].sum(1) <= coder.radius)).mean() >= 0.96
+
+
+def test_every_length_links_with_its_own(spark):
+    rng = np.random.default_rng(8)
+    rows, at = [], 0
+    for dims in (3, 2, 16, 64):
+        for _ in range(12):
+            v = rng.normal(size=dims)
+            for w in (v, v * 2, v + 0.01 * rng.normal(size=dims)):
+                rows.append((at, w.tolist()))
+                at += 1
+    rows += [(9000, [1.0] * 5), (9001, []), (9002, None), (9003, [0.0, 0.0]), (9004, [1.0, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in I.near_dedup(df).collect()}
+    for i, v in rows[:-5]:
+        same = [j for j, w in rows[:-5] if len(w) == len(v) and j != i and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.95]
+        assert got[i][0] == len(same)
+    assert all(got[i] == (0, i, True) for i in range(9000, 9005)) and len(got) == len(rows)
+    only = {r.vec_id: r.n_links for r in I.near_dedup(df, dims=16).collect()}
+    assert sum(n > 0 for n in only.values()) >= 36 and not any(only[i] for i, v in rows if v is None or len(v) != 16)

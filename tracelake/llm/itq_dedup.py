@@ -357,25 +357,37 @@ def _rerank(tables: int, radius: int):
 def near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", dims: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row; links are pairs found with cosine of 0.95 or more in doubles.
 
-    Vectors that are null, zero, hold null or non-finite components, or have another number of components than
-    ``dims`` (default: the most frequent) link with nothing: no links, own component. Equal vectors are one node with a
-    count. ``component_id`` is the smallest id reachable, itself included. Only links, never pairs, leave a cell: a
-    count per vector and a forest, so a group of any size costs rows in proportion to its members and to the square of
-    its members in matrix products, which are dealt out in cells of at most about CELL x CELL.
+    Vectors that are null, zero, or hold null or non-finite components link with nothing: no links, own component. So do,
+    if ``dims`` is given, vectors of another number of components. Without it every length is an index of its own, as
+    vectors of different lengths have no cosine. Equal vectors are one node with a count. ``component_id`` is the smallest
+    id reachable, itself included. Only links, never pairs, leave a cell: a count per vector and a forest, so a group of
+    any size costs rows in proportion to its members and to the square of its members in matrix products, which are dealt
+    out in cells of at most about CELL x CELL.
     """
-    spark = vectors.sparkSession
-    ship(spark)
+    ship(vectors.sparkSession)
     src = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v"))
+    size = F.when(F.col("v").isNotNull(), F.size("v"))
+    sizes = [dims]
     if dims is None:
-        top = src.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-        dims = top["d"] if top else 1
+        sizes = [r["d"] for r in src.groupBy(size.alias("d")).count().where("d > 0 AND count > 1").orderBy("d").collect()]  # one row per length
+    found = [_near_dedup(src.where(size == d), d) for d in sizes]
+    rest = src.where(~F.coalesce(size.isin(sizes), F.lit(False))) if sizes else src
+    found.append(rest.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _near_dedup(src: DataFrame, dims: int) -> DataFrame:
+    """(vec_id, n_links, component_id) of vectors of ``dims`` components."""
     kind = src.schema["vec_id"].dataType.simpleString()
     rows = stored(src.mapInArrow(_prepare(dims), f"vec_id {kind}, key binary, vec binary"), "units")
     ok = rows.where("key is not null")
-    picked = ok.select("vec_id", "vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").toArrow()
-    coder = learn(_matrix(picked.column(0).combine_chunks()) if picked.num_rows else np.zeros((0, dims)))
     groups = ok.groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
     reps = stored(groups.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    picked = reps.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).toArrow()  # of distinct vectors
+    coder = learn(_matrix(picked.column(0).combine_chunks()) if picked.num_rows else np.zeros((0, dims)))
     codes = stored(reps.select("node", "vec").mapInArrow(_code_rows(coder), "node bigint, code binary"), "codes")
 
     order = ["bucket", "cell", "role"]
@@ -394,4 +406,4 @@ def near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     of_key = named.join(lowest, "root").select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = ok.select("vec_id", "key").join(stored(of_key, "vector-links"), "key").select("vec_id", "n_links", "component_id")
     alone = rows.where("key is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return linked.unionByName(alone)
