@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tracelake.operators.logparse import parse_log_lines
 from tracelake.operators.payload import as_topic_messages, decode, encode
 from tracelake.operators.quality import validate
+from tracelake.operators.ranges import merge_ranges, ranges_of
 from tracelake.operators.sinks import append, ensure_table, overwrite_partition, publish, write_topic_table
 from tracelake.schemas import LOG_FIELDS
 from tracelake.session import path_exists, staged
@@ -36,6 +37,8 @@ class TopicSink:
     path: str | None = None
     partitions: int = 1
     options: dict = field(default_factory=dict)
+    # names the append to a topic table, so that a job that is repeated does not send its rows twice
+    append_id: str | None = None
 
     def check(self) -> None:
         if not self.topic or not (self.brokers or self.path):
@@ -43,7 +46,7 @@ class TopicSink:
 
     def send(self, messages: DataFrame) -> None:
         if self.path:
-            write_topic_table(as_topic_messages(messages, self.topic, self.partitions), self.path)
+            write_topic_table(as_topic_messages(messages, self.topic, self.partitions), self.path, append_id=self.append_id)
         else:
             publish(messages, self.topic, self.brokers, self.options)
 
@@ -179,6 +182,8 @@ def delete_with_log(
 
 # Offsets loaded by batch loads: a plan is recorded before a load, the same rows with done = true after it.
 LEDGER = "seq long, ingest string, topic string, partition int, first long, last long, done boolean"
+# Ranges that are broadcast to the topic scan; more are joined by shuffle.
+MAX_RANGES = 100_000
 
 
 def _ledger(spark: SparkSession, target: IngestTarget) -> tuple[DataFrame, str]:
@@ -189,38 +194,46 @@ def _ledger(spark: SparkSession, target: IngestTarget) -> tuple[DataFrame, str]:
     return spark.table(name), name
 
 
+def _few(ranges: DataFrame) -> DataFrame:
+    return F.broadcast(ranges) if ranges.limit(MAX_RANGES + 1).count() <= MAX_RANGES else ranges
+
+
 def topic_to_table_incremental(spark: SparkSession, topic_path: str | None, target: IngestTarget, **kafka) -> int:
     """Batch load of only the messages not loaded yet, without a streaming checkpoint; one loader at a time.
 
-    A small ledger beside the table says which offset ranges each load took (one row per topic partition and load); the
-    landing table is not read. A load first records its plan, then overwrites its own ingest partition, then records
-    that it is done: a load that broke off is repeated with the same ranges into the same partition before anything
-    new is planned. Ranges (at most one row per topic partition) are broadcast to the topic scan. Returns the number
-    of rows landed.
+    A small ledger beside the table says which offset ranges each load took (one row per unbroken range and load); the
+    landing table is not read. What is new is what lies in none of these ranges, so a message that turns up below
+    offsets already loaded is loaded, too, and a gap is never taken for loaded. A load first records its plan, then
+    overwrites its own ingest partition, then records that it is done: a load that broke off is repeated with the same
+    ranges into the same partition before anything new is planned. Returns the number of rows landed.
     """
     ensure_log_tables(spark, target)
     messages = read_topic(spark, path=topic_path, **kafka)
+    key = ["topic", "partition"]
     landed = 0
     while True:
         ledger, name = _ledger(spark, target)
+        ledger = staged(ledger, "ledger")  # the load appends to it
         done = ledger.where("done").select("seq").distinct()
-        plan = [tuple(r)[:6] for r in ledger.where("not done").join(done, "seq", "left_anti").select("seq", "ingest", "topic", "partition", "first", "last").collect()]
-        repeated = bool(plan)
+        plan = ledger.where("not done").join(done, "seq", "left_anti")
+        repeated = not plan.isEmpty()
         if not repeated:
-            ends = ledger.groupBy("topic", "partition").agg(F.max("last").alias("_done"))
-            new = messages.groupBy("topic", "partition").agg(F.max("offset").alias("last")).join(F.broadcast(ends), ["topic", "partition"], "left")
-            new = new.select("topic", "partition", (F.coalesce("_done", F.lit(-1)) + 1).alias("first"), "last").where("last >= first").collect()
-            if not new:
+            loaded = _few(merge_ranges(ledger.where("done").select(*key, "first", "last"), key))
+            within = [messages[k].eqNullSafe(loaded[k]) for k in key] + [messages["offset"].between(loaded["first"], loaded["last"])]
+            found = staged(ranges_of(messages.select(*key, "offset").join(loaded, within, "left_anti"), key, "offset"), "ranges")
+            if found.isEmpty():
                 return landed
             seq = (ledger.agg(F.max("seq")).first()[0] or 0) + 1
             ingest = f"{target.ingest}-batch-{uuid.uuid4().hex[:8]}"
-            plan = [(seq, ingest, *r) for r in new]
-            append(spark.createDataFrame([(*p, False) for p in plan], LEDGER), name, is_path=target.is_path)
-        ranges = spark.createDataFrame([p[2:] for p in plan], "topic string, partition int, first long, last long")
-        taken = messages.join(F.broadcast(ranges), ["topic", "partition"]).where(F.col("offset").between(F.col("first"), F.col("last")))
-        rows, obs = _counter(landing_rows(decode(taken.drop("first", "last"))), "landed", rows=F.count(F.lit(1)))
-        overwrite_partition(rows, target.table, {"ingest": plan[0][1], "batch_id": 0}, is_path=target.is_path)
+            plan = found.select(F.lit(seq).cast("bigint").alias("seq"), F.lit(ingest).alias("ingest"), *key, "first", "last", F.lit(False).alias("done"))
+            append(plan, name, is_path=target.is_path, required=())
+        ingest = plan.first()["ingest"]
+        ranges = _few(plan.select(*key, "first", "last"))
+        within = [messages[k].eqNullSafe(ranges[k]) for k in key] + [messages["offset"].between(ranges["first"], ranges["last"])]
+        taken = messages.join(ranges, within, "left_semi")
+        rows, obs = _counter(landing_rows(decode(taken)), "landed", rows=F.count(F.lit(1)))
+        overwrite_partition(rows, target.table, {"ingest": ingest, "batch_id": 0}, is_path=target.is_path)
         landed += int(obs.get.get("rows", 0))
-        append(spark.createDataFrame([(*p, True) for p in plan], LEDGER), name, is_path=target.is_path)
+        append(plan.withColumn("done", F.lit(True)), name, is_path=target.is_path, required=())
         if not repeated:
             return landed

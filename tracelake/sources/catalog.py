@@ -26,22 +26,36 @@ def current_schema(spark: SparkSession) -> str:
     return spark.catalog.currentDatabase()
 
 
-def _length_scale(dt: T.DataType) -> tuple[int | None, int | None]:
+#: Where Spark keeps the declared type of a CHAR or VARCHAR column, whose values it handles as STRING.
+_DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
+
+
+def _type(f: T.StructField) -> tuple[str, int | None, int | None]:
+    """Declared type name, length (or precision) and scale of a column."""
+    declared = f.metadata.get(_DECLARED)
+    if declared:
+        return declared.upper(), int(declared.rstrip(")").rsplit("(", 1)[1]), None
+    dt = f.dataType
     if isinstance(dt, T.DecimalType):
-        return dt.precision, dt.scale
+        return dt.simpleString().upper(), dt.precision, dt.scale
     if isinstance(dt, (T.VarcharType, T.CharType)):
-        return dt.length, None
-    return None, None
+        return dt.simpleString().upper(), dt.length, None
+    return dt.simpleString().upper(), None, None
 
 
 def columns_of(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """Column metadata ``(column_name, data_type_name, length, scale, position, is_nullable)`` ordered by position.
 
-    ``source`` is a table name or a DataFrame; only the schema is read (no data).
+    ``source`` is a table name or a DataFrame; only the schema is read (no data). Of a table the declared types count
+    (VARCHAR(n), CHAR(n)), and columns that writes to it require (``sinks.required_columns``) are not nullable.
     """
-    schema = spark.table(source).schema if isinstance(source, str) else source.schema
+    from tracelake.operators.sinks import required_columns
+
+    schema, required = source, ()
+    if isinstance(source, str):
+        schema, required = spark.table(source), set(required_columns(spark, source))
     rows = []
-    for i, f in enumerate(schema.fields, start=1):
-        length, scale = _length_scale(f.dataType)
-        rows.append((f.name, f.dataType.simpleString().upper(), length, scale, i, f.nullable))
+    for i, f in enumerate(schema.schema.fields, start=1):
+        name, length, scale = _type(f)
+        rows.append((f.name, name, length, scale, i, f.nullable and f.name not in required))
     return spark.createDataFrame(rows, COLUMNS)
