@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.session import staged
 
@@ -144,6 +145,34 @@ def page(df: DataFrame, order_by: Sequence[Column | str], n: int, offset: int =
     return ordered.limit(n)
 
 
+def deep_page(df: DataFrame, order_by: Sequence[Column | str], n: int, offset: int = 0) -> DataFrame:
+    """``page`` for any offset: only the rows around the page are sorted, and no task gets the rows before it.
+
+    Rows are dealt by ranges of the order (further columns and the place in the scan part equal ones, so a value that many
+    rows share spans ranges) and staged once; ranges are counted, those before the page are skipped whole by their
+    number, and the one or few that hold the page are sorted. Rows that are equal in ``order_by`` are told apart by the
+    other columns.
+    """
+    ties = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [*order_by, *ties, "_place"]
+    dealt = df.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(*order)
+    rows = staged(dealt.withColumn("_range", F.spark_partition_id()), "page")
+    counts = sorted(tuple(r) for r in rows.groupBy("_range").agg(F.count("*")).collect())  # one row per range
+    first = last = None
+    before = skipped = 0
+    for number, count in counts:
+        if before + count > offset and before < offset + n:
+            if first is None:
+                first, skipped = number, before
+            last = number
+        before += count
+    if first is None:
+        return df.limit(0)
+    held = rows.where(F.col("_range").between(first, last)).orderBy(*order)
+    rest = offset - skipped
+    return (held.offset(rest) if rest else held).limit(n).select(*df.columns)
+
+
 def top(df: DataFrame, order_by: Sequence[Column | str], n: int) -> DataFrame:
     """``SELECT TOP n ... ORDER BY`` -> TakeOrderedAndProject (per-partition top-n, then merge)."""
     return df.orderBy(*order_by).limit(n)

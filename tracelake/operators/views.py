@@ -66,3 +66,21 @@ def create_user_views(users: DataFrame, roles: DataFrame, *, prefix: str = "v_")
     for name, df in views.items():
         create_view(df, name)
     return list(views)
+
+
+def create_persistent_user_views(spark: SparkSession, users: str, roles: str, *, prefix: str = "v_") -> list[str]:
+    """The handbook's views as catalog views over the tables ``users`` and ``roles``; they outlast the session.
+
+    ``<prefix>users_active`` and ``<prefix>users_with_roles`` are views over ``<prefix>users``: when that is replaced
+    (``create_sql_view(..., temporary=False)``), they read its new text. Returns the names in order of creation.
+    """
+    base = f"{prefix}users"
+    texts = {
+        base: rf"SELECT id, regexp_replace(name, '(?U)^\\s+|\\s+$', '') AS name FROM {users}",
+        f"{prefix}users_active": f"SELECT id, name FROM {base} WHERE name IS NOT NULL",
+        f"{prefix}users_count": f"SELECT count(*) AS n_users FROM {base}",
+        f"{prefix}users_with_roles": f"SELECT u.id, u.name, r.role FROM {base} u LEFT JOIN {roles} r ON r.user_id = u.id",
+    }
+    for name, text in texts.items():
+        create_sql_view(spark, name, text, temporary=False)
+    return list(texts)
