@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from tracelake.cli import main, run
+from tracelake.cli import ingest_label, main, run
 
 from test_logparse import SEVEN
 
@@ -28,10 +28,11 @@ def test_three_jobs_chain(spark, tmp_path):
     assert run(["logs-to-topic", "--log-file", str(f), "--topic-path", topic, "--topic", "logs"]) == {"lines": 7, "rows": 7, "rejected": 0, "messages": 1}
     out = run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"),
                "--checkpoint", str(tmp_path / "chk")])
-    assert out == {"ingest": "chk", "batches": 1, "messages": 1, "rows": 7, "rejected": 0}
+    label = ingest_label(str(tmp_path / "chk"))
+    assert out == {"ingest": label, "batches": 1, "messages": 1, "rows": 7, "rejected": 0}
     again = run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"),
                  "--checkpoint", str(tmp_path / "chk")])
-    assert again == {"ingest": "chk", "batches": 0, "messages": 0, "rows": 0, "rejected": 0}
+    assert again == {"ingest": label, "batches": 0, "messages": 0, "rows": 0, "rejected": 0}
     assert spark.read.parquet(str(tmp_path / "table")).count() == 7
 
     spark.createDataFrame([(" 1", "User1 "), ("2", "User2")], "ID string, NAME string").createOrReplaceTempView("cli_users")
@@ -56,3 +57,14 @@ def test_quarantine_needs_a_place(tmp_path):
 
     with pytest.raises(ValueError, match="--quarantine"):
         run(["topic-to-table", "--topic-path", "t", "--table-path", "p", "--checkpoint", "c", "--on-error", "quarantine"])
+
+
+def test_two_checkpoints_of_one_name_load_side_by_side(spark, tmp_path):
+    for name in ("a", "b"):
+        f = tmp_path / f"{name}.trc"
+        f.write_text(SEVEN)
+        topic = str(tmp_path / name / "topic")
+        run(["logs-to-topic", "--log-file", str(f), "--topic-path", topic, "--topic", "logs"])
+        run(["topic-to-table", "--topic-path", topic, "--table-path", str(tmp_path / "table"), "--checkpoint", str(tmp_path / name / "chk") + "/"])
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 14
+    assert ingest_label("/a/chk") == ingest_label("/a/chk/") != ingest_label("/b/chk")

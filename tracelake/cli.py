@@ -7,6 +7,7 @@ checked before a Spark session is created; any error prints to stderr and exits
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import os
 import sys
@@ -45,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--table", help="catalog table, e.g. logging.log_entries")
     c.add_argument("--table-path", help="Parquet path instead of a catalog table")
     c.add_argument("--checkpoint", required=True)
-    c.add_argument("--ingest", default=None, help="partition label of this checkpoint (default: its last path part)")
+    c.add_argument("--ingest", default=None, help="partition label of this checkpoint (default: made from its path)")
     c.add_argument("--on-error", choices=("fail", "quarantine"), default="fail")
     c.add_argument("--quarantine", help="table or path for rejected messages (quarantine mode)")
     c.add_argument("--max-offsets-per-trigger", type=int, default=1_000_000, help="Kafka messages in one micro-batch")
@@ -108,7 +109,7 @@ def run(argv: Sequence[str] | None = None) -> dict:
     from tracelake.plans.jobs import topic_to_table
     from tracelake.streaming.ingest import IngestTarget
 
-    ingest = args.ingest or args.checkpoint.rstrip("/").rsplit("/", 1)[-1]
+    ingest = args.ingest or ingest_label(args.checkpoint)
     target = IngestTarget(table=args.table_path or args.table, ingest=ingest, is_path=bool(args.table_path),
                           quarantine=args.quarantine, files_per_batch=args.files_per_batch)
     counts = topic_to_table(spark, args.topic_path, target, args.checkpoint, brokers=args.brokers, topic=args.topic,
@@ -118,6 +119,15 @@ def run(argv: Sequence[str] | None = None) -> dict:
     return {"ingest": ingest, **counts}
 
 
+def ingest_label(checkpoint: str) -> str:
+    """Name of a checkpoint's batches in the table: its last path part and a hash of the whole path.
+
+    Two checkpoints of one last part both count their batches from 0; without the hash one would overwrite the other's.
+    """
+    path = checkpoint.rstrip("/")
+    return f"{path.rsplit('/', 1)[-1]}-{hashlib.sha256(path.encode()).hexdigest()[:12]}"
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     try:
         print(json.dumps(run(argv)))
