@@ -16,9 +16,10 @@ def unicode_trim(c: Column | str) -> Column:
 
 
 def parse_unsigned(c: Column | str) -> Column:
-    """Text -> non-negative bigint (outer Unicode white space aside), NULL when it does not parse or is negative."""
-    n = unicode_trim(c).try_cast("bigint")
-    return F.when(n >= 0, n)
+    """Text -> non-negative bigint (outer Unicode white space aside), NULL when it does not parse or has a minus sign."""
+    text = unicode_trim(c)
+    n = text.try_cast("bigint")
+    return F.when((n >= 0) & ~F.startswith(text, F.lit("-")), n)
 
 
 def strict_utf8(c: Column | str) -> Column:

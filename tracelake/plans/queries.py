@@ -8,12 +8,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.functions.logline import TRACE_PATTERN
-from tracelake.functions.text import unicode_trim
+from tracelake.functions.text import lossy_utf8, parse_unsigned, unicode_trim
+from tracelake.operators import stored
+from tracelake.operators.ids import insert_generated
 from tracelake.operators.logparse import log_rejects, parse_log_lines, with_event_time
 from tracelake.operators.payload import as_topic_messages, decode, decode_verdicts, encode, encode_each
 from tracelake.operators.quality import fetch_users, role_rules, update_with_audit, validate
@@ -25,11 +27,22 @@ from tracelake.operators.sinks import (
     create_table_as,
     ensure_table,
     ensure_users_table,
+    note_append,
+    recover_topic_table,
     write_csv,
     write_topic_table,
 )
-from tracelake.operators.tableops import assign_ids, delete, exists, insert, page, top, update, upsert
-from tracelake.operators.views import active_users, create_sql_view, create_user_views, trimmed_users, users_count, users_with_roles
+from tracelake.operators.tableops import assign_ids, deep_page, delete, exists, insert, page, top, update, upsert
+from tracelake.operators.views import (
+    active_users,
+    create_persistent_user_views,
+    create_sql_view,
+    create_user_views,
+    drop_view,
+    trimmed_users,
+    users_count,
+    users_with_roles,
+)
 from tracelake.plans import derive
 from tracelake.plans.jobs import (
     TopicSink,
@@ -637,13 +650,213 @@ def q_users_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("topic_to_table_batches", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
 def q_topic_to_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends to a topic, a batch load after each and one that finds nothing: the ledger keeps loads apart."""
+    """Three appends to a topic, of which the second breaks off half-way, and a load after each.
+
+    The load behind the broken append takes the rows that are there; the third append first carries the broken one
+    through, so rows appear at offsets below loaded ones, and the next load takes these and the new ones. A last load
+    finds nothing.
+    """
     base = scratch_path(spark, "topic-batches")
     target = IngestTarget(table=f"{base}/table", ingest="run", is_path=True)
     messages = _log_messages(spark, sf_dir)
-    for half in (0, 1):
-        part = messages.where(F.col("chunk") % 2 == half)
-        write_topic_table(as_topic_messages(part, "logs", TOPIC_PARTITIONS), f"{base}/topic")
+    for third in (0, 1, 2):
+        part = as_topic_messages(messages.where(F.col("chunk") % 3 == third), "logs", TOPIC_PARTITIONS)
+        if third == 1:
+            noted = note_append(part, f"{base}/topic")
+            if noted:
+                noted[0].where(F.col("offset") % 2 == 1).write.mode("append").parquet(f"{base}/topic")
+        else:
+            write_topic_table(part, f"{base}/topic")
         topic_to_table_incremental(spark, f"{base}/topic", target)
+    recover_topic_table(spark, f"{base}/topic")
     topic_to_table_incremental(spark, f"{base}/topic", target)
     return spark.read.parquet(target.table).select(*LOG_FIELDS)
+
+
+@register("topic_late_offsets", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS}, count(*) OVER () AS landed FROM parsed")
+def q_topic_late_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that arrive out of the order of their offsets: each load takes what lies in no range loaded before."""
+    base = scratch_path(spark, "topic-late")
+    target = IngestTarget(table=f"{base}/table", ingest="run", is_path=True)
+    messages = staged(as_topic_messages(_log_messages(spark, sf_dir), "logs", TOPIC_PARTITIONS), "late")
+    landed = 0
+    for turn in (2, 0, 1):
+        messages.where(F.col("offset") % 3 == turn).write.mode("append").parquet(f"{base}/topic")
+        landed += topic_to_table_incremental(spark, f"{base}/topic", target)
+    landed += topic_to_table_incremental(spark, f"{base}/topic", target)
+    return spark.read.parquet(target.table).select(*LOG_FIELDS, F.lit(landed).cast("bigint").alias("landed"))
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Stored tables: changes that last, keys checked against the table, generated ids, deep pages, persistent views
+# ---------------------------------------------------------------------------------------------------------------
+
+STORED_BUCKETS = 16
+
+
+def _stored_users(spark: SparkSession, sf_dir: str, label: str) -> str:
+    name = f"default.{_new_name(label)}"
+    stored.create(spark, name, USER_ROW, "id", buckets=STORED_BUCKETS, location=scratch_path(spark, label))
+    stored.insert(spark, name, _users(spark, sf_dir))
+    return name
+
+
+@register(
+    "users_stored_changes",
+    f"""WITH {SQL_USERS},
+updated AS (SELECT id, CASE WHEN name LIKE '%5' THEN trim(concat(' ', upper(name), ' ')) ELSE name END AS name FROM users),
+changes AS (
+  SELECT o_custkey + CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE {NEW_ID_BASE} END AS id,
+         concat(CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent-' ELSE 'new-' END, o_orderkey) AS name, o_orderdate, o_orderkey
+  FROM orders),
+latest AS (
+  SELECT id, name FROM (
+    SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM changes)
+  WHERE rn = 1),
+upserted AS (SELECT id, name FROM latest UNION ALL SELECT id, name FROM updated WHERE id NOT IN (SELECT id FROM latest))
+SELECT id, name FROM upserted WHERE name NOT LIKE '%3'""",
+)
+def q_users_stored_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored users table that is updated, upserted and deleted from in turn, then read by its name."""
+    name = _stored_users(spark, sf_dir, "users_stored")
+    renamed = {"name": F.concat(F.lit(" "), F.upper("name"), F.lit(" "))}
+    stored.update(spark, name, renamed, F.col("name").like("%5"), normalise={"name": unicode_trim})
+    stored.upsert(spark, name, _user_changes(spark, sf_dir), order_by=["o_orderdate", "o_orderkey"])
+    stored.delete(spark, name, F.col("name").like("%3"))
+    return spark.table(name)
+
+
+@register(
+    "users_insert_checked",
+    f"""WITH {SQL_USERS},
+batch AS (
+  SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey ELSE {NEW_ID_BASE} + o_orderkey // 2 END AS id,
+         concat('order-', o_orderkey) AS name FROM orders),
+counts AS (SELECT id, count(*) AS n FROM batch GROUP BY id)
+SELECT b.id, b.name, CAST(CASE WHEN c.n > 1 OR b.id IN (SELECT id FROM users) THEN 10004 ELSE 0 END AS INTEGER) AS error_code
+FROM batch b JOIN counts c ON b.id = c.id""",
+)
+def q_users_insert_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a candidate row of the stored users table: ids that exist there, or twice in the batch, are flagged."""
+    name = _stored_users(spark, sf_dir, "users_checked")
+    o = derive.table(spark, sf_dir, "orders")
+    new_id = F.lit(NEW_ID_BASE) + F.expr("o_orderkey div 2")
+    batch = o.select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")).otherwise(new_id).alias("id"),
+        F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("name"),
+    )
+    return stored.flag_existing(spark, name, batch)
+
+
+@register(
+    "users_insert_generated",
+    f"""WITH {SQL_USERS}
+SELECT 'kept' AS part, id, name FROM users
+UNION ALL
+SELECT 'new id', (SELECT max(id) FROM users) + row_number() OVER (), NULL FROM orders
+UNION ALL
+SELECT 'new name', NULL, concat('new-', o_orderkey) FROM orders""",
+)
+def q_users_insert_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a user without id, inserted in two batches into the stored, filled table with reserved ids."""
+    name = _stored_users(spark, sf_dir, "users_generated")
+    ledger = scratch_path(spark, "users-ids")
+    o = derive.table(spark, sf_dir, "orders")
+    new = o.select(F.concat(F.lit("new-"), F.col("o_orderkey").cast("string")).alias("name"))
+    for half in (0, 1):
+        insert_generated(spark, name, new.where(F.pmod(F.hash("name"), F.lit(2)) == half), ledger)
+    done, none = spark.table(name), F.lit(None)
+    given = F.col("name").startswith("new-")
+    kept = done.where(~given).select(F.lit("kept").alias("part"), "id", "name")
+    ids = done.where(given).select(F.lit("new id").alias("part"), "id", none.cast("string").alias("name"))
+    return kept.unionByName(ids).unionByName(done.where(given).select(F.lit("new name").alias("part"), none.cast("bigint").alias("id"), "name"))
+
+
+@register(
+    "orders_deep_page",
+    """SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority FROM (
+  SELECT *, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS rn, count(*) OVER () AS n FROM orders)
+WHERE rn > n * 3 // 4 AND rn <= n * 3 // 4 + 1000""",
+)
+def q_orders_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of 1,000 orders behind three quarters of all: ranges before it are skipped by their counts."""
+    o = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return deep_page(o, [F.col("o_orderdate").desc(), "o_orderkey"], 1000, o.count() * 3 // 4)
+
+
+@register(
+    "users_views_persistent",
+    f"""WITH {SQL_USERS}, {SQL_ROLES}, {SQL_SOME_NAMES}
+SELECT 'before' AS v, id, trim(name) AS name, NULL AS role, NULL AS n FROM some_names WHERE name IS NOT NULL
+UNION ALL SELECT 'count', NULL, NULL, NULL, count(*) FROM some_names
+UNION ALL SELECT 'after', id, upper(name), NULL, NULL FROM some_names WHERE name IS NOT NULL AND id % 2 = 0
+UNION ALL SELECT 'roles', u.id, upper(u.name), r.role, NULL FROM some_names u LEFT JOIN roles r ON r.user_id = u.id WHERE u.id % 2 = 0""",
+)
+def q_users_views_persistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog views over stored tables: the base view is replaced while others depend on it, then all are dropped."""
+    base, p = scratch_path(spark, "views"), f"default.{_new_name('pv')}_"
+    create_table_as(spark, f"{p}t_users", _some_names(spark, sf_dir), location=f"{base}/users")
+    create_table_as(spark, f"{p}t_roles", _roles(spark, sf_dir), location=f"{base}/roles")
+    names = create_persistent_user_views(spark, f"{p}t_users", f"{p}t_roles", prefix=p)
+    none = "CAST(NULL AS STRING) AS role, CAST(NULL AS BIGINT) AS n"
+    out = spark.sql(f"SELECT 'before' AS v, id, name, {none} FROM {p}users_active")
+    out = out.union(spark.sql(f"SELECT 'count', NULL, NULL, NULL, n_users FROM {p}users_count"))
+    create_sql_view(spark, f"{p}users", f"SELECT id, upper(name) AS name FROM {p}t_users WHERE id % 2 = 0", temporary=False)
+    out = out.union(spark.sql(f"SELECT 'after', id, name, NULL, NULL FROM {p}users_active"))
+    out = out.union(spark.sql(f"SELECT 'roles', id, name, role, NULL FROM {p}users_with_roles"))
+    for name in reversed(names):
+        drop_view(spark, name, temporary=False)
+    return out
+
+
+@register("users_slice_ordered", f"WITH {SQL_USERS}, {SQL_SOME_NAMES} SELECT id, name, true AS in_order FROM some_names")
+def q_users_slice_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE TABLE AS all users ORDER BY ID, exported as CSV in that order: no file starts before the one in front ends."""
+    name, base = f"default.{_new_name('ordered')}", scratch_path(spark, "ordered")
+    create_table_as(spark, name, _some_names(spark, sf_dir), location=f"{base}/table", order_by=["id"])
+    write_csv(spark.table(name), f"{base}/csv", order_by=["id"])
+    rows = read_csv(spark, f"{base}/csv", spark.table(name).schema).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    rows = staged(rows, "ordered")
+    spans = rows.groupBy("file").agg(F.min("id").alias("low"), F.max("id").alias("high"))  # one row per file
+    before = F.max("high").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    wrong = spans.withColumn("before", before).where(F.col("low") < F.col("before")).select("file").withColumn("wrong", F.lit(True))
+    return rows.join(wrong, "file", "left").select("id", "name", F.col("wrong").isNull().alias("in_order"))
+
+
+@register("payload_keyed_round_trip", f"WITH {SQL_LINES}, {SQL_PARSED} SELECT {SQL_LOG_COLS} FROM parsed")
+def q_payload_keyed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per component, of which there are few: a hot key is cut into many bounded messages."""
+    rows = _parsed_with_id(spark, sf_dir)
+    messages = encode(rows, LOG_FIELDS, chunk_by=F.pmod(F.hash("component"), F.lit(1000)), order_by=["event_id"], chunk_rows=CHUNK_ROWS)
+    return decode(as_topic_messages(messages, "logs", TOPIC_PARTITIONS)).select(*LOG_FIELDS)
+
+
+@register(
+    "users_fetch_dirty",
+    """SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '' ELSE c_name END AS name FROM customer""",
+)
+def q_users_fetch_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells as a text driver delivers them: ids with white space around, names NULL, blank or with Unicode spaces around."""
+    n, name = F.col("c_custkey") % 5, F.col("c_name")
+    cells = derive.table(spark, sf_dir, "customer").select(
+        F.concat(F.when(n == 2, F.lit("\u2003\t")).otherwise(F.lit("")), F.col("c_custkey").cast("string"), F.lit(" \n")).alias("ID"),
+        F.when(n == 0, F.lit(None)).when(n == 1, F.lit(" \u00a0\u2009")).when(n == 2, F.concat(F.lit("\u3000"), name, F.lit("\r\n"))).otherwise(name).alias("NAME"),
+    )
+    return fetch_users(cells)
+
+
+@register(
+    "users_parse_ids",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (0, 1) THEN o_custkey END AS id,
+       CASE WHEN o_orderkey % 3 = 0 THEN concat(o_orderpriority, chr(65533), '!') ELSE o_orderpriority END AS name FROM orders""",
+)
+def q_users_parse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text ids that are no unsigned numbers become NULL, bytes that are no UTF-8 become U+FFFD."""
+    o, n = derive.table(spark, sf_dir, "orders"), F.col("o_orderkey") % 6
+    key = F.col("o_custkey").cast("string")
+    text = (
+        F.when(n == 0, key).when(n == 1, F.concat(F.lit(" "), key, F.lit("\u2003"))).when(n == 2, F.concat(F.lit("-"), key))
+        .when(n == 3, F.lit("")).when(n == 4, F.concat(key, F.lit("x"))).otherwise(F.lit("99999999999999999999"))
+    )
+    raw = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.col("o_orderpriority").cast("binary"), F.unhex(F.lit("FF21")))).otherwise(F.col("o_orderpriority").cast("binary"))
+    return o.select("o_orderkey", parse_unsigned(text).alias("id"), lossy_utf8(raw).alias("name"))
