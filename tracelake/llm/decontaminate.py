@@ -17,8 +17,10 @@ from tracelake.llm.common import as_bytes, byte_slices, ship
 from tracelake.llm.words import mixed, shingle_hashes, split_words
 
 #: Benchmark items and bytes of their texts that one pass over the documents carries; more items make more passes.
-ITEMS_EACH_PASS = 4000
+ITEMS_EACH_PASS = 25_000
 BYTES_EACH_PASS = 16 << 20
+#: Windows that are looked at together.
+WINDOWS = 4096
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Largest number of differing fingerprint bits of a candidate. At similarity 0.8 about ten bits differ.
@@ -83,6 +85,7 @@ class Group:
 
     size: int
     items: list[int] = field(default_factory=list)
+    place: dict = field(default_factory=dict)  #: item -> its place in ``items``
     fps: np.ndarray | None = None
     blocks: np.ndarray | None = None
 
@@ -90,7 +93,7 @@ class Group:
 @dataclass
 class Index:
     items: list  #: (id, words)
-    k: dict  #: shingle length -> (filter, sorted hashes, first, list of (item, offset))
+    k: dict  #: shingle length -> (filter, sorted hashes, first of each in the items, items that have it)
     groups: dict  #: words of an item -> Group
 
 
@@ -102,15 +105,18 @@ def shingle_length(words: int) -> int:
 def build_index(rows: list[tuple]) -> Index:
     """Index of (id, UTF-8 text) items; items without words match nothing and are left out."""
     items = [(i, t.lower().split()) for i, t in rows if t is not None and t.split()]
-    found = defaultdict(lambda: defaultdict(set))
+    hashes, owners = defaultdict(list), defaultdict(list)
     groups: dict[int, Group] = {}
     fps = defaultdict(list)
     for at, (_, words) in enumerate(items):
         k = shingle_length(len(words))
         h = shingle_hashes(split_words([b" ".join(words)]).hash, k)
-        for off, x in enumerate(h.tolist()):
-            found[k][x].add((at, off))
-        groups.setdefault(len(words), Group(len(words))).items.append(at)
+        distinct = np.unique(h)
+        hashes[k].append(distinct)
+        owners[k].append(np.full(len(distinct), at, np.int32))
+        g = groups.setdefault(len(words), Group(len(words)))
+        g.place[at] = len(g.items)
+        g.items.append(at)
         fps[len(words)].append(window_fingerprints(h, len(h))[0])
     near = RADIUS // BLOCKS  # of 8 blocks, one has at most this many of the differing bits
     close = _POPCOUNT[np.arange(256)[:, None] ^ np.arange(256)] <= near
@@ -118,11 +124,13 @@ def build_index(rows: list[tuple]) -> Index:
         g.fps = np.array(fps[size])
         g.blocks = np.stack([close[:, g.fps[:, b]] for b in range(BLOCKS)])
     tables = {}
-    for k, where in found.items():
-        keys = np.array(sorted(where), np.uint64)
+    for k in hashes:
+        h, owner = np.concatenate(hashes[k]), np.concatenate(owners[k])
+        order = np.argsort(h, kind="stable")
+        keys, first = np.unique(h[order], return_index=True)
         flags = np.zeros(1 << _FILTER_BITS, bool)
         flags[keys >> np.uint64(64 - _FILTER_BITS)] = True
-        tables[k] = (flags, keys, [sorted(where[x]) for x in keys.tolist()])
+        tables[k] = (flags, keys, np.append(first, len(h)), owner[order])
     return Index(items, tables, groups)
 
 
@@ -146,34 +154,47 @@ def matches_of(index: Index, words: list[bytes], h: np.ndarray, hits: list[tuple
     hits: (shingle length, position, row of the index) of every shingle that some item has. A window without any is at
     similarity zero, so only windows that hold one are fingerprinted.
     """
-    at = defaultdict(set)
-    for k, p, row in hits:
-        for item, _ in index.k[k][2][row]:
-            at[len(index.items[item][1])].add(p)
+    where = defaultdict(list)  # item -> places of its shingles, in order
+    for k, p, row in sorted(hits, key=lambda x: x[1]):
+        _, _, first, owner = index.k[k]
+        for item in owner[first[row] : first[row + 1]].tolist():
+            where[item].append(p)
+    of_size = defaultdict(list)
+    for item in where:
+        of_size[len(index.items[item][1])].append(item)
     best: dict[int, list] = {}
     bags: dict[int, Counter] = {}
-    for size, where in at.items():
+    for size, found in of_size.items():
         g, k = index.groups[size], shingle_length(size)
         sh = shingle_hashes(h, k)
-        for a, b in _spans(list(where), size, k, len(words)):
-            starts = np.arange(a, b + 1)
-            width = min(size, len(words)) - k + 1  # a shorter text is one window
-            fp = window_fingerprints(sh[a : b + width], width)
-            cand = np.zeros((len(starts), len(g.items)), bool)
-            for block in range(BLOCKS):
-                cand |= g.blocks[block][fp[:, block]]
-            w, i = np.nonzero(cand)
-            ok = _POPCOUNT[fp[w] ^ g.fps[i]].sum(1) <= RADIUS
-            for start, j in zip((w[ok] + a).tolist(), i[ok].tolist(), strict=True):
-                item = g.items[j]
-                if item not in bags:
-                    bags[item] = bag(index.items[item][1], k)
-                s = similarity(bag(words[start : start + size], k), bags[item])
-                if s >= SIMILARITY:
-                    old = best.setdefault(item, [s, start, 0])
-                    if (-s, start) < (-old[0], old[1]):
-                        old[0], old[1] = s, start
-                    old[2] += 1
+        width, full = min(size, len(words)) - k + 1, size - k + 1  # a shorter text is one window
+        # as many shingles a window shares with an item at least, if they are similar enough
+        least = SIMILARITY * (width + full) / (1 + SIMILARITY) - 1e-6
+        many = {item: np.array(where[item]) for item in found if len(where[item]) >= least}
+        for a, b in _spans(sorted({p for item in found for p in where[item]}), size, k, len(words)):
+            for begin in range(a, b + 1, WINDOWS):
+                starts = np.arange(begin, min(b + 1, begin + WINDOWS))
+                fp = window_fingerprints(sh[begin : starts[-1] + width], width)
+                cand = np.zeros((len(starts), len(g.items)), bool)
+                for block in range(BLOCKS):
+                    cand |= g.blocks[block][fp[:, block]]
+                w, i = np.nonzero(cand)
+                far = _POPCOUNT[fp[w] ^ g.fps[i]].sum(1) > RADIUS
+                cand[w[far], i[far]] = False
+                for item, places in many.items():  # windows whose bits differ in more, though they share enough
+                    shared = np.searchsorted(places, starts + width) - np.searchsorted(places, starts)
+                    cand[shared >= least, g.place[item]] = True
+                w, i = np.nonzero(cand)
+                for start, j in zip((w + begin).tolist(), i.tolist(), strict=True):
+                    item = g.items[j]
+                    if item not in bags:
+                        bags[item] = bag(index.items[item][1], k)
+                    s = similarity(bag(words[start : start + size], k), bags[item])
+                    if s >= SIMILARITY:
+                        old = best.setdefault(item, [s, start, 0])
+                        if (-s, start) < (-old[0], old[1]):
+                            old[0], old[1] = s, start
+                        old[2] += 1
     return sorted((index.items[item][0], s, start, n) for item, (s, start, n) in best.items())
 
 
@@ -182,7 +203,7 @@ def find_matches(index: Index, texts: list[bytes]) -> list[list[tuple]]:
     out: list[list[tuple]] = [[] for _ in texts]
     w = split_words(texts)
     hits = defaultdict(list)
-    for k, (flags, keys, _) in index.k.items():
+    for k, (flags, keys, _, _) in index.k.items():
         sh = shingle_hashes(w.hash, k)
         p = np.flatnonzero(flags[sh >> np.uint64(64 - _FILTER_BITS)])
         row = np.searchsorted(keys, sh[p])
@@ -202,7 +223,7 @@ def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[Dat
     """The benchmark in disjoint blocks of bounded size, by the hash of the row."""
     src = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("binary").alias("text")).distinct()
     row = src.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("b")).first()
-    n = max(1, -(-row["n"] * 2 // ITEMS_EACH_PASS) if row["n"] > ITEMS_EACH_PASS else 1, -(-row["b"] * 2 // BYTES_EACH_PASS) if row["b"] > BYTES_EACH_PASS else 1)
+    n = max(1, -(-row["n"] // ITEMS_EACH_PASS), -(-row["b"] // BYTES_EACH_PASS))
     return [src.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)] if n > 1 else [src]
 
 
@@ -233,8 +254,10 @@ def contaminated(
     Words are split at ASCII white space with A-Z lower-cased. A window has as many words as the item (a shorter text is
     one window); both are bags of five-word shingles (an item under five words: one shingle), and similarity is the
     weighted Jaccard coefficient. A window that shares no shingle with an item of its size is at zero and is skipped;
-    every other one is fingerprinted (repeats of a shingle count as features of their own), found through the Hamming blocks if within ``RADIUS`` bits, and verified on the
-    words themselves. Null and wordless texts and items match nothing. No shuffle of documents.
+    every other one is fingerprinted (repeats of a shingle count as features of their own), found through the Hamming
+    blocks if within ``RADIUS`` bits, and verified on the words themselves. At 0.8 the radius is a matter of chance, so
+    windows beyond it that share as many shingles with an item as that similarity needs are verified, too: every pair and
+    every window is found. Documents are read once for up to ``ITEMS_EACH_PASS`` items. Null and wordless texts and items match nothing. No shuffle of documents.
     """
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
