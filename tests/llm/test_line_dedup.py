@@ -81,3 +81,24 @@ def test_empty_table(spark):
 def test_bad_mode(spark):
     with pytest.raises(ValueError):
         keep_bitmaps(spark.createDataFrame([], "doc_id bigint, text string"), keep="some")
+
+
+@pytest.mark.parametrize("parts", [1, 30])
+def test_a_document_is_an_id_whatever_its_texts(spark, parts):
+    rows = [(1, f"only of one id\nshared\nown {i}") for i in range(12)] + [(2 + i // 5, f"shared\ntext {i}") for i in range(40)]
+    rows += [(100 + i, "wide\nshared") for i in range(9)] + [(108, f"wide\n{i}") for i in range(6)] + [(300, "wide")] * 50
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        for least in (2, 9, 10, 11, 18, 19):
+            ids = {}
+            for i, t in rows:
+                for line in t.split("\n"):
+                    ids.setdefault(line, set()).add(i)
+            want = sorted((i, "\n".join(x for x in t.split("\n") if len(ids[x]) < least)) for i, t in rows)
+            got = drop_lines(docs, keep_bitmaps(docs, min_docs=least)).collect()
+            assert sorted((r.doc_id, r.text) for r in got) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

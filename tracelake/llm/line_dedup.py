@@ -9,13 +9,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.llm.common import as_bytes, batch_slices, byte_slices, ship, stored
 
-_DROP, _OPEN, _EDGE = 0, 1, 2
+_DROP, _OPEN, _EDGE, _LAST = 0, 1, 2, 3
 
 
 def line_key(line: bytes) -> bytes:
@@ -62,7 +62,8 @@ def _stream(min_docs: int, keep_first: bool, id_type: pa.DataType):
     """Read rows sorted by (hash, document) and emit what is dropped.
 
     A run of one hash that touches the start or end of the partition may go on in a neighbour: rows whose fate is not
-    settled here go out as open rows, and the run's document count as an edge row (at most two per partition).
+    settled here go out as open rows, and the run's document count as an edge row with its first document and a last row
+    with its last one (at most two pairs per partition). Repeated rows stand behind each other and count and go out once.
     """
     names = ["kind", "h1", "h2", "part", "n", "doc_id", "body", "n_lines", "at"]
     kinds = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), id_type, pa.int64(), pa.int32(), pa.binary()]
@@ -70,7 +71,7 @@ def _stream(min_docs: int, keep_first: bool, id_type: pa.DataType):
     def run(batches):
         part = TaskContext.get().partitionId()
         out: list[list] = [[] for _ in names]
-        cur = last = None
+        cur = last = begun = counted = None
         n, first_run, pending = 0, True, []
 
         def put(kind, key, count, row):
@@ -82,18 +83,24 @@ def _stream(min_docs: int, keep_first: bool, id_type: pa.DataType):
                 return
             for row in pending:
                 put(_OPEN, cur, n, row)
-            put(_EDGE, cur, n, (None, None, None, None))
+            put(_EDGE, cur, n, (begun[0], begun[1], None, None))
+            put(_LAST, cur, n, (last[0], last[1], None, None))
 
         for batch in batches:
             for h1, h2, doc, body, n_lines, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (h1, h2) != cur:
                     close(False)
                     first_run = cur is None
-                    cur, last, n, pending = (h1, h2), None, 0, []
+                    cur, last, counted, n, pending = (h1, h2), None, None, 0, []
+                    begun = (doc, body)
                 row = (doc, body, n_lines, at)
-                if (doc, body) != last:
+                if (doc, body) == last:
+                    continue
+                last = (doc, body)
+                document = last if keep_first or doc is None else (doc,)
+                if document != counted:
                     n += 1
-                    last = (doc, body)
+                    counted = document
                 if keep_first:
                     if n > 1:
                         put(_DROP, cur, n, row)
@@ -132,8 +139,8 @@ def keep_bitmaps(
 
     ``keep="none"``: a line whose key occurs in at least ``min_docs`` documents goes everywhere. ``keep="first"``: the
     first line of a key by (document, position) stays, every later one goes. Keys of under ``min_chars`` code points
-    never go. A document is a distinct (id, text), so repeated rows count once and rows with a null id by their text;
-    null text is one empty line. ``body`` is the text's 64-bit hash: with the id it tells rows of equal id apart.
+    never go. For the count a document is a distinct id, whatever texts its rows have; rows with a null id are told apart
+    by their text. For ``keep="first"`` the texts of one id follow each other by their hash. Null text is one empty line. ``body`` is the text's 64-bit hash: with the id it tells rows of equal id apart.
     ``keep_bitmap`` is zlib-packed, one bit per line, high bit first.
 
     The range bounds cut on (hash, document), so a hot line spans many partitions; runs cut by a bound are settled
@@ -147,7 +154,8 @@ def keep_bitmaps(
     id_field = T.StructField("doc_id", src.schema["doc_id"].dataType)
     head = [T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())]
     tail = [T.StructField("body", T.LongType()), T.StructField("n_lines", T.IntegerType()), T.StructField("at", T.BinaryType())]
-    entries = src.mapInArrow(_entries(min_chars), T.StructType([*head, id_field, *tail]))
+    # written down, as the sampling of the ranges reads them, too
+    entries = stored(src.mapInArrow(_entries(min_chars), T.StructType([*head, id_field, *tail])), "line-entries")
     order = ["h1", "h2", "doc_id", "body"]
     runs = entries.repartitionByRange(*order).sortWithinPartitions(*order, "at")
     from pyspark.sql.pandas.types import to_arrow_type
@@ -157,7 +165,13 @@ def keep_bitmaps(
         runs.mapInArrow(_stream(min_docs, keep == "first", to_arrow_type(id_field.dataType)), T.StructType([*marks, id_field, *tail])),
         "lines",
     )
-    edges = found.where(F.col("kind") == _EDGE).groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.min("part").alias("first_part"))
+    side = {"begun": _EDGE, "ended": _LAST}
+    sides = found.where(F.col("kind").isin(_EDGE, _LAST)).groupBy("h1", "h2", "part")
+    sides = sides.agg(F.max("n").alias("n"), *[F.max(F.when(F.col("kind") == k, F.col("doc_id"))).alias(c) for c, k in side.items()])
+    before = F.lag("ended").over(Window.partitionBy("h1", "h2").orderBy("part"))
+    twice = F.coalesce((before == F.col("begun")).cast("int"), F.lit(0))  # a document of both sides of a bound
+    sides = sides.withColumn("n", F.col("n") - twice)
+    edges = sides.groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.min("part").alias("first_part"))
     opened = found.where(F.col("kind") == _OPEN).join(edges, ["h1", "h2"])
     if keep == "none":
         opened = opened.where(F.col("total") >= min_docs)
