@@ -83,3 +83,31 @@ def test_held_out_texts_gain(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert L.score(docs).count() == 0
+
+
+def test_requests_grow_with_the_corpus_not_with_its_square(spark):
+    """Blocks and shards both grow with the input; rows are at most the entries, so they grow as the blocks do."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    rows = {}
+    for times in (1, 4, 16):
+        docs = spark.range(60 * times, numPartitions=2 * times).select(
+            F.col("id").alias("doc_id"), (F.col("id") % 5 == 1).alias("held"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.hash(i * 7, "id").cast("string"))).cast("binary").alias("text")
+        )
+        blocks = docs.mapInArrow(L._pack(pa.int64()), "block bigint, ids array<bigint>, held array<boolean>, lens binary, data binary")
+        asked = blocks.mapInArrow(L._requests((1 << 14) * times, False, True), "shard int, block bigint, h binary, n binary")
+        got = asked.agg(F.count("*"), F.sum(F.length("h")) / 8, F.min(F.length("h"))).first()
+        assert got[0] <= got[1] and got[2] >= 8
+        rows[times] = got[0]
+    assert rows[4] <= 4.4 * rows[1] and rows[16] <= 4.2 * rows[4]
+
+
+def test_many_shards_give_the_same_scores(spark, monkeypatch):
+    rows = table()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    some = sorted((tuple(r) for r in L.score(docs).collect()), key=str)
+    monkeypatch.setattr(L, "SHARD_BYTES", 16)
+    for limit in (L.BROADCAST_BYTES, 0):
+        many = sorted((tuple(r) for r in L.score(docs, broadcast_bytes=limit).collect()), key=str)
+        assert [m[:6] for m in many] == [s[:6] for s in some]

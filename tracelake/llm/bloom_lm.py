@@ -157,7 +157,10 @@ def _distinct(h: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _requests(shards: int, pairs: bool, all_texts: bool):
-    """Rows (shard, block, hashes, counts) of the distinct words or bigrams of each block, or of its training texts."""
+    """Rows (shard, block, hashes, counts) of the distinct words or bigrams of each block, or of its training texts.
+
+    Shards in which a block has none get no row, so a block makes at most one row per entry however many shards there are.
+    """
 
     def run(batches):
         for batch in batches:
@@ -169,14 +172,15 @@ def _requests(shards: int, pairs: bool, all_texts: bool):
                     h, train = h[train], train[train]
                 u, n = _distinct(h, train)
                 cut = _by_shard(u, shards)
-                spans = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+                some = np.flatnonzero(np.diff(cut))
+                spans = list(zip(cut[some].tolist(), cut[some + 1].tolist(), strict=True))
                 # most counts are one: a byte each, larger ones in full behind them
                 small = np.minimum(n, 255).astype(np.uint8)
                 counts = [small[a:b].tobytes() + n[a:b][n[a:b] >= 255].tobytes() for a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(shards, dtype=np.int32)),
-                        pa.array(np.full(shards, block, np.int64)),
+                        pa.array(some.astype(np.int32)),
+                        pa.array(np.full(len(some), block, np.int64)),
                         pa.array([u[a:b].tobytes() for a, b in spans], pa.binary()),
                         pa.array(counts, pa.binary()),
                     ],
@@ -215,17 +219,22 @@ def _totals(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _answer(batches):
-    """Rows (block, shard, counts of the block's entries); block -1: the shard's sum and number of trained entries."""
+    """Rows (block, shard, counts of the block's entries); on a shard's first row also its sum and number of trained entries."""
     for shard, rows in _shard_groups(batches):
         u, total, inverse = _totals(rows)
         each = total[inverse]
         ends = np.cumsum([len(r[1]) for r in rows])
         parts = [each[b - len(r[1]) : b].tobytes() for r, b in zip(rows, ends.tolist(), strict=True)]
-        parts.append(np.array([total.sum(), (total > 0).sum()], np.int64).tobytes())
-        blocks = [*(r[0] for r in rows), -1]
+        blocks, none = [r[0] for r in rows], [None] * (len(rows) - 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks, pa.int64()), pa.array(np.full(len(blocks), shard, np.int32)), pa.array(parts, pa.binary())],
-            names=["block", "shard", "data"],
+            [
+                pa.array(blocks, pa.int64()),
+                pa.array(np.full(len(blocks), shard, np.int32)),
+                pa.array(parts, pa.binary()),
+                pa.array([int(total.sum()), *none], pa.int64()),
+                pa.array([int((total > 0).sum()), *none], pa.int64()),
+            ],
+            names=["block", "shard", "data", "n", "v"],
         )
 
 
@@ -337,9 +346,8 @@ def score(
 
     asked = "shard int, block bigint, h binary, n binary"
     words = blocks.mapInArrow(_requests(shards, False, True), asked).repartition("shard").sortWithinPartitions("shard")
-    answers = stored(words.mapInArrow(_answer, "block bigint, shard int, data binary"), "lm-counts")
-    stats = [np.frombuffer(bytes(r["data"]), np.int64) for r in answers.where("block = -1").select("data").collect()]
-    n, v = (int(sum(s[i] for s in stats)) for i in (0, 1))
+    answers = stored(words.mapInArrow(_answer, "block bigint, shard int, data binary, n bigint, v bigint"), "lm-counts")
+    n, v = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v")]).first()
 
     pairs = blocks.mapInArrow(_requests(shards, True, False), asked).repartition("shard").sortWithinPartitions("shard")
     filters = stored(pairs.mapInArrow(_filters, "shard int, data binary"), "lm-filter")
@@ -347,7 +355,7 @@ def score(
     none = F.lit(None)
     blank = [none.cast(f"array<{name}>").alias("ids"), none.cast("array<boolean>").alias("held"), none.cast("binary").alias("lens")]
     rows = blocks.select("block", F.lit(2).alias("role"), F.lit(0).alias("shard"), "ids", "held", "lens", "data")
-    rows = rows.unionByName(answers.where("block >= 0").select("block", F.lit(0).alias("role"), "shard", *blank, "data"))
+    rows = rows.unionByName(answers.select("block", F.lit(0).alias("role"), "shard", *blank, "data"))
     shared = None
     if total <= broadcast_bytes:
         table = filters.toArrow()  # at most broadcast_bytes; the shards are views of it until they are joined
