@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ from tracelake.plans.jobs import (
 )
 from tracelake.schemas import LOG_ENTRY, LOG_FIELDS, LOG_TABLE, LOG_TABLE_PARTITIONS, USER_ROW
 from tracelake.session import scratch_path, staged
+from tracelake.sources.catalog import current_schema
 from tracelake.sources.csvfiles import read_csv
 from tracelake.sources.logfiles import read_log_files
 from tracelake.sources.topic import read_topic, read_topic_stream
@@ -726,6 +728,34 @@ def q_users_stored_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@register(
+    "users_insert_missing_columns",
+    f"""WITH {SQL_USERS} SELECT id, name FROM users
+UNION ALL SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey + {NEW_ID_BASE} END, NULL FROM orders""",
+)
+def q_users_insert_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT by column name into the users: a row for every order, without a name and every second without an id."""
+    o = derive.table(spark, sf_dir, "orders")
+    return insert(_users(spark, sf_dir), o.select(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") + NEW_ID_BASE).alias("id")))
+
+
+@register(
+    "users_audit_now",
+    f"""WITH {SQL_USERS}
+SELECT id, name AS old_name, concat(name, '!') AS new_name, true AS now, true AS one_time, true AS in_schema FROM users""",
+)
+def q_users_audit_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row audit stamped by CURRENT_TIMESTAMP: one time for the statement, that of its run, in the current schema."""
+    begun = datetime.now(timezone.utc).replace(tzinfo=None) - timedelta(seconds=1)
+    _, audit = update_with_audit(_users(spark, sf_dir), {"name": F.concat("name", F.lit("!"))})
+    audit = staged(audit, "audit-now")
+    ended = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(seconds=1)
+    low, high = audit.agg(F.min("changed_at"), F.max("changed_at")).first()
+    schema = F.lit(current_schema(spark)) == F.current_schema()
+    at = F.col("changed_at").between(F.lit(begun).cast("timestamp_ntz"), F.lit(ended).cast("timestamp_ntz"))
+    return audit.select("id", "old_name", "new_name", at.alias("now"), F.lit(low == high).alias("one_time"), schema.alias("in_schema"))
+
+
 @register(
     "users_insert_checked",
     f"""WITH {SQL_USERS},
