@@ -1,14 +1,16 @@
 """The corpus pipeline: every stage's rows against plain versions on the smallest table."""
 
 import hashlib
+import re
 
 import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 
 import corpus_pipeline as P
-from tracelake.llm import byte_bpe, decontaminate, line_dedup, quality_crf, simhash_dedup
+from tracelake.llm import byte_bpe, line_dedup, quality_crf
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,8 +24,18 @@ def plain_lines(rows):
     return {i: "\n".join(x for x in t.split("\n") if line_dedup.line_key(x.encode()) not in common) for i, t in rows.items()}
 
 
+def plain_fingerprint(text):
+    """By the xxhash library, shingle by shingle and bit by bit."""
+    words = re.findall(rb"[^\x20\x09-\x0d]+", text.encode().lower())
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def plain_near(rows):
-    fps = {i: simhash_dedup.fingerprint(t.encode()) for i, t in rows.items()}
+    fps = {i: plain_fingerprint(t) for i, t in rows.items()}
     label = {i: i for i in rows}
     changed = True
     while changed:
