@@ -257,17 +257,19 @@ def note_append(topic_messages: DataFrame, path: str, append_id: str | None = No
     happens, whoever writes the rows.
     """
     session = topic_messages.sparkSession
-    log = _topic_log(session, path)
-    if _recover(session, path, log):
+    known: dict = {}
+    if path_exists(session, path):
         log = _topic_log(session, path)
-    if append_id is not None and not log.where(F.col("append_id") == append_id).isEmpty():
-        return None
+        if _recover(session, path, log):
+            log = _topic_log(session, path)
+        if append_id is not None and not log.where(F.col("append_id") == append_id).isEmpty():
+            return None
+        known = {(r["topic"], r["partition"]): r["end"] for r in log.groupBy("topic", "partition").agg(F.max("end").alias("end")).collect()}
     append_id = append_id or uuid.uuid4().hex
     columns = topic_messages.columns
     placed = topic_messages.sortWithinPartitions("topic", "partition", "offset").withColumn("_mid", F.monotonically_increasing_id())
     rows = scratch_path(session, "topic-append")
     placed.write.parquet(rows)
-    known = {(r["topic"], r["partition"]): r["end"] for r in log.groupBy("topic", "partition").agg(F.max("end").alias("end")).collect()}
     numbered, ends = _numbered(session.read.schema(placed.schema).parquet(rows), known, columns)
     if numbered is None:
         return None
