@@ -77,10 +77,20 @@ def test_small_tiles_slabs_and_passes(spark):
     pair = np.unique(np.stack([term, doc]), axis=1)
     impact = rng.integers(0, 20_000 * rs.IMPACT, pair.shape[1]).astype(float)
     assert (whole.scores(*pair, impact, 40) == cut.scores(*pair, impact, 40)).all()
+    lean = rs.Tile(0, number.items, weight, most=7, keep=False)
+    assert all(s[-1] is None for s in lean.slabs) and (whole.scores(*pair, impact, 40) == lean.scores(*pair, impact, 40)).all()
     d, q = frames(spark, docs, items)
     assert rows_of(rs.search(d, q, k=3, item_bytes=500)) == sorted(plain(docs, items, 3), key=key)
 
 
+def test_more_items_than_tiles_kept_dense(spark):
+    docs, some = made(5, 60, 40)
+    items = [(40 * r + i, t) for r in range(60) for i, t in some]
+    assert len(items) > rs.TILE_ITEMS * rs.DENSE_TILES
+    d, q = frames(spark, docs, items)
+    assert rows_of(rs.search(d, q, k=2)) == sorted(plain(docs, items, 2), key=key)
+
+
 def test_sums_beyond_two_to_the_53_are_exact():
     counts = np.array([10**7, 3, 10**6])
     weight = np.array([25_000, 7, 24_999])

@@ -23,10 +23,12 @@ from tracelake.llm.common import as_bytes, batch_slices, ship, stored
 #: ASCII letters and digits stay, A-Z lower-cased, other ASCII signs part terms; bytes of other characters stay.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Texts of items that are broadcast at a time (more items take several passes), items and documents of a tile, its terms.
-ITEM_BYTES, TILE_ITEMS, TILE_DOCS, TILE_TERMS = 32 << 20, 256, 256, 4096
+ITEM_BYTES, TILE_ITEMS, TILE_DOCS, TILE_TERMS = 8 << 20, 256, 256, 4096
+#: Up to so many tiles of items are kept dense by a task; of more, each is made dense when its turn comes.
+DENSE_TILES = 8
 #: No factor of a weight in an impact reaches this; no partial sum of a product reaches EXACT.
 IMPACT, EXACT = 10**6, 1 << 53
-#: Candidates that a task holds per tile of items before it keeps the best k of each.
+#: Candidates that a task holds over all tiles of items (at least two rounds of the best) before it keeps the best k of each.
 HELD = 50_000
 
 
@@ -48,10 +50,13 @@ class Queries:
 
 
 class Tile:
-    """Some items and their compact vocabulary: slabs (terms, counts[item, term]) whose products stay exact."""
+    """Some items and their compact vocabulary: slabs of counts [item, term] whose products stay exact.
 
-    def __init__(self, first: int, items: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray, most: int = TILE_TERMS):
-        self.first, self.n = first, len(items)
+    A slab is its first column, its width and its counts as (item, column, count), and the dense matrix if ``keep``.
+    """
+
+    def __init__(self, first: int, items: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray, most: int = TILE_TERMS, keep: bool = True):
+        self.first, self.n, self.keep = first, len(items), keep
         self.terms = np.unique(np.concatenate([ids for ids, _ in items])) if items else np.zeros(0, np.int64)
         counts = np.zeros((self.n, len(self.terms)))
         for i, (ids, n) in enumerate(items):
@@ -63,7 +68,8 @@ class Tile:
     def _split(self, columns: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> None:
         bound = counts @ (weight[self.terms[columns]].astype(float) * IMPACT)
         if bound.max(initial=0) < 0.99 * EXACT:
-            self.slabs.append((columns, counts))
+            item, column = np.nonzero(counts)
+            self.slabs.append((int(columns[0]), len(columns), item, column, counts[item, column], counts if self.keep else None))
         elif len(columns) > 1:
             half = len(columns) // 2
             self._split(columns[:half], counts[:, :half], weight)
@@ -82,11 +88,13 @@ class Tile:
         column[column == len(self.terms)] = 0
         hit = self.terms[column] == term
         column, doc, impact = column[hit], doc[hit], impact[hit]
-        for columns, counts in self.slabs:
-            a, b = columns[0], columns[-1]
-            inside = (column >= a) & (column <= b)
-            dense = np.zeros((len(columns), n_docs))
-            dense[column[inside] - a, doc[inside]] = impact[inside]
+        for first, width, item, at, n, counts in self.slabs:
+            inside = (column >= first) & (column < first + width)
+            dense = np.zeros((width, n_docs))
+            dense[column[inside] - first, doc[inside]] = impact[inside]
+            if counts is None:
+                counts = np.zeros((self.n, width))
+                counts[item, at] = n
             total += (counts @ dense).astype(np.int64)
         return total
 
@@ -94,8 +102,8 @@ class Tile:
 class Best:
     """The best k of each item of a tile: by score, then by id (null first)."""
 
-    def __init__(self, n_items: int, k: int):
-        self.k = k
+    def __init__(self, n_items: int, k: int, most: int | None = None):
+        self.k, self.most = k, HELD if most is None else most
         self.least = np.ones(n_items, np.int64)  # a score below this is out; 0 is none
         self.item, self.score, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), []
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -108,7 +116,7 @@ class Best:
         self.parts.append((item, scores[item, doc]))
         self.ids += [ids[d] for d in doc.tolist()]
         self.held += len(item)
-        if self.held > HELD:
+        if self.held > self.most:
             self.shrink()
 
     def shrink(self) -> None:
@@ -168,8 +176,9 @@ def _frequencies(n_terms: int):
 def _search(model, k: int, id_type: pa.DataType):
     def run(batches):
         items, weight, n_docs, n_terms = model.value
-        tiles = [Tile(at, items[at : at + TILE_ITEMS], weight) for at in range(0, len(items), TILE_ITEMS)]
-        best = [Best(t.n, k) for t in tiles]
+        starts = range(0, len(items), TILE_ITEMS)
+        tiles = [Tile(at, items[at : at + TILE_ITEMS], weight, keep=len(starts) <= DENSE_TILES) for at in starts]
+        best = [Best(t.n, k, max(2 * k * t.n, HELD // len(tiles))) for t in tiles]
         for whole in batches:
             for part in batch_slices(whole, "terms"):
                 for at in range(0, part.num_rows, TILE_DOCS):
